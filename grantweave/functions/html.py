@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from grantweave import fixed_values as fv
 from grantweave.functions.parse import call_amount, long_date
-from grantweave.functions.text import SPACE, strip_space
+from grantweave.functions.text import SPACE, let, strip_space
 
 _ENTITY = r"^(#[xX][0-9a-fA-F]+;?|#[0-9]+;?|[A-Za-z][A-Za-z0-9]*;?)"
 
@@ -53,28 +53,24 @@ def unescape(text: Column) -> Column:
         whole = code.try_cast("bigint")
         bad = code.isNull() | (code > 0x10FFFF) | code.between(0xD800, 0xDFFF)
         char = F.decode(F.unhex(F.lpad(F.hex(whole), 8, "0")), "UTF-32")
-        return (
-            F.when(bad, F.lit("�"))
-            .when(
-                F.try_element_at(odd, whole.cast("string")).isNotNull(),
-                F.try_element_at(odd, whole.cast("string")),
-            )
-            .otherwise(char)
+        return F.when(bad, F.lit("\ufffd")).otherwise(
+            F.coalesce(F.try_element_at(odd, whole.cast("string")), char)
         )
 
     def named(token: Column, piece: Column) -> Column:
-        table = F.try_element_at(names, F.substring(token, 1, 1))
-        hit = F.when(
-            F.try_element_at(table, token).isNotNull(),
-            _after_token(F.try_element_at(table, token), token, piece),
-        )
-        for size in bare:
-            prefix = F.substring(token, 1, size)
-            hit = hit.when(
-                F.try_element_at(table, prefix).isNotNull(),
-                _after_token(F.try_element_at(table, prefix), prefix, piece),
+        # The whole token, else the longest name known without a semicolon.
+        def longest(table: Column) -> Column:
+            tries = [token, *[F.substring(token, 1, size) for size in bare]]
+            known = F.filter(F.array(*tries), lambda t: F.map_contains_key(table, t))
+            return let(
+                F.get(known, F.lit(0)),
+                lambda t: F.when(t.isNull(), F.concat(F.lit("&"), piece)).otherwise(
+                    _after_token(F.try_element_at(table, t), t, piece)
+                ),
             )
-        return hit.otherwise(F.concat(F.lit("&"), piece))
+
+        letter = F.try_element_at(names, F.substring(token, 1, 1))
+        return F.coalesce(let(letter, longest), F.concat(F.lit("&"), piece))
 
     def decoded(piece: Column, index: Column) -> Column:
         token = F.regexp_extract(piece, _ENTITY, 1)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import sys
 import unicodedata
+from collections.abc import Callable
 from functools import lru_cache
 
 from pyspark.sql import Column
@@ -58,6 +59,15 @@ def _char_class(chars: list[str]) -> str:
     return "[" + "".join(rf"\x{{{a:x}}}-\x{{{b:x}}}" for a, b in spans) + "]"
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once per row."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def is_ascii(text: Column) -> Column:
+    return F.octet_length(text) == F.length(text)
+
+
 def plain_letters(text: Column) -> Column:
     """Text without diacritics (compatibility decomposition, marks dropped).
 
@@ -65,15 +75,25 @@ def plain_letters(text: Column) -> Column:
     and, only where a ligature or the like is left, a per-character lookup.
     """
     source, target, longer = _plain_letter_tables()
-    one_to_one = F.translate(text, source, target)
+    # The look-ahead rejects ASCII before the long class is tried.
+    rare = r"(?=[^\x00-\x7f])" + _char_class(list(longer))
     forms = F.from_json(F.lit(json.dumps(longer)), "map<string,string>")
-    expanded = F.array_join(
-        F.transform(F.split(one_to_one, ""), lambda c: F.coalesce(F.try_element_at(forms, c), c)), ""
-    )
-    return (
-        F.when(F.octet_length(text) == F.length(text), text)
-        .when(text.rlike(_char_class(list(longer))), expanded)
-        .otherwise(one_to_one)
+
+    def expanded(line: Column) -> Column:
+        pieces = F.split(line, f"(?={rare})|(?<={_char_class(list(longer))})")
+        return F.array_join(
+            F.transform(
+                pieces,
+                lambda p: F.when(F.length(p) == 1, F.coalesce(F.try_element_at(forms, p), p)).otherwise(p),
+            ),
+            "",
+        )
+
+    return F.when(is_ascii(text), text).otherwise(
+        let(
+            F.translate(text, source, target),
+            lambda line: F.when(is_ascii(line) | ~line.rlike(rare), line).otherwise(expanded(line)),
+        )
     )
 
 
