@@ -185,6 +185,11 @@ def phrase_sql(slug: str, phrase: str) -> str:
     return f"regexp_matches({slug}, '(^|[^a-z0-9]){'[ -]+'.join(words)}([^a-z0-9]|$)')"
 
 
+def round3_sql(x: str) -> str:
+    """Three decimals, half up, judged on the digits the number is written with."""
+    return f"cast(round(cast(cast({x} AS varchar) AS decimal(20, 17)), 3) AS double)"
+
+
 def keyword_ctes(
     source: str,
     key: str,
@@ -205,7 +210,7 @@ def keyword_ctes(
     base = len(hits)
     for i, (phrase, label, weight) in enumerate(keywords):
         hits.append(
-            f"SELECT {key}, {base + i}, 'text', '{label}', {weight}::double, '{phrase}' "
+            f"SELECT {key}, {base + i} AS ord, 'text' AS kind, '{label}' AS label, {weight}::double AS w, '{phrase}' AS reason "
             f"FROM slugged WHERE {phrase_sql('_slug', phrase)}"
         )
     base = len(hits)
@@ -233,9 +238,9 @@ def keyword_ctes(
       QUALIFY row_number() OVER (PARTITION BY {key} ORDER BY round(total, 9) DESC, first_ord) = 1),
     scored AS (
       SELECT s.{key},
-        round(greatest(0.0, least(1.0, coalesce(code_points, 0)
-          + {fv.WEIGHT_TEXT} * (coalesce(weights[1], 0) + {fv.WEIGHT_SECOND_HIT} * coalesce(weights[2], 0))
-          - coalesce(penalty, 0))) + 1e-12, 3) AS software_score,
+        {round3_sql(f"""greatest(0.0, least(1.0, coalesce(code_points, 0)
+          + {fv.WEIGHT_TEXT}::double * (coalesce(weights[1], 0) + {fv.WEIGHT_SECOND_HIT}::double * coalesce(weights[2], 0))
+          - coalesce(penalty, 0)))""")} AS software_score,
         coalesce(label, '{fv.LABEL_UNKNOWN}') AS software_label,
         coalesce(evidence, '') AS software_evidence
       FROM slugged s LEFT JOIN points p ON s.{key} = p.{key} LEFT JOIN labels_won l ON s.{key} = l.{key})

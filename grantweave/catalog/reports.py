@@ -1 +1,291 @@
+"""Roll-ups, KPIs, facets, pages and SQL over the built registries."""
 
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from grantweave.catalog.base import query, table
+from grantweave.catalog.registry import CALLS_CTES, REGISTRY_CTES, calls, registry
+from grantweave.operators import analytics as a
+from grantweave.sources import sinks
+
+R, C = f"WITH {REGISTRY_CTES}", f"WITH {CALLS_CTES}"
+RC = f"WITH {REGISTRY_CTES}, {CALLS_CTES.replace('slugged', 'slugged2').replace('hits', 'hits2').replace('points', 'points2').replace('label_sums', 'label_sums2').replace('labels_won', 'labels_won2').replace('scored', 'scored2')}"
+
+
+def _cents(name: str, alias: str | None = None):
+    """Sums shown to a tenth, so that the order of adding does not show."""
+    return F.round(name, 1).alias(alias or name)
+
+
+# --------------------------------------------------------------- aggregations
+
+_ROLLUP = """SELECT beneficiary_key, min(beneficiary_name) AS beneficiary_name, min(beneficiary_cui) AS beneficiary_cui,
+  count(*) AS proiecte, round(sum(total_eligible_amount), 1) AS eligibil_total, round(sum(eu_amount), 1) AS finantare_ue,
+  round(sum(eu_amount_derived), 1) AS finantare_ue_dedusa, count(*) FILTER (is_software) AS proiecte_software
+  FROM registry GROUP BY beneficiary_key"""
+
+
+@query("beneficiary_rollup", f"{R} {_ROLLUP}")
+def beneficiary_rollup(spark, sf):
+    rolled = a.beneficiary_rollup(registry(spark, sf))
+    return rolled.select(
+        "beneficiary_key", "beneficiary_name", "beneficiary_cui", "proiecte", _cents("eligibil_total"), _cents("finantare_ue"),
+        _cents("finantare_ue_dedusa"), "proiecte_software",
+    )
+
+
+@query(
+    "registry_stats",
+    f"""{R} SELECT count(*) AS rows, count(DISTINCT beneficiary_key) + max(CASE WHEN beneficiary_key IS NULL THEN 1 ELSE 0 END) AS beneficiaries,
+      count(*) FILTER (is_software) AS software, round(coalesce(sum(total_eligible_amount), 0), 1) AS eligible_total,
+      array_to_string(list_slice(list_sort(list(DISTINCT program)), 1, 12), ', ') AS programs FROM registry""",
+)
+def registry_stats(spark, sf):
+    return a.registry_stats(registry(spark, sf)).withColumn("eligible_total", F.round("eligible_total", 1))
+
+
+@query("label_counts", f"{R} SELECT software_label, count(*) AS n FROM registry GROUP BY 1 ORDER BY n DESC, 1 LIMIT 8")
+def label_counts(spark, sf):
+    return a.label_counts(registry(spark, sf), top=8)
+
+
+def _buckets(key: str, value: str, source: str, top: int) -> str:
+    return f"""SELECT coalesce({key}, '—') AS name, round(coalesce(t, 0) / 1e6, 1) AS value FROM
+      (SELECT {key}, sum({value}) AS t FROM {source} GROUP BY 1 ORDER BY t DESC NULLS LAST, 1 NULLS LAST LIMIT {top})"""
+
+
+@query("top_programs", f"{R} {_buckets('program', 'total_eligible_amount', 'registry', 12)}")
+def top_programs(spark, sf):
+    return a.top_buckets(registry(spark, sf), "program", "total_eligible_amount")
+
+
+@query(
+    "top_buckets",
+    f"WITH o AS (SELECT c_name, o_totalprice FROM orders LEFT JOIN customer ON o_custkey = c_custkey) {_buckets('c_name', 'o_totalprice', 'o', 10)}",
+)
+def top_buckets(spark, sf):
+    # Sums per key first, so the join sees one row per customer.
+    sums = table(spark, sf, "orders").groupBy("o_custkey").agg(F.sum("o_totalprice").alias("o_totalprice"))
+    named = sums.join(table(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey"), "left")
+    return a.top_buckets(named, "c_name", "o_totalprice", 10)
+
+
+_KPI = """SELECT count(*) AS rows, round(coalesce(sum(total_eligible_amount), 0), 1) AS eligible,
+  round(coalesce(sum(payments_amount), 0), 1) AS payments,
+  count(DISTINCT beneficiary_key) + coalesce(max(CASE WHEN beneficiary_key IS NULL THEN 1 ELSE 0 END), 0) AS beneficiaries,
+  round(coalesce(avg(CASE WHEN is_software THEN 1.0 ELSE 0.0 END), 0), 6) AS software_share FROM"""
+
+
+def _kpis(df):
+    return a.project_kpis(df).select(
+        "rows", _cents("eligible"), _cents("payments"), "beneficiaries", F.round("software_share", 6).alias("software_share")
+    )
+
+
+@query("project_kpis", f"{R} {_KPI} registry")
+def project_kpis(spark, sf):
+    return _kpis(registry(spark, sf))
+
+
+@query(
+    "call_kpis",
+    f"""{C} SELECT count(*) AS calls, round(coalesce(sum(budget_amount) FILTER (budget_currency = 'EUR'), 0), 1) AS budget_eur,
+      count(*) FILTER (is_software) AS software FROM calls_registry""",
+)
+def call_kpis(spark, sf):
+    return a.call_kpis(calls(spark, sf)).withColumn("budget_eur", F.round("budget_eur", 1))
+
+
+@query(
+    "build_totals",
+    f"""{RC} SELECT (SELECT count(*) FROM registry) AS projects, (SELECT count(*) FROM registry WHERE is_software) AS software,
+      (SELECT count(*) FROM calls_registry) AS calls, (SELECT count(*) FROM calls_registry WHERE status = 'Activ') AS calls_active""",
+)
+def build_totals(spark, sf):
+    return a.build_totals(registry(spark, sf), calls(spark, sf))
+
+
+@query(
+    "source_totals",
+    """SELECT source, files, bytes, coalesce(n, 0) AS rows FROM
+      (SELECT source, count(*) AS files, cast(sum(n_chars) AS bigint) AS bytes FROM documents GROUP BY 1)
+      LEFT JOIN (SELECT 'src' || (user_id % 15) AS source, count(*) AS n FROM events GROUP BY 1) USING (source)""",
+)
+def source_totals(spark, sf):
+    manifest = table(spark, sf, "documents").selectExpr("source", "n_chars AS bytes")
+    rows = table(spark, sf, "events").selectExpr("concat('src', cast(user_id % 15 as string)) AS source")
+    return a.source_totals(manifest, rows)
+
+
+# --------------------------------------------------------------------- facets
+
+
+@query("facet_options", "SELECT DISTINCT p_brand AS option FROM part WHERE p_brand <> ''")
+def facet_options(spark, sf):
+    return a.facet_options(table(spark, sf, "part"), "p_brand")
+
+
+@query(
+    "facet_options_array",
+    "SELECT DISTINCT option FROM (SELECT unnest(string_split(p_name || ' ', ' ')) AS option FROM part) WHERE option <> ''",
+)
+def facet_options_array(spark, sf):
+    words = table(spark, sf, "part").select(F.split(F.concat("p_name", F.lit(" ")), " ").alias("words"))
+    return a.facet_options_array(words, "words")
+
+
+@query("call_domains", f"{C} SELECT DISTINCT option FROM (SELECT unnest(domains) AS option FROM calls_registry) WHERE option <> ''")
+def call_domains(spark, sf):
+    return a.facet_options_array(calls(spark, sf), "domains")
+
+
+_PROJECT_FILTER = a.ProjectFilter(
+    search="s\\.c\\. firma 1|ERP", program="POCU", county="Cluj", region="Nord-Vest", status="Finalizat", min_amount="20.000,5"
+)
+_PROJECT_WHERE = """registry WHERE program = 'POCU' AND list_contains(counties, 'Cluj') AND list_contains(regions, 'Nord-Vest')
+  AND status = 'Finalizat' AND coalesce(total_eligible_amount, 0) >= 20000.5
+  AND (regexp_matches(beneficiary_name, '(?i)s\\.c\\. firma 1|ERP') OR regexp_matches(coalesce(project_title, ''), '(?i)s\\.c\\. firma 1|ERP')
+    OR contains(coalesce(beneficiary_cui, ''), 's\\.c\\. firma 1|ERP'))"""
+
+
+@query("facet_search", f"{R} SELECT record_id, beneficiary_name, total_eligible_amount FROM {_PROJECT_WHERE}")
+def facet_search(spark, sf):
+    return _PROJECT_FILTER.apply(registry(spark, sf)).select("record_id", "beneficiary_name", "total_eligible_amount")
+
+
+@query("facet_kpis", f"{R} {_KPI} registry WHERE is_software AND software_label = 'produs'")
+def facet_kpis(spark, sf):
+    return _kpis(a.ProjectFilter(only_software=True, label="produs").apply(registry(spark, sf)))
+
+
+@query(
+    "text_search",
+    """SELECT c_custkey FROM customer WHERE regexp_matches(c_name, '(?i)customer#0+1') OR contains(c_mktsegment, 'MACH')""",
+)
+def text_search(spark, sf):
+    named = a.text_matches(F.col("c_name"), "customer#0+1")
+    return table(spark, sf, "customer").where(named | F.col("c_mktsegment").contains("MACH")).select("c_custkey")
+
+
+@query(
+    "call_search",
+    f"""{C} SELECT source, call_id, title FROM calls_registry WHERE status = 'Activ' AND is_software AND list_contains(domains, 'Digitalizare')
+      AND list_contains(beneficiaries, 'IMM') AND coalesce(budget_amount, 0) >= 1000 AND regexp_matches(title, '(?i)digital|erp')""",
+)
+def call_search(spark, sf):
+    wanted = a.CallFilter(
+        search="digital|erp", domain="Digitalizare", beneficiary="IMM", only_software=True, min_budget="1.000"
+    )
+    return wanted.apply(calls(spark, sf)).select("source", "call_id", "title")
+
+
+@query("point_lookup", f"{R} SELECT record_id, project_code FROM registry WHERE record_id = (SELECT max(record_id) FROM identified WHERE record_id IN (SELECT record_id FROM registry))")
+def point_lookup(spark, sf):
+    projects = registry(spark, sf)
+    last = projects.agg(F.max("record_id").alias("record_id"))
+    return projects.join(last, "record_id", "left_semi").select("record_id", "project_code")
+
+
+# ------------------------------------------------------------ sorts and pages
+
+
+@query(
+    "page_of_projects",
+    f"""{R} SELECT record_id, payments_amount FROM registry ORDER BY payments_amount DESC NULLS LAST, record_id LIMIT 25 OFFSET 50""",
+)
+def page_of_projects(spark, sf):
+    return a.page_of_projects(registry(spark, sf), 2, "payments_amount").select("record_id", "payments_amount")
+
+
+@query("page_of_parts", "SELECT p_partkey, p_size FROM part ORDER BY p_size DESC NULLS LAST, p_partkey LIMIT 25 OFFSET 75")
+def page_of_parts(spark, sf):
+    return a.page_of_projects(table(spark, sf, "part"), 3, "p_size", tie="p_partkey").select("p_partkey", "p_size")
+
+
+@query(
+    "page_of_calls",
+    f"""{C} SELECT url, cast(closes_at AS varchar) AS closes_at FROM calls_registry ORDER BY calls_registry.closes_at NULLS LAST, url LIMIT 25 OFFSET 25""",
+)
+def page_of_calls(spark, sf):
+    return a.page_of_calls(calls(spark, sf), 1, tie="url").select("url", F.col("closes_at").cast("string").alias("closes_at"))
+
+
+@query("page_count", f"{R} SELECT cast(greatest(1, ceil(count(*) / 25.0)) AS bigint) AS pages FROM registry WHERE is_software")
+def page_count(spark, sf):
+    return a.page_count(registry(spark, sf).where("is_software"))
+
+
+@query(
+    "closing_soon",
+    f"""{C} SELECT call_id, cast(min(closes_at) AS varchar) AS closes_at FROM (
+      SELECT call_id, calls_registry.closes_at FROM calls_registry WHERE status = 'Activ' AND is_software
+      ORDER BY calls_registry.closes_at NULLS LAST, call_id LIMIT 40) GROUP BY call_id""",
+)
+def closing_soon(spark, sf):
+    soon = a.closing_soon(calls(spark, sf), active=True, software=True)
+    return soon.groupBy("call_id").agg(F.min("closes_at").cast("string").alias("closes_at"))
+
+
+@query("active_calls", f"{C} SELECT url FROM calls_registry WHERE status = 'Activ'")
+def active_calls(spark, sf):
+    return a.CallFilter().apply(calls(spark, sf)).select("url")
+
+
+# ----------------------------------------------------------------- fact rows
+
+_FACTS = {"date": [("Nume", "s_name"), ("Țară", "s_nationkey"), ("Etichete", "tags"), ("Gol", "blank")]}
+
+
+@query(
+    "fact_rows",
+    """SELECT s_suppkey, cast(place AS bigint) AS place, 'date' AS section, label, value FROM (
+      SELECT s_suppkey, 0 AS place, 'Nume' AS label, s_name AS value FROM supplier
+      UNION ALL SELECT s_suppkey, 1, 'Țară', cast(s_nationkey AS varchar) FROM supplier
+      UNION ALL SELECT s_suppkey, 2, 'Etichete', CASE WHEN s_suppkey % 2 = 0 THEN 'a, b' ELSE '—' END FROM supplier
+      UNION ALL SELECT s_suppkey, 3, 'Gol', '—' FROM supplier)""",
+)
+def fact_rows(spark, sf):
+    rows = table(spark, sf, "supplier").selectExpr(
+        "s_suppkey", "s_name", "s_nationkey", "' ' AS blank", "IF(s_suppkey % 2 = 0, array('a', 'b'), NULL) AS tags"
+    )
+    facts = a.fact_rows(rows, "s_suppkey", _FACTS)
+    return facts.withColumn("place", F.col("place").cast("bigint"))
+
+
+@query(
+    "registry_facts",
+    f"""{R} SELECT label, value, count(*) AS n FROM (
+      SELECT 'Județe' AS label, coalesce(nullif(array_to_string(counties, ', '), ''), '—') AS value FROM registry
+      UNION ALL SELECT 'Stadiu', coalesce(nullif(trim(project_status), ''), '—') FROM registry
+      UNION ALL SELECT 'Etichetă', software_label FROM registry
+      UNION ALL SELECT 'Sursă', source FROM registry) GROUP BY ALL""",
+)
+def registry_facts(spark, sf):
+    facts = a.fact_rows(registry(spark, sf)).where(F.col("label").isin("Județe", "Stadiu", "Etichetă", "Sursă"))
+    return facts.groupBy("label", "value").agg(F.count(F.lit(1)).alias("n"))
+
+
+# -------------------------------------------------------------- SQL and export
+
+
+@query(
+    "published_views",
+    f"""{R} SELECT program, count(*) AS projects, count(DISTINCT beneficiary_key) AS repeat_beneficiaries FROM registry
+      WHERE is_software AND beneficiary_key IN (SELECT beneficiary_key FROM registry GROUP BY 1 HAVING count(*) > 1) GROUP BY program""",
+)
+def published_views(spark, sf):
+    sinks.publish_views(registry(spark, sf), names={"projects": "catalog_projects", "software": "catalog_software", "beneficiaries": "catalog_beneficiaries"})
+    return spark.sql(
+        """SELECT program, count(*) AS projects, count(DISTINCT s.beneficiary_key) AS repeat_beneficiaries
+        FROM catalog_software s LEFT SEMI JOIN catalog_beneficiaries b ON s.beneficiary_key = b.beneficiary_key AND b.proiecte > 1
+        GROUP BY program"""
+    )
+
+
+@query(
+    "flat_export",
+    f"""{R} SELECT record_id, cast(to_json(counties) AS varchar) AS counties, cast(to_json(regions) AS varchar) AS regions FROM registry WHERE is_software""",
+)
+def flat_export(spark, sf):
+    return sinks.flat(registry(spark, sf).where("is_software").select("record_id", "counties", "regions"))

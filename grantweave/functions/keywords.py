@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from grantweave import fixed_values as fv
-from grantweave.functions.text import slug
+from grantweave.functions.text import let, slug
 
 
 @dataclass(frozen=True)
@@ -79,61 +80,28 @@ def with_keyword_score(
     text = F.concat(
         F.coalesce(F.col(title), F.lit("")), F.lit(" "), F.coalesce(F.col(body), F.lit(""))
     )
-    # One entry per possible reason: (condition, name, label, weight). The two
-    # activity reasons and the intervention come first, as in the score.
+    # One entry per possible reason: (condition on the padded slug, name, label,
+    # weight). The two activity reasons and the intervention come first, as in
+    # the score.
     bucket = activity_bucket(F.col(activity)) if activity else F.lit(None).cast("string")
     digital = is_digital_intervention(F.col(intervention)) if intervention else F.lit(False)
-    padded = F.col("_padded")
-    entries: list[tuple[Column, str, str, float]] = [
-        (bucket == "software", "", "produs", fv.WEIGHT_ACTIVITY),
-        (bucket == "cdi", "", "cdi", fv.WEIGHT_ACTIVITY * fv.RESEARCH_SHARE),
-        (digital, "", fv.LABEL_DIGITAL, fv.WEIGHT_INTERVENTION),
+    entries: list[tuple[Callable[[Column], Column], str, str, float]] = [
+        (lambda _: bucket == "software", "", "produs", fv.WEIGHT_ACTIVITY),
+        (lambda _: bucket == "cdi", "", "cdi", fv.WEIGHT_ACTIVITY * fv.RESEARCH_SHARE),
+        (lambda _: digital, "", fv.LABEL_DIGITAL, fv.WEIGHT_INTERVENTION),
     ]
     codes = len(entries)
-    entries += [(phrase_in(padded, k), k, lab, w) for k, lab, w in dictionary.keywords]
+    entries += [(_holds(k), k, label, w) for k, label, w in dictionary.keywords]
     texts = len(entries)
-    entries += [(phrase_in(padded, k), f"-{k}", "", p) for k, p in dictionary.negatives]
+    entries += [(_holds(k), f"-{k}", "", penalty) for k, penalty in dictionary.negatives]
 
     names = F.array(*[F.lit(e[1]) for e in entries])
     labels = F.array(*[F.lit(e[2]) for e in entries])
     weights = F.array(*[F.lit(float(e[3])) for e in entries])
-    hits = F.col("_hits")
 
     def weight(i: Column) -> Column:
         return F.element_at(weights, i)
 
-    total = F.aggregate(
-        F.filter(hits, lambda i: i <= codes), F.lit(0.0), lambda acc, i: acc + weight(i)
-    )
-    best = F.sort_array(
-        F.transform(F.filter(hits, lambda i: (i > codes) & (i <= texts)), weight), asc=False
-    )
-    lead = F.coalesce(F.get(best, F.lit(0)), F.lit(0.0))
-    second = F.coalesce(F.get(best, F.lit(1)), F.lit(0.0))
-    total = total + F.lit(fv.WEIGHT_TEXT) * (lead + F.lit(fv.WEIGHT_SECOND_HIT) * second)
-    total = F.aggregate(
-        F.concat(F.array(total), F.transform(F.filter(hits, lambda i: i > texts), weight)),
-        F.lit(None).cast("double"),
-        lambda acc, w: F.when(acc.isNull(), w).otherwise(acc - w),
-    )
-    score = F.round(F.greatest(F.lit(0.0), F.least(F.lit(1.0), total)), 3)
-
-    # Largest weight sum wins; the label that was hit first wins a tie.
-    positive = F.filter(hits, lambda i: i <= texts)
-    sums = F.transform(
-        F.array_distinct(F.transform(positive, lambda i: F.element_at(labels, i))),
-        lambda name, rank: F.struct(
-            F.aggregate(
-                F.filter(positive, lambda i: F.element_at(labels, i) == name),
-                F.lit(0.0),
-                lambda acc, i: acc + weight(i),
-            ).alias("sum"),
-            (-rank).alias("rank"),
-            name.alias("name"),
-        ),
-    )
-    label = F.coalesce(F.array_max(sums)["name"], F.lit(fv.LABEL_UNKNOWN))
-
     def reason(i: Column) -> Column:
         named = F.element_at(names, i)
         if activity:
@@ -148,20 +116,74 @@ def with_keyword_score(
             named = F.when(i == 3, F.concat(F.lit("intervenție "), key)).otherwise(named)
         return named
 
-    evidence = F.array_join(F.transform(F.slice(hits, 1, fv.EVIDENCE_MAX), reason), "; ")
-    some = F.size(hits) > 0
-    found = F.array_compact(
-        F.array(*[F.when(e[0], F.lit(n)) for n, e in enumerate(entries, start=1)])
-    )
-    return (
-        df.withColumn("_padded", F.concat(F.lit(" "), slug(text), F.lit(" ")))
-        .withColumn("_hits", found)
-        .withColumns(
-            {
-                "software_score": F.when(some, score).otherwise(F.lit(0.0)),
-                "software_label": F.when(some, label).otherwise(F.lit(fv.LABEL_UNKNOWN)),
-                "software_evidence": F.when(some, evidence).otherwise(F.lit("")),
-            }
+    def score(hits: Column) -> Column:
+        coded = F.aggregate(
+            F.filter(hits, lambda i: i <= codes), F.lit(0.0), lambda acc, i: acc + weight(i)
+        )
+        best = F.sort_array(
+            F.transform(F.filter(hits, lambda i: (i > codes) & (i <= texts)), weight), asc=False
+        )
+        read = let(
+            best,
+            lambda b: F.lit(fv.WEIGHT_TEXT)
+            * (
+                F.coalesce(F.get(b, F.lit(0)), F.lit(0.0))
+                + F.lit(fv.WEIGHT_SECOND_HIT) * F.coalesce(F.get(b, F.lit(1)), F.lit(0.0))
+            ),
+        )
+        total = F.aggregate(
+            F.concat(
+                F.array(coded + read),
+                F.transform(F.filter(hits, lambda i: i > texts), lambda i: -weight(i)),
+            ),
+            F.lit(0.0),
+            lambda acc, w: acc + w,
         )
-        .drop("_padded", "_hits")
+        return F.round(F.greatest(F.lit(0.0), F.least(F.lit(1.0), total)), 3)
+
+    def label(hits: Column) -> Column:
+        # Largest weight sum wins; the label that was hit first wins a tie.
+        positive = F.filter(hits, lambda i: i <= texts)
+        sums = F.transform(
+            F.array_distinct(F.transform(positive, lambda i: F.element_at(labels, i))),
+            lambda name, rank: F.struct(
+                F.aggregate(
+                    F.filter(positive, lambda i: F.element_at(labels, i) == name),
+                    F.lit(0.0),
+                    lambda acc, i: acc + weight(i),
+                ).alias("sum"),
+                (-rank).alias("rank"),
+                name.alias("name"),
+            ),
+        )
+        return F.coalesce(F.array_max(sums)["name"], F.lit(fv.LABEL_UNKNOWN))
+
+    def evidence(hits: Column) -> Column:
+        return F.array_join(F.transform(F.slice(hits, 1, fv.EVIDENCE_MAX), reason), "; ")
+
+    def verdict(hits: Column) -> Column:
+        some = F.size(hits) > 0
+        return F.struct(
+            F.when(some, score(hits)).otherwise(F.lit(0.0)).alias("score"),
+            F.when(some, label(hits)).otherwise(F.lit(fv.LABEL_UNKNOWN)).alias("label"),
+            F.when(some, evidence(hits)).otherwise(F.lit("")).alias("evidence"),
+        )
+
+    def found(padded: Column) -> Column:
+        return F.array_compact(
+            F.array(*[F.when(e[0](padded), F.lit(n)) for n, e in enumerate(entries, start=1)])
+        )
+
+    # The slug and the hits are each bound once, so a later filter on the score
+    # that Spark pushes below this step repeats them once, not once per phrase.
+    padded = F.concat(F.lit(" "), slug(text), F.lit(" "))
+    signal = let(padded, lambda p: let(found(p), verdict))
+    return (
+        df.withColumn("_signal", signal)
+        .withColumns({f"software_{name}": F.col(f"_signal.{name}") for name in ("score", "label", "evidence")})
+        .drop("_signal")
     )
+
+
+def _holds(phrase: str) -> Callable[[Column], Column]:
+    return lambda padded: phrase_in(padded, phrase)

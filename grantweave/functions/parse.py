@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from grantweave import fixed_values as fv
-from grantweave.functions.text import SPACE, strip_space
+from grantweave.functions.text import SPACE, let, strip_space
 
 _NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 
@@ -21,7 +21,10 @@ def money(value: Column) -> Column:
     With both separators the last one is the decimal mark; a lone comma is a
     decimal mark; several dots alone are not a number.
     """
-    text = F.regexp_replace(value.cast("string"), r"[^0-9,.\-]", "")
+    return let(F.regexp_replace(value.cast("string"), r"[^0-9,.\-]", ""), _money)
+
+
+def _money(text: Column) -> Column:
     comma, dot = F.instr(text, ","), F.instr(text, ".")
     last_comma = F.instr(F.reverse(text), ",")
     last_dot = F.instr(F.reverse(text), ".")
@@ -60,8 +63,10 @@ def date(value: Column) -> Column:
     Two-digit years below 69 are 20xx. Day numbers count from 1899-12-30 and
     must lie between 1 and 200000.
     """
-    text = strip_space(value.cast("string"))
-    word = F.substring_index(text, " ", 1)
+    return let(strip_space(value.cast("string")), lambda text: _date(text, F.substring_index(text, " ", 1)))
+
+
+def _date(text: Column, word: Column) -> Column:
     serial = _double(F.translate(text, ",", "."))
     days = F.date_add(F.lit("1899-12-30").cast("date"), F.floor(serial).try_cast("int"))
     return F.coalesce(
@@ -90,7 +95,10 @@ _LONG_DATE = r"(\d{1,2})\s+([a-zăîâșț]+)\s+(\d{4})"
 
 def long_date(value: Column) -> Column:
     """``31 decembrie 2026 23:59``, ``31.12.2026``, ``31/12/2026`` or ISO."""
-    text = F.lower(strip_space(value))
+    return let(F.lower(strip_space(value)), _written_date)
+
+
+def _written_date(text: Column) -> Column:
     month = F.regexp_extract(text, _LONG_DATE, 2)
     number = F.lit(None).cast("string")
     for name, index in fv.MONTHS.items():

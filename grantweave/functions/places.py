@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from grantweave import fixed_values as fv
-from grantweave.functions.text import plain_letters, slug
+from grantweave.functions.text import let, plain_letters, slug
 
 
 @dataclass(frozen=True)
@@ -43,6 +43,10 @@ def isolated_codes(original: Column) -> Column:
 
 def named_counties(plain: Column, codes: Column, places: PlaceDictionary) -> Column:
     """Sorted counties a text names in full, by another spelling, or by code."""
+    return let(codes, lambda bound: _named(plain, bound, places))
+
+
+def _named(plain: Column, codes: Column, places: PlaceDictionary) -> Column:
     found = []
     for county, (code, _) in places.counties.items():
         hit = _names(plain, county)
@@ -97,20 +101,22 @@ def with_places(
     present = [F.nullif(F.col(c), F.lit("")) for c in columns if c in df.columns]
     if not present:
         return df
+
+    def of_text(text: Column) -> Column:
+        return let(F.lower(plain_letters(text)), lambda plain: let(
+            named_counties(plain, isolated_codes(text), places), lambda named: of_names(named, plain)
+        ))
+
+    def of_names(named: Column, plain: Column) -> Column:
+        owned = regions_of(named, places)
+        regions = F.when(F.size(named) > 0, owned).otherwise(regions_in(plain, places))
+        return F.struct(or_national(named, plain, places).alias("counties"), regions.alias("regions"))
+
     return (
-        df.withColumn("_place", F.concat_ws(" ", *present))
-        .withColumn("_plain", F.lower(plain_letters(F.col("_place"))))
-        .withColumn("_codes", isolated_codes(F.col("_place")))
-        .withColumn("_named", named_counties(F.col("_plain"), F.col("_codes"), places))
-        .withColumn("counties", or_national(F.col("_named"), F.col("_plain"), places))
-        .withColumn("_of", regions_of(F.col("counties"), places))
-        .withColumn(
-            "regions",
-            F.when(F.size("_of") > 0, F.col("_of")).otherwise(
-                regions_in(F.col("_plain"), places)
-            ),
-        )
-        .drop("_place", "_plain", "_codes", "_named", "_of")
+        df.withColumn("_places", let(F.concat_ws(" ", *present), of_text))
+        .withColumn("counties", F.col("_places.counties"))
+        .withColumn("regions", F.col("_places.regions"))
+        .drop("_places")
     )
 
 
@@ -129,11 +135,8 @@ def with_status(
     unknown: str = fv.STATUS_UNKNOWN,
 ) -> DataFrame:
     """Adds ``status`` from a raw status column, which stays as published."""
-    return (
-        df.withColumn("_key", slug(F.col(column)))
-        .withColumn("status", status_of(F.col("_key"), rules, unknown))
-        .drop("_key")
-    )
+    found = let(slug(F.col(column)), lambda key: status_of(key, rules, unknown))
+    return df.withColumn("status", found)
 
 
 def call_status(opens: Column, closes: Column, continuous: Column, as_of: Column) -> Column:

@@ -27,17 +27,19 @@ def taxonomy_names(
     gathered per item. An item's lists are as long as its own id lists.
     """
     taxonomies = taxonomies or fv.TAXONOMIES
-    tagged = [
-        F.transform(
+
+    def tagged(name: str) -> Column:
+        return F.transform(
             F.coalesce(F.col(name), F.array().cast("array<bigint>")),
-            lambda i, at, name=name: F.struct(
-                F.lit(name).alias("taxonomy"), at.alias("place"), i.cast("bigint").alias("id")
+            lambda i, at: F.struct(
+                F.lit(name).alias("taxonomy"), at.alias("place"), i.cast("bigint").alias("_term")
             ),
         )
-        for name in taxonomies
-    ]
-    exploded = items.select(key, F.explode(F.concat(*tagged)).alias("t")).select(key, "t.*")
-    named = exploded.join(terms.where(F.col("name") != ""), ["taxonomy", "id"])
+
+    ids = F.concat(*[tagged(name) for name in taxonomies])
+    exploded = items.select(key, F.explode(ids).alias("t")).select(key, "t.*")
+    known = terms.where(F.col("name") != "").select("taxonomy", F.col("id").alias("_term"), "name")
+    named = exploded.join(known, ["taxonomy", "_term"])
 
     def gathered(name: str) -> Column:
         pair = F.when(F.col("taxonomy") == name, F.struct("place", "name"))

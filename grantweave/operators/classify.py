@@ -38,10 +38,19 @@ def with_domain_boost(
     return _boost(df, tagged, F.lit(fv.WEIGHT_DOMAIN), F.lit(f"domeniu: {domain}"), None)
 
 
+def _two_decimals(score: Column) -> Column:
+    """A three-decimal score between 0 and 1 with two decimals. A final 5 goes the
+    way of the stored binary number, which lies just below or above it."""
+    below = [k for k in range(5, 1000, 10) if float(f"{k / 1000:.2f}") < k / 1000]
+    thousandths = F.round(score * 1000).cast("int")
+    hundredths = F.floor((thousandths + 5) / 10) - thousandths.isin(below).cast("int")
+    return F.format_string("%d.%02d", F.floor(hundredths / 100), hundredths % 100)
+
+
 def with_meaning(df: DataFrame, meaning: str = "meaning") -> DataFrame:
     """Adds the meaning score (see ``vectors``) where it is above 0."""
     score = F.col(meaning)
-    said = F.concat(F.lit("înțeles "), F.format_string("%.2f", score))
+    said = F.concat(F.lit("înțeles "), _two_decimals(score))
     return _boost(
         df, F.coalesce(score > 0, F.lit(False)), F.lit(fv.WEIGHT_MEANING) * score, None, said
     )
