@@ -14,6 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from grantweave import fixed_values as fv
+from grantweave.sources.files import spread
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -36,6 +37,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_KEYS = {
+    "documents": "doc_id", "pages": "page_id", "conversations": "conv_id", "lineitem": "l_orderkey",
+    "orders": "o_orderkey", "customer": "c_custkey", "events": "event_id",
+}
+
+
+def wide(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table whose rows need much work each, spread over all cores."""
+    return spread(table(spark, sf_dir, name), _KEYS[name])
+
+
 def pick(value: str, *options: str) -> str:
     """SQL choosing an option by a whole number, round robin."""
     cases = " ".join(f"WHEN {i} THEN {o}" for i, o in enumerate(options[:-1]))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from grantweave import fixed_values as fv
 from grantweave import schema
 from grantweave.catalog.base import (
-    company_sql, counties_sql, eu_sql, keyword_ctes, pick, query, regions_sql, round3_sql, status_sql, table,
+    company_sql, counties_sql, eu_sql, keyword_ctes, pick, query, regions_sql, round3_sql, status_sql, table, wide,
 )
 from grantweave.functions import amounts, places
 from grantweave.functions.keywords import KeywordDictionary, activity_bucket, is_digital_intervention, with_keyword_score
@@ -33,7 +33,7 @@ PLACE_TEXT = pick(
     FROM (SELECT c_custkey, t, {counties_sql('t')} AS counties FROM (SELECT c_custkey, {PLACE_TEXT} || ' ' || c_name AS t FROM customer))""",
 )
 def extract_places(spark, sf):
-    rows = table(spark, sf, "customer").selectExpr("c_custkey", f"{PLACE_TEXT} AS county", "c_name AS locality")
+    rows = wide(spark, sf, "customer").selectExpr("c_custkey", f"{PLACE_TEXT} AS county", "c_name AS locality")
     found = places.with_places(rows)
     return found.select(
         "c_custkey", F.array_join("counties", "; ").alias("counties"), F.array_join("regions", "; ").alias("regions")
@@ -49,7 +49,7 @@ STATUS_TEXT = pick(
 
 @query("status_rules", f"SELECT o_orderkey, {status_sql(STATUS_TEXT)} AS status FROM orders")
 def status_rules(spark, sf):
-    rows = table(spark, sf, "orders").selectExpr("o_orderkey", f"{STATUS_TEXT} AS project_status")
+    rows = wide(spark, sf, "orders").selectExpr("o_orderkey", f"{STATUS_TEXT} AS project_status")
     return places.with_status(rows).select("o_orderkey", "status")
 
 
@@ -66,7 +66,7 @@ _ELIGIBLE = "CASE WHEN l_partkey % 13 = 0 THEN NULL ELSE l_extendedprice END"
 )
 def derived_share(spark, sf):
     keys = ["l_orderkey", "l_partkey", "l_linenumber"]
-    rows = table(spark, sf, "lineitem").selectExpr(
+    rows = wide(spark, sf, "lineitem").selectExpr(
         *keys, f"{_ELIGIBLE} AS total_eligible_amount", f"{_PUBLISHED} AS eu_amount", f"cast({_RATE} as double) AS cofinancing_rate"
     )
     derived = amounts.with_eu_amount(rows)
@@ -91,7 +91,7 @@ ENGLISH = KeywordDictionary(
     f"WITH {keyword_ctes('documents', 'doc_id', 'text', ENGLISH.keywords, ENGLISH.negatives)} SELECT * FROM scored",
 )
 def keyword_score(spark, sf):
-    docs = table(spark, sf, "documents").withColumn("none", F.lit(None).cast("string"))
+    docs = wide(spark, sf, "documents").withColumn("none", F.lit(None).cast("string"))
     scored = with_keyword_score(docs, "text", "none", dictionary=ENGLISH)
     return scored.select("doc_id", "software_score", "software_label", "software_evidence")
 
@@ -118,7 +118,7 @@ _PROJECT_TEXTS = f"(SELECT doc_id, {_PHRASE} AS t, text, {_CAEN} AS caen, {_INTE
     SELECT *, software_score >= 0.5 AS is_software FROM scored""",
 )
 def classify_projects(spark, sf):
-    docs = table(spark, sf, "documents").selectExpr(
+    docs = wide(spark, sf, "documents").selectExpr(
         "doc_id", f"{_PHRASE} AS project_title", "text AS project_summary", f"{_CAEN} AS caen", f"{_INTERVENTION} AS intervention_code"
     )
     done = classify.classify_projects(docs)
@@ -156,7 +156,7 @@ def domain_boost(spark, sf):
     tags = table(spark, sf, "labels").select(
         "doc_id", F.when(F.col("quality") == 1, F.array(F.lit("Sănătate"), F.lit("Digitalizare"))).alias("domains")
     )
-    docs = table(spark, sf, "documents").selectExpr("doc_id", f"{_CALL_TITLE} AS title", "text AS specific_objective")
+    docs = wide(spark, sf, "documents").selectExpr("doc_id", f"{_CALL_TITLE} AS title", "text AS specific_objective")
     done = classify.classify_calls(docs.join(tags, "doc_id", "left"))
     return done.select("doc_id", "software_score", "software_label", "software_evidence", "is_software")
 
@@ -205,7 +205,7 @@ def contrastive(spark, sf):
 )
 def meaning_blend(spark, sf):
     meaning = contrastive(spark, sf).select(F.col("vec_id").alias("doc_id"), F.col("score").alias("meaning"))
-    docs = table(spark, sf, "documents").selectExpr("doc_id", f"{_PHRASE} AS project_title", "'' AS project_summary")
+    docs = wide(spark, sf, "documents").selectExpr("doc_id", f"{_PHRASE} AS project_title", "'' AS project_summary")
     done = classify.classify_projects(docs.join(meaning, "doc_id", "left"), meaning="meaning")
     return done.select("doc_id", "software_score", "software_label", "software_evidence")
 
@@ -285,7 +285,7 @@ _PAGE_LISTS = "html || '<p>Domenii Apel:</p><p>Digitalizare</p><p>Zone Geografic
     FROM orders o JOIN items i ON o.o_orderkey = i.id LEFT JOIN detail d ON d.slug = 'p' || (o_orderkey % 400)""",
 )
 def call_rows(spark, sf):
-    pages = table(spark, sf, "pages").selectExpr("concat('p', cast(page_id as string)) AS slug", f"{_PAGE_LISTS} AS html")
+    pages = wide(spark, sf, "pages").selectExpr("concat('p', cast(page_id as string)) AS slug", f"{_PAGE_LISTS} AS html")
     details = calls_ops.page_details(pages)
     rows = calls_ops.call_rows(_items(spark, sf), _terms(spark, sf), details, F.lit("2026-06-01").cast("date"))
     return rows.select(
@@ -331,7 +331,7 @@ _INTERIM_SQL = "SELECT " + ", ".join(f"{e} AS {n}" for n, e in _INTERIM.items())
 
 
 def interim_projects(spark, sf) -> DataFrame:
-    rows = table(spark, sf, "lineitem").selectExpr(*[f"{e} AS {n}" for n, e in _INTERIM.items()])
+    rows = wide(spark, sf, "lineitem").selectExpr(*[f"{e} AS {n}" for n, e in _INTERIM.items()])
     return schema.conform(rows)
 
 
@@ -410,7 +410,7 @@ def interim_calls(spark, sf) -> DataFrame:
     def array(e):
         return e.replace("[", "array(").replace("]", ")")
 
-    rows = table(spark, sf, "orders").selectExpr(
+    rows = wide(spark, sf, "orders").selectExpr(
         *[f"{e} AS {n}" for n, e in _CALL.items()],
         f"{array(_CALL_DOMAINS)} AS domains", f"{array(_CALL_BENEFICIARIES)} AS beneficiaries",
     )

@@ -3,11 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from grantweave import fixed_values as fv
 from grantweave import schema
-from grantweave.catalog.base import SPACES, money_sql, pick, query, slug_sql, squeeze_sql, table
+from grantweave.catalog.base import SPACES, money_sql, pick, query, slug_sql, squeeze_sql, table, wide
 from grantweave.catalog.texts import DATE_TEXT, MONEY_TEXT
 from grantweave.operators import clean, dedup, headers, selection
 
@@ -45,14 +44,14 @@ def raw_grid(spark, sf):
     def array(items):
         return f"array({', '.join(items)})"
 
-    head = table(spark, sf, "customer").selectExpr(
+    head = wide(spark, sf, "customer").selectExpr(
         f"{_LIST} AS file_path",
         f"""inline(array(
           named_struct('row_no', 0L, 'cells', array(concat('LISTA PROIECTELOR ', c_name))),
           named_struct('row_no', 1L, 'cells', {pick('c_custkey', *[array(_quoted(h)) for h in _HEADERS])}),
           named_struct('row_no', IF(c_custkey % 2 = 0, 2L, NULL), 'cells', {array(_quoted(_ENGLISH))})))""",
     ).where("row_no IS NOT NULL")
-    orders = headers.number_rows(table(spark, sf, "orders"), ["o_custkey"], "o_orderkey", "place", 4096)
+    orders = headers.number_rows(wide(spark, sf, "orders"), ["o_custkey"], "o_orderkey", "place", 4096)
     body = orders.selectExpr(
         "concat('list-', cast(o_custkey as string)) AS file_path",
         "place + 3 AS row_no",
@@ -149,7 +148,7 @@ def number_rows(spark, sf):
 
 # ------------------------------------------------------------ schemas, unions
 
-_MINI = T.StructType.fromDDL("key BIGINT, name STRING, nation INT, balance DOUBLE, segment STRING, since DATE")
+_MINI = schema.struct("key BIGINT, name STRING, nation INT, balance DOUBLE, segment STRING, since DATE")
 
 
 @query(
@@ -191,7 +190,7 @@ _TOTAL_WORDS = fv.TOTAL_ROW_WORDS
       AND NOT (mode = 'intended' AND regexp_matches(name, '(?i)^{_TOTAL_WORDS}'))""",
 )
 def clean_rows(spark, sf):
-    names = table(spark, sf, "customer").selectExpr("c_custkey", f"{_NAME} AS beneficiary_name")
+    names = wide(spark, sf, "customer").selectExpr("c_custkey", f"{_NAME} AS beneficiary_name")
     both = [
         clean.clean_rows(names, mode).select("c_custkey", F.lit(mode).alias("mode"), F.col("beneficiary_name").alias("name"))
         for mode in ("literal", "intended")
@@ -206,7 +205,7 @@ def clean_rows(spark, sf):
 )
 def clean_amounts(spark, sf):
     keys = ["l_orderkey", "l_partkey", "l_linenumber"]
-    rows = table(spark, sf, "lineitem").selectExpr(
+    rows = wide(spark, sf, "lineitem").selectExpr(
         *keys, f"{MONEY_TEXT} AS total_eligible_amount",
         "CASE WHEN l_suppkey % 3 > 0 THEN concat('Firma ', cast(l_suppkey as string)) ELSE '000' END AS beneficiary_name",
     )

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from grantweave import fixed_values as fv
 from grantweave.catalog.base import (
     SPACES, company_sql, grouped, money_sql, number_sql, pick, query, slug_sql, squeeze_sql, table,
-    text_of, two_digits,
+    text_of, two_digits, wide,
 )
 from grantweave.functions import html, links, parse, places, text
 from grantweave.operators import selection
@@ -16,12 +16,12 @@ from grantweave.sources.files import markdown_cells
 
 @query("slug_text", f"SELECT doc_id, {slug_sql('text')} AS slug FROM documents")
 def slug_text(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", text.slug(F.col("text")).alias("slug"))
+    return wide(spark, sf, "documents").select("doc_id", text.slug(F.col("text")).alias("slug"))
 
 
 @query("plain_letters", "SELECT doc_id, strip_accents(text) AS plain FROM documents")
 def plain_letters(spark, sf):
-    docs = table(spark, sf, "documents")
+    docs = wide(spark, sf, "documents")
     return docs.select("doc_id", text.plain_letters(F.col("text")).alias("plain"))
 
 
@@ -43,7 +43,7 @@ _COMPANY = pick(
     FROM (SELECT c_custkey, {_COMPANY} AS name FROM customer)""",
 )
 def company_key(spark, sf):
-    names = table(spark, sf, "customer").selectExpr("c_custkey", f"{_COMPANY} AS name")
+    names = wide(spark, sf, "customer").selectExpr("c_custkey", f"{_COMPANY} AS name")
     return names.select(
         "c_custkey",
         text.company_key(F.col("name")).alias("literal_key"),
@@ -80,7 +80,7 @@ _FILE = "CASE WHEN l_linenumber < 7 THEN concat('liste/', cast(l_orderkey as str
     FROM lineitem""",
 )
 def record_id(spark, sf):
-    lines = table(spark, sf, "lineitem").withColumn("file", F.expr(_FILE))
+    lines = wide(spark, sf, "lineitem").withColumn("file", F.expr(_FILE))
     made = text.record_id(F.col("l_returnflag"), F.col("file"), F.col("l_linenumber"))
     return lines.select("l_orderkey", "l_partkey", "l_linenumber", made.alias("record_id"))
 
@@ -106,7 +106,7 @@ MONEY_TEXT = pick(
 )
 def parse_money(spark, sf):
     keys = ["l_orderkey", "l_partkey", "l_linenumber"]
-    texts = table(spark, sf, "lineitem").selectExpr(*keys, f"{MONEY_TEXT} AS v")
+    texts = wide(spark, sf, "lineitem").selectExpr(*keys, f"{MONEY_TEXT} AS v")
     return texts.select(*keys, "v", parse.money(F.col("v")).alias("amount"))
 
 
@@ -162,7 +162,7 @@ def date_sql(x: str) -> str:
     FROM (SELECT o_orderkey, {DATE_TEXT} AS v FROM orders)""",
 )
 def parse_dates(spark, sf):
-    texts = table(spark, sf, "orders").selectExpr("o_orderkey", f"{DATE_TEXT} AS v")
+    texts = wide(spark, sf, "orders").selectExpr("o_orderkey", f"{DATE_TEXT} AS v")
     return texts.select("o_orderkey", "v", parse.date(F.col("v")).cast("string").alias("day"))
 
 
@@ -202,7 +202,7 @@ def long_date_sql(x: str) -> str:
     FROM (SELECT o_orderkey, {LONG_DATE_TEXT} AS v FROM orders)""",
 )
 def parse_long_dates(spark, sf):
-    texts = table(spark, sf, "orders").selectExpr("o_orderkey", f"{LONG_DATE_TEXT} AS v")
+    texts = wide(spark, sf, "orders").selectExpr("o_orderkey", f"{LONG_DATE_TEXT} AS v")
     return texts.select("o_orderkey", "v", parse.long_date(F.col("v")).cast("string").alias("day"))
 
 
@@ -232,7 +232,7 @@ def amount_sql(x: str) -> tuple[str, str]:
     FROM (SELECT o_orderkey, {AMOUNT_TEXT} AS v FROM orders)""",
 )
 def call_amount(spark, sf):
-    texts = table(spark, sf, "orders").selectExpr("o_orderkey", f"{AMOUNT_TEXT} AS v")
+    texts = wide(spark, sf, "orders").selectExpr("o_orderkey", f"{AMOUNT_TEXT} AS v")
     return texts.select("o_orderkey", parse.call_amount(F.col("v")).alias("a")).select("o_orderkey", "a.*")
 
 
@@ -266,7 +266,7 @@ _POINT = f"({_first_json('p')})"
     FROM (SELECT event_id, props, ({JSON_TEXT})::json AS j FROM events)""",
 )
 def json_first(spark, sf):
-    items = table(spark, sf, "events").selectExpr(
+    items = wide(spark, sf, "events").selectExpr(
         "event_id", f"try_parse_json({JSON_TEXT}) AS j", "try_parse_json(props) AS own"
     )
     j = F.col("j")
@@ -301,7 +301,7 @@ def iso_dates(spark, sf):
     FROM pages""",
 )
 def clean_markup(spark, sf):
-    return table(spark, sf, "pages").select("page_id", parse.clean_markup(F.col("html")).alias("clean"))
+    return wide(spark, sf, "pages").select("page_id", parse.clean_markup(F.col("html")).alias("clean"))
 
 
 def unescape_sql(x: str) -> str:
@@ -321,7 +321,7 @@ def page_text_sql(page: str) -> str:
 
 @query("page_text", f"SELECT page_id, {page_text_sql('html')} AS page_text FROM pages")
 def page_text(spark, sf):
-    return table(spark, sf, "pages").select("page_id", html.plain_text(F.col("html")).alias("page_text"))
+    return wide(spark, sf, "pages").select("page_id", html.plain_text(F.col("html")).alias("page_text"))
 
 
 _TITLE = "regexp_extract(html, '<title>([^<]*)', 1)"
@@ -340,7 +340,7 @@ def page_title(spark, sf):
 )
 def page_links(spark, sf):
     found = html.links(F.col("html"), 'href="([^"]+)"')
-    return table(spark, sf, "pages").select("page_id", F.array_join(found, " ").alias("links"))
+    return wide(spark, sf, "pages").select("page_id", F.array_join(found, " ").alias("links"))
 
 
 # The whole page, followed by the labelled part of a call page.
@@ -394,7 +394,7 @@ CALL_FIELDS_SQL = f"""
 
 @query("call_page_fields", CALL_FIELDS_SQL)
 def call_page_fields(spark, sf):
-    pages = table(spark, sf, "pages").selectExpr("page_id", f"{CALL_PAGE} AS page")
+    pages = wide(spark, sf, "pages").selectExpr("page_id", f"{CALL_PAGE} AS page")
     pages = pages.withColumn("t", html.plain_text(F.col("page")))
     fields = html.call_page(F.col("t"), F.col("page"))
     fields |= {n: fields[n].cast("string") for n in ("opens_at", "closes_at")}
@@ -444,7 +444,7 @@ _LINK_CODE = "CASE WHEN doc_id % 6 = 0 THEN '' ELSE concat('Q', cast(doc_id as s
     FROM (SELECT *, {_LINK_SOURCE} AS s, {_LINK_CODE} AS c FROM documents)""",
 )
 def build_links(spark, sf):
-    docs = table(spark, sf, "documents").selectExpr("*", f"{_LINK_SOURCE} AS s", f"{_LINK_CODE} AS c")
+    docs = wide(spark, sf, "documents").selectExpr("*", f"{_LINK_SOURCE} AS s", f"{_LINK_CODE} AS c")
     return docs.select(
         "doc_id",
         links.project_link(F.col("s"), F.col("c")).alias("project_link"),

@@ -2,11 +2,31 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-PROJECTS = T.StructType.fromDDL(
+_TYPES = {
+    "STRING": T.StringType(),
+    "DOUBLE": T.DoubleType(),
+    "DATE": T.DateType(),
+    "BIGINT": T.LongType(),
+    "INT": T.IntegerType(),
+    "BOOLEAN": T.BooleanType(),
+    "ARRAY<STRING>": T.ArrayType(T.StringType()),
+    "MAP<STRING,STRING>": T.MapType(T.StringType(), T.StringType()),
+}
+
+
+def struct(columns: str) -> T.StructType:
+    """A schema from ``name TYPE`` pairs, without needing a session."""
+    pairs = [column.split() for column in re.split(r",\s+", columns.strip())]
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
+
+
+PROJECTS = struct(
     """
     record_id STRING, program STRING, programming_period STRING, project_status STRING,
     beneficiary_name STRING, beneficiary_cui STRING, beneficiary_type STRING,
@@ -25,7 +45,7 @@ PROJECTS = T.StructType.fromDDL(
 )
 BUILT_PROJECTS = T.StructType([*PROJECTS.fields, T.StructField("beneficiary_key", T.StringType())])
 
-CALLS = T.StructType.fromDDL(
+CALLS = struct(
     """
     call_id STRING, title STRING, url STRING, external_url STRING,
     programs ARRAY<STRING>, specific_objective STRING, call_type STRING,
@@ -38,22 +58,23 @@ CALLS = T.StructType.fromDDL(
     """
 )
 
-MANIFEST = T.StructType.fromDDL(
+MANIFEST = struct(
     """
     source STRING, dataset STRING, url STRING, path STRING, sha256 STRING,
     bytes BIGINT, fetched_at STRING, meta MAP<STRING,STRING>
     """
 )
 
-GRID = T.StructType.fromDDL("file_path STRING, row_no BIGINT, cells ARRAY<STRING>")
+GRID = struct("file_path STRING, row_no BIGINT, cells ARRAY<STRING>")
 
-RUN_REPORT = T.StructType.fromDDL(
-    """
-    started_at STRING, finished_at STRING, seconds DOUBLE, ok BOOLEAN,
-    sources ARRAY<STRUCT<source:STRING,files:BIGINT,bytes:BIGINT,rows:BIGINT,error:STRING>>,
-    projects BIGINT, projects_new BIGINT, calls BIGINT, calls_new BIGINT,
-    calls_active BIGINT, software BIGINT, errors ARRAY<STRING>
-    """
+_SOURCE_RESULT = struct("source STRING, files BIGINT, bytes BIGINT, rows BIGINT, error STRING")
+RUN_REPORT = T.StructType(
+    [
+        *struct("started_at STRING, finished_at STRING, seconds DOUBLE, ok BOOLEAN"),
+        T.StructField("sources", T.ArrayType(_SOURCE_RESULT)),
+        *struct("projects BIGINT, projects_new BIGINT, calls BIGINT, calls_new BIGINT"),
+        *struct("calls_active BIGINT, software BIGINT, errors ARRAY<STRING>"),
+    ]
 )
 
 

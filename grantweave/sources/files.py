@@ -12,6 +12,18 @@ from grantweave.functions import html, parse
 from grantweave.functions.text import strip_space
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """The same rows over all cores, where the scan has fewer splits than that.
+
+    A file of one row group is read by one task, and everything up to the first
+    shuffle would stay there. Inputs with enough splits pass through untouched.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= 2 * cores:
+        return df
+    return df.repartition(cores, *keys)
+
+
 def _path() -> Column:
     return F.col("_metadata.file_path")
 
