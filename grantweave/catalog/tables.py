@@ -51,10 +51,10 @@ def raw_grid(spark, sf):
           named_struct('row_no', 1L, 'cells', {pick('c_custkey', *[array(_quoted(h)) for h in _HEADERS])}),
           named_struct('row_no', IF(c_custkey % 2 = 0, 2L, NULL), 'cells', {array(_quoted(_ENGLISH))})))""",
     ).where("row_no IS NOT NULL")
-    orders = headers.number_rows(wide(spark, sf, "orders"), ["o_custkey"], "o_orderkey", "place", 4096)
+    orders = wide(spark, sf, "orders")
     body = orders.selectExpr(
         "concat('list-', cast(o_custkey as string)) AS file_path",
-        "place + 3 AS row_no",
+        "o_orderkey + 3 AS row_no",
         f"""CASE WHEN o_orderkey % 17 = 0 THEN {array(_quoted(_AGAIN))}
           WHEN o_orderkey % 13 = 0 THEN {array(_CELLS[:2])} ELSE {array(_CELLS)} END AS cells""",
     )
@@ -68,7 +68,7 @@ GRID_CTES = f"""
     SELECT {_LIST} AS file_path, 0 AS row_no, ['LISTA PROIECTELOR ' || c_name] AS cells FROM customer
     UNION ALL SELECT {_LIST}, 1, {pick('c_custkey', *[_list_sql(_quoted(h)) for h in _HEADERS])} FROM customer
     UNION ALL SELECT {_LIST}, 2, {_list_sql(_quoted(_ENGLISH))} FROM customer WHERE c_custkey % 2 = 0
-    UNION ALL SELECT 'list-' || o_custkey, 2 + row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey),
+    UNION ALL SELECT 'list-' || o_custkey, o_orderkey + 3,
       CASE WHEN o_orderkey % 17 = 0 THEN {_list_sql(_quoted(_AGAIN))}
         WHEN o_orderkey % 13 = 0 THEN {_list_sql(_CELLS[:2])} ELSE {_list_sql(_CELLS)} END FROM orders),
   aliases(alias, field) AS (VALUES {_ALIAS_ROWS}),

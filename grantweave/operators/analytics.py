@@ -216,7 +216,7 @@ class CallFilter:
 def text_matches(text: Column, needle: str, quote: bool = False) -> Column:
     """Case-insensitive pattern search; ``quote`` searches the text as written."""
     wanted = r"\Q" + needle.replace(r"\E", r"\E\\E\Q") + r"\E" if quote else needle
-    return text.rlike("(?i)" + wanted)
+    return text.rlike("(?iU)" + wanted)
 
 
 def at_least(amount: Column, typed: str) -> Column:

@@ -2,11 +2,12 @@
 
 A grid has one row per line of a published table: ``file_path``, ``row_no`` (the
 line's place in its file) and ``cells``. Header look-ups never join: each header
-is matched by a chain of prefix tests, longest spelling first.
+is matched by one pattern, longest spelling first.
 """
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Sequence
 
@@ -14,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from grantweave import fixed_values as fv
-from grantweave.functions.text import slug, squeeze
+from grantweave.functions.text import let, slug, squeeze
 
 Aliases = dict[str, list[str]]
 CHUNK_ROWS = 65_536
@@ -31,11 +32,14 @@ def _spellings(aliases: Aliases | None) -> list[tuple[str, str]]:
 
 def header_field(key: Column, aliases: Aliases | None = None) -> Column:
     """Canonical field of a header slug: the longest spelling it starts with
-    (an exact match is the longest there can be), else null."""
-    chain = None
-    for name, field in _spellings(aliases):
-        chain = (F if chain is None else chain).when(key.startswith(name), F.lit(field))
-    return chain
+    (an exact match is the longest there can be), else null.
+
+    One pattern tries the spellings longest first; what it finds names the field.
+    """
+    spellings = _spellings(aliases)
+    longest = "^(?:" + "|".join(re.escape(name) for name, _ in spellings) + ")"
+    fields = F.from_json(F.lit(json.dumps(dict(spellings))), "map<string,string>")
+    return F.try_element_at(fields, F.regexp_extract(key, longest, 0))
 
 
 def header_fields(cells: Column, aliases: Aliases | None = None) -> Column:
@@ -65,8 +69,7 @@ def looks_like_header(cells: Column, aliases: Aliases | None = None) -> Column:
     """Is this row one more header? At least two cells that are not empty, not
     long and hold no digit must map to two fields.
 
-    Most data rows fail the one-pattern test on their slugs, so the full mapping
-    runs for few.
+    The cheap tests come first; rows with fewer than two such cells are not mapped.
     """
     texts = F.filter(
         F.transform(cells, squeeze),
@@ -74,12 +77,9 @@ def looks_like_header(cells: Column, aliases: Aliases | None = None) -> Column:
         & (F.length(c) <= fv.HEADER_CELL_MAX_CHARS)
         & ~c.rlike(r"[\p{Nd}\p{No}]"),
     )
-    starts = "^(?:" + "|".join(re.escape(name) for name, _ in _spellings(aliases)) + ")"
-    keys = F.filter(F.transform(texts, slug), lambda key: key.rlike(starts))
-    fields = F.transform(keys, lambda key: header_field(key, aliases))
-    return F.when(F.size(keys) >= 2, distinct_fields(fields) >= fv.HEADER_MIN_FIELDS).otherwise(
-        F.lit(False)
-    )
+    enough = F.size(texts) >= 2
+    mapped = distinct_fields(header_fields(texts, aliases)) >= fv.HEADER_MIN_FIELDS
+    return F.when(enough, mapped).otherwise(F.lit(False))
 
 
 def detect_headers(
@@ -90,23 +90,21 @@ def detect_headers(
     Among the first lines, the row with most distinct fields; the earliest on a
     tie; at least two fields.
     """
-    scanned = (
-        grid.where(F.col("row_no") < fv.HEADER_SCAN_ROWS)
-        .withColumn("fields", header_fields(F.col("cells"), aliases))
-        .withColumn("n_fields", distinct_fields(F.col("fields")))
-        .where(F.col("n_fields") >= fv.HEADER_MIN_FIELDS)
-    )
-    best = F.max_by(
-        F.struct("row_no", "cells", "fields", "n_fields"),
-        F.struct(F.col("n_fields"), -F.col("row_no")),
+    # The two-field test waits until after the aggregate: as a row filter it would
+    # map every header twice.
+    mapped = let(
+        header_fields(F.col("cells"), aliases),
+        lambda fields: F.struct(fields.alias("fields"), distinct_fields(fields).alias("n")),
     )
+    scanned = grid.where(F.col("row_no") < fv.HEADER_SCAN_ROWS).withColumn("_m", mapped)
+    best = F.max_by(F.struct("row_no", "cells", "_m"), F.struct(F.col("_m.n"), -F.col("row_no")))
     return scanned.groupBy(*by).agg(best.alias("h")).select(
         *by,
         F.col("h.row_no").alias("header_row"),
         F.col("h.cells").alias("header_cells"),
-        F.col("h.fields").alias("fields"),
-        F.col("h.n_fields").alias("n_fields"),
-    )
+        F.col("h._m.fields").alias("fields"),
+        F.col("h._m.n").alias("n_fields"),
+    ).where(F.col("n_fields") >= fv.HEADER_MIN_FIELDS)
 
 
 def column_map(headers: DataFrame, by: Sequence[str] = ("file_path",)) -> DataFrame:

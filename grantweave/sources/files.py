@@ -47,36 +47,53 @@ def file_inventory(spark: SparkSession, root: str, glob: str | None = None) -> D
     )
 
 
-def lines_with_numbers(spark: SparkSession, paths: str | Sequence[str], glob: str | None = None) -> DataFrame:
-    """Lines of text files with their 0-based number in the file.
+# One broadcast row per file split; at this many they still fit any executor.
+MAX_BROADCAST_SPLITS = 1_000_000
+
+
+def _numbered(scan: DataFrame) -> DataFrame:
+    """Adds the 0-based ``row_no`` in its file to rows as scanned.
 
-    Files are read split by split. A split's lines are numbered by the order
-    they are read in; the line counts of the splits before it in the file shift
-    them. Only those counts, one row per split, meet in a join.
+    Files are read split by split. A split's rows are numbered by the order they
+    are read in; the row counts of the splits before it in the file shift them.
+    Only those counts, one row per split, meet the rows in a join. They are
+    broadcast while files and scan tasks bound their number; beyond that Spark
+    chooses the join.
     """
-    reader = spark.read.option("recursiveFileLookup", "true")
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    lines = reader.text(paths).select(
-        _path().alias("file_path"),
-        F.col("_metadata.file_block_start").alias("_start"),
-        F.monotonically_increasing_id().alias("_id"),
-        "value",
+    bound = len(scan.inputFiles()) + 2 * scan.rdd.getNumPartitions()
+    rows = scan.withColumns(
+        {
+            "file_path": _path(),
+            "_start": F.col("_metadata.file_block_start"),
+            "_id": F.monotonically_increasing_id(),
+        }
     )
-    splits = lines.groupBy("file_path", "_start").agg(
+    counts = rows.groupBy("file_path", "_start").agg(
         F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_n")
     )
     before = F.sum("_n").over(
         Window.partitionBy("file_path").orderBy("_start").rowsBetween(Window.unboundedPreceding, -1)
     )
-    shifts = splits.select(
-        "file_path", "_start", "_first", F.coalesce(before, F.lit(0)).alias("_before")
+    shifts = counts.select(
+        "file_path", "_start", (F.coalesce(before, F.lit(0)) - F.col("_first")).alias("_shift")
     )
-    return lines.join(shifts, ["file_path", "_start"]).select(
-        "file_path", (F.col("_before") + F.col("_id") - F.col("_first")).alias("row_no"), "value"
+    if bound <= MAX_BROADCAST_SPLITS:
+        shifts = F.broadcast(shifts)
+    return (
+        rows.join(shifts, ["file_path", "_start"])
+        .withColumn("row_no", F.col("_id") + F.col("_shift"))
+        .drop("_start", "_id", "_shift")
     )
 
 
+def lines_with_numbers(spark: SparkSession, paths: str | Sequence[str], glob: str | None = None) -> DataFrame:
+    """Lines of text files with their 0-based number in the file."""
+    reader = spark.read.option("recursiveFileLookup", "true")
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
+    return _numbered(reader.text(paths)).select("file_path", "row_no", "value")
+
+
 def markdown_cells(line: Column) -> Column:
     """Cells of a Markdown table line; null for other lines and separators."""
     text = strip_space(line)
@@ -122,31 +139,13 @@ def csv_grid(
     )
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    rows = reader.csv(paths).select(
-        _path().alias("file_path"),
-        F.col("_metadata.file_block_start").alias("_start"),
-        F.monotonically_increasing_id().alias("_id"),
-        F.array(*names).alias("_cells"),
-        (F.col(names[-1]).isNotNull() & F.col("_bad").isNotNull()).alias("too_wide"),
-    )
-    firsts = rows.groupBy("file_path", "_start").agg(
-        F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_n")
-    )
-    before = F.sum("_n").over(
-        Window.partitionBy("file_path").orderBy("_start").rowsBetween(Window.unboundedPreceding, -1)
-    )
-    shifts = firsts.select(
-        "file_path", "_start", "_first", F.coalesce(before, F.lit(0)).alias("_before")
-    )
+    rows = _numbered(reader.csv(paths)).withColumn("_cells", F.array(*names))
     filled = F.coalesce(
         F.array_max(F.transform("_cells", lambda c, i: F.when(c.isNotNull(), i + 1))), F.lit(0)
     )
-    return rows.join(shifts, ["file_path", "_start"]).select(
-        "file_path",
-        (F.col("_before") + F.col("_id") - F.col("_first")).alias("row_no"),
-        F.transform(F.slice("_cells", F.lit(1), filled), lambda c: F.coalesce(c, F.lit(""))).alias("cells"),
-        "too_wide",
-    )
+    cells = F.transform(F.slice("_cells", F.lit(1), filled), lambda c: F.coalesce(c, F.lit("")))
+    too_wide = F.col(names[-1]).isNotNull() & F.col("_bad").isNotNull()
+    return rows.select("file_path", "row_no", cells.alias("cells"), too_wide.alias("too_wide"))
 
 
 def project_pages(spark: SparkSession, root: str, manifest: DataFrame) -> DataFrame:
