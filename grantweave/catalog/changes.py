@@ -115,7 +115,7 @@ def run_history(spark, sf):
 @query(
     "freshness",
     f"""WITH {_RUNS} SELECT substr(max(started_at), 1, 16) AS started_at,
-      CASE WHEN arg_max(ok, started_at) THEN 'fără erori' ELSE 'cu erori' END AS outcome FROM runs""",
+      CASE WHEN arg_max(ok, started_at) THEN 'ok' ELSE 'with errors' END AS outcome FROM runs""",
 )
 def freshness(spark, sf):
     return runs.freshness(_runs(spark, sf))
@@ -123,8 +123,8 @@ def freshness(spark, sf):
 
 @query(
     "completeness",
-    f"""WITH {_RUNS} SELECT CASE WHEN NOT arg_max(ok, started_at) THEN 'ultima rulare a avut erori: ' || arg_max(bad, started_at) || ' erori'
-      WHEN arg_max(calls, started_at) = 0 THEN 'ultima rulare nu a adus niciun apel' END AS reason FROM runs""",
+    f"""WITH {_RUNS} SELECT CASE WHEN NOT arg_max(ok, started_at) THEN 'last run had errors: ' || arg_max(bad, started_at) || ' erori'
+      WHEN arg_max(calls, started_at) = 0 THEN 'last run found no calls' END AS reason FROM runs""",
 )
 def completeness(spark, sf):
     return runs.completeness(_runs(spark, sf))

@@ -45,13 +45,13 @@ def unescape(text: Column) -> Column:
     odd = F.from_json(F.lit(odd_json), "map<string,string>")
 
     def numeric(token: Column) -> Column:
-        digits = F.regexp_extract(token, "^#[xX]?([0-9a-fA-F]+)", 1)
+        digits = F.regexp_extract(token, "^#[xX]?0*([0-9a-fA-F]*)", 1)
         is_hex = F.substring(token, 2, 1).isin("x", "X")
-        code = (
-            F.when(is_hex, F.conv(digits, 16, 10)).otherwise(digits).try_cast("decimal(38,0)")
-        )
+        # Ten digits are past the last character in either base.
+        code = F.when(F.length(digits) > 9, F.lit("9999999999")).when(digits == "", F.lit("0"))
+        code = code.when(is_hex, F.conv(digits, 16, 10)).otherwise(digits)
         whole = code.try_cast("bigint")
-        bad = code.isNull() | (code > 0x10FFFF) | code.between(0xD800, 0xDFFF)
+        bad = whole.isNull() | (whole > 0x10FFFF) | whole.between(0xD800, 0xDFFF)
         char = F.decode(F.unhex(F.lpad(F.hex(whole), 8, "0")), "UTF-32")
         return F.when(bad, F.lit("\ufffd")).otherwise(
             F.coalesce(F.try_element_at(odd, whole.cast("string")), char)

@@ -148,6 +148,14 @@ def facet_options_array(df: DataFrame, column: str) -> DataFrame:
     return facet_options(df.select(F.explode(column).alias(column)), column)
 
 
+# Facets with a closed list of options, whatever the rows hold.
+CLOSED_OPTIONS: dict[str, list[str]] = {
+    "county": [fv.NATIONAL, *sorted(fv.COUNTIES)],
+    "region": sorted({region for _, region in fv.COUNTIES.values()}),
+    "status": fv.STATUSES,
+}
+
+
 @dataclass(frozen=True)
 class ProjectFilter:
     """What a reader of the project registry may narrow down by."""

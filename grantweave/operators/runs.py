@@ -5,6 +5,55 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from grantweave import schema
+from grantweave.operators.analytics import build_totals, source_totals
+from grantweave.operators.incremental import new_ids
+
+
+def report(
+    manifest: DataFrame,
+    extracted: DataFrame,
+    projects: DataFrame,
+    calls: DataFrame,
+    old_projects: DataFrame,
+    old_calls: DataFrame,
+    started_at: str,
+    finished_at: str,
+    errors: list[str] | None = None,
+    failed_sources: dict[str, str] | None = None,
+) -> DataFrame:
+    """One run as a report row: per source files, bytes and rows, then totals and
+    ids the old registries did not have. ``failed_sources`` maps a source to its
+    error; any entry in ``errors`` marks the run as failed."""
+    errors = errors or []
+    error = F.lit(None).cast("string")
+    for source, text in (failed_sources or {}).items():
+        error = F.when(F.col("source") == source, F.lit(text)).otherwise(error)
+    one = F.lit(1).alias("_one")
+    sources = source_totals(manifest, extracted).agg(
+        F.array_sort(F.collect_list(F.struct("source", "files", "bytes", "rows", error.alias("error")))).alias("sources")
+    )
+    counts = [
+        build_totals(projects, calls),
+        new_ids(projects, old_projects, "record_id").agg(F.count(F.lit(1)).alias("projects_new")),
+        new_ids(calls, old_calls, "call_id").agg(F.count(F.lit(1)).alias("calls_new")),
+    ]
+    row = sources.select("*", one)
+    for count in counts:
+        row = row.join(count.select("*", one), "_one")
+    started, finished = F.lit(started_at), F.lit(finished_at)
+    seconds = F.unix_timestamp(finished.cast("timestamp")) - F.unix_timestamp(started.cast("timestamp"))
+    said = F.array(*[F.lit(e) for e in errors]).cast("array<string>")
+    return schema.conform(
+        row.withColumns(
+            {
+                "started_at": started, "finished_at": finished, "seconds": seconds.cast("double"),
+                "ok": F.lit(not errors), "errors": said,
+            }
+        ),
+        schema.RUN_REPORT,
+    )
+
 
 def history(runs: DataFrame, n: int = 20) -> DataFrame:
     """The last runs, newest first."""
@@ -18,7 +67,7 @@ def _last(runs: DataFrame, *fields: str) -> DataFrame:
 
 def freshness(runs: DataFrame) -> DataFrame:
     """Start and outcome of the last run: one row, nulls without any run."""
-    outcome = F.when(F.col("ok"), F.lit("fără erori")).when(~F.col("ok"), F.lit("cu erori"))
+    outcome = F.when(F.col("ok"), F.lit("ok")).when(~F.col("ok"), F.lit("with errors"))
     return _last(runs, "ok").select(
         F.substring("started_at", 1, 16).alias("started_at"), outcome.alias("outcome")
     )
@@ -27,16 +76,16 @@ def freshness(runs: DataFrame) -> DataFrame:
 def completeness(runs: DataFrame, has_projects: bool = True, has_calls: bool = True) -> DataFrame:
     """The first thing that is missing, as one row; null when all is in place."""
     reason = (
-        F.when(~F.lit(has_projects), F.lit("registrul lipsește"))
-        .when(~F.lit(has_calls), F.lit("lipsesc apelurile"))
-        .when(F.col("started_at").isNull(), F.lit("nu există jurnal de rulare"))
+        F.when(~F.lit(has_projects), F.lit("registry missing"))
+        .when(~F.lit(has_calls), F.lit("calls missing"))
+        .when(F.col("started_at").isNull(), F.lit("no run log"))
         .when(
             ~F.coalesce("ok", F.lit(False)),
             F.concat(
-                F.lit("ultima rulare a avut erori: "),
+                F.lit("last run had errors: "),
                 F.substring(F.array_join(F.coalesce("errors", F.array().cast("array<string>")), "; "), 1, 200),
             ),
         )
-        .when(F.coalesce("calls", F.lit(0)) == 0, F.lit("ultima rulare nu a adus niciun apel"))
+        .when(F.coalesce("calls", F.lit(0)) == 0, F.lit("last run found no calls"))
     )
     return _last(runs, "ok", "errors", "calls").select(reason.alias("reason"))

@@ -15,6 +15,11 @@ from grantweave.operators.selection import archive_program, program_in
 from grantweave.sources import sinks
 
 
+def _has(field: str) -> Column:
+    """Does the file map this field? The list holds nulls for unknown columns."""
+    return F.array_position("fields", F.lit(field)) > 0
+
+
 def extract_tables(
     grid: DataFrame,
     manifest: DataFrame,
@@ -28,9 +33,9 @@ def extract_tables(
     Archived lists also pass the file gates, and are dated by their snapshot.
     """
     found = headers.detect_headers(grid, aliases=aliases)
-    needed = F.array_contains("fields", "beneficiary_name")
+    needed = _has("beneficiary_name")
     if archive:
-        needed = needed & F.array_contains("fields", "project_code")
+        needed = needed & _has("project_code")
     # One header row per file. Without a hint, Spark broadcasts it only below
     # its size limit and splits skewed files otherwise.
     table = headers.grid_to_table(grid, aliases=aliases, headers=found.where(needed))
@@ -51,7 +56,7 @@ def extract_tables(
         )
     )
     # The file's own program column wins even where a cell is blank.
-    own = F.array_contains("fields", "program")
+    own = _has("program")
     when = (
         F.coalesce(F.try_element_at(meta, F.lit("snapshot")), F.col("fetched_at"))
         if archive
@@ -74,6 +79,32 @@ def extract_tables(
     )
 
 
+def extract_report(
+    grid: DataFrame, archive: bool = False, mode: str = "literal", aliases: headers.Aliases | None = None
+) -> DataFrame:
+    """Per file: rows read and kept, and why it was left out (null when it was
+    not). No file stops the others; this is where it shows."""
+    seen = grid.groupBy("file_path").agg(F.count(F.lit(1)).alias("n_lines"))
+    found = headers.detect_headers(grid, aliases=aliases)
+    parsed = clean.parse_fields(headers.grid_to_table(grid, aliases=aliases, headers=found))
+    kept = clean.is_beneficiary(F.col("beneficiary_name"), mode)
+    report = clean.file_report(parsed, kept, clean.has_code(F.col("project_code")))
+    joined = seen.join(found.select("file_path", "fields"), "file_path", "left").join(
+        report, "file_path", "left"
+    )
+    lacks_code = ~_has("project_code") if archive else F.lit(False)
+    reason = (
+        F.when(F.col("fields").isNull(), F.lit("no header row"))
+        .when(~_has("beneficiary_name"), F.lit("no beneficiary column"))
+        .when(lacks_code, F.lit("no code column"))
+        .when(F.coalesce("n_kept", F.lit(0)) == 0, F.lit("no usable rows"))
+    )
+    if archive:
+        reason = F.coalesce(reason, F.col("reason"))
+    numbers = [F.coalesce(c, F.lit(0)).alias(c) for c in ("n_rows", "n_kept", "n_coded")]
+    return joined.select("file_path", "n_lines", *numbers, reason.alias("reason"))
+
+
 def build_projects(
     interim: DataFrame,
     mode: str = "literal",
@@ -116,4 +147,4 @@ def publish(
     return written
 
 
-__all__ = ["build_calls", "build_projects", "extract_tables", "publish"]
+__all__ = ["build_calls", "build_projects", "extract_report", "extract_tables", "publish"]

@@ -181,19 +181,19 @@ def test_incremental(spark):
 
 def test_runs(spark):
     none = schema.empty(spark, schema.RUN_REPORT)
-    assert runs.completeness(none).first().reason == "nu există jurnal de rulare"
-    assert runs.completeness(none, has_projects=False).first().reason == "registrul lipsește"
-    assert runs.completeness(none, has_calls=False).first().reason == "lipsesc apelurile"
+    assert runs.completeness(none).first().reason == "no run log"
+    assert runs.completeness(none, has_projects=False).first().reason == "registry missing"
+    assert runs.completeness(none, has_calls=False).first().reason == "calls missing"
 
     def log(**last):
         rows = [{"started_at": "2026-01-01T00:00:00+00:00", "ok": True, "calls": 1}, {"started_at": "2026-02-01T00:00:00+00:00", **last}]
         return spark.createDataFrame(rows, schema.RUN_REPORT)
 
     assert runs.completeness(log(ok=True, calls=3)).first().reason is None
-    assert runs.completeness(log(ok=True, calls=0)).first().reason == "ultima rulare nu a adus niciun apel"
+    assert runs.completeness(log(ok=True, calls=0)).first().reason == "last run found no calls"
     failed = runs.completeness(log(ok=False, calls=3, errors=["x: y", "z" * 300])).first().reason
-    assert failed.startswith("ultima rulare a avut erori: x: y; zzz") and len(failed) == 228
-    assert tuple(runs.freshness(log(ok=False)).first()) == ("2026-02-01T00:00", "cu erori")
+    assert failed.startswith("last run had errors: x: y; zzz") and len(failed) == 221
+    assert tuple(runs.freshness(log(ok=False)).first()) == ("2026-02-01T00:00", "with errors")
     assert [r.started_at[:7] for r in runs.history(log(ok=True), 1).collect()] == ["2026-02"]
 
 
@@ -225,3 +225,23 @@ def test_dates_in_rows(spark):
     df = spark.createDataFrame(rows, "start_date date, counties array<string>, program string").withColumn("record_id", F.lit("r"))
     got = {r.label: r.value for r in analytics.fact_rows(df).collect()}
     assert got == {"Program": "—", "Județe": "a", "Dată de început": "2026-01-02"}
+
+
+def test_run_report(spark):
+    manifest = spark.createDataFrame([("a", 5), ("a", 7), ("b", 1)], "source string, bytes long")
+    rows = spark.createDataFrame([("a",)] * 3, "source string")
+    projects = spark.createDataFrame([("1", True), ("2", False)], "record_id string, is_software boolean")
+    calls_ = spark.createDataFrame([("x", "Activ"), ("y", "Închis")], "call_id string, status string")
+    got = runs.report(manifest, rows, projects, calls_, projects.limit(0), calls_.where("call_id = 'x'"), "2026-01-01T00:00:00+00:00", "2026-01-01T00:01:30+00:00", ["b: down"], {"b": "down"}).collect()
+    assert len(got) == 1
+    row = got[0]
+    assert [tuple(s) for s in row.sources] == [("a", 2, 12, 3, None), ("b", 1, 1, 0, "down")]
+    assert (row.projects, row.projects_new, row.software, row.calls, row.calls_new, row.calls_active) == (2, 2, 1, 2, 1, 1)
+    assert (row.seconds, row.ok, row.errors) == (90.0, False, ["b: down"])
+
+
+def test_project_key_survives_republication(spark):
+    rows = [project(source_row=1), project(source_row=2, source_file="g", beneficiary_name="Acme")]
+    df = dedup.add_identity(schema.conform(spark.createDataFrame(rows)))
+    got = df.select("record_id", dedup.project_key(df).alias("k")).collect()
+    assert got[0].k == got[1].k and got[0].record_id != got[1].record_id

@@ -135,6 +135,10 @@ def test_extract_tables(spark, folder):
     archive = build.extract_tables(grid, listed, archive=True).collect()
     assert {r.source_file for r in archive} == {names[0]} and {r.fetched_at for r in archive} == {"2024-05-15"}
     assert {r.program for r in archive} == {"set"}
+    reasons = {r.file_path: r.reason for r in build.extract_report(grid, archive=True).collect()}
+    assert reasons == {names[0]: None, names[1]: "no code column", names[2]: "few project codes", names[3]: "no header row"}
+    reasons = {r.file_path: r.reason for r in build.extract_report(grid).collect()}
+    assert reasons == {names[0]: None, names[1]: None, names[2]: None, names[3]: "no header row"}
 
 
 def test_publish_and_query(spark, folder):
