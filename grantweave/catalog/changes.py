@@ -128,3 +128,26 @@ def freshness(spark, sf):
 )
 def completeness(spark, sf):
     return runs.completeness(_runs(spark, sf))
+
+
+@query(
+    "run_report",
+    """SELECT (SELECT string_agg(source || ':' || files || ':' || bytes || ':' || rows, ' ' ORDER BY source) FROM (
+        SELECT source, files, bytes, coalesce(n, 0) AS rows FROM
+          (SELECT source, count(*) AS files, cast(sum(n_chars) AS bigint) AS bytes FROM documents GROUP BY 1)
+          LEFT JOIN (SELECT 'src' || (user_id % 15) AS source, count(*) AS n FROM events GROUP BY 1) USING (source))) AS sources,
+      (SELECT count(*) FROM orders) AS projects, (SELECT count(*) FROM orders WHERE o_orderkey % 3 = 0) AS projects_new,
+      (SELECT count(*) FROM orders WHERE o_orderstatus = 'P') AS software, (SELECT count(*) FROM conversations) AS calls,
+      (SELECT count(DISTINCT conv_id) FROM conversations WHERE conv_id % 4 = 0) AS calls_new,
+      (SELECT count(*) FROM conversations WHERE role = 'user') AS calls_active, true AS ok, 90.0::double AS seconds""",
+)
+def run_report(spark, sf):
+    manifest = table(spark, sf, "documents").selectExpr("source", "n_chars AS bytes")
+    rows = table(spark, sf, "events").selectExpr("concat('src', cast(user_id % 15 as string)) AS source")
+    projects = table(spark, sf, "orders").selectExpr("cast(o_orderkey as string) AS record_id", "o_orderstatus = 'P' AS is_software", "o_orderkey % 3 > 0 AS old")
+    calls = table(spark, sf, "conversations").selectExpr("cast(conv_id as string) AS call_id", "IF(role = 'user', 'Activ', role) AS status", "conv_id % 4 > 0 AS old")
+    report = runs.report(manifest, rows, projects, calls, projects.where("old"), calls.where("old"), "2026-01-01T00:00:00", "2026-01-01T00:01:30")
+    shown = F.transform("sources", lambda s: F.concat_ws(":", s["source"], s["files"].cast("string"), s["bytes"].cast("string"), s["rows"].cast("string")))
+    return report.select(
+        F.array_join(shown, " ").alias("sources"), "projects", "projects_new", "software", "calls", "calls_new", "calls_active", "ok", "seconds"
+    )

@@ -9,6 +9,7 @@ from grantweave import schema
 from grantweave.catalog.base import SPACES, money_sql, pick, query, slug_sql, squeeze_sql, table, wide
 from grantweave.catalog.texts import DATE_TEXT, MONEY_TEXT
 from grantweave.operators import clean, dedup, headers, selection
+from grantweave.plans import build
 
 # ------------------------------------------------------------------ raw grids
 # One published list per customer: a banner, a header in one of four spellings,
@@ -124,6 +125,55 @@ def grid_to_table(spark, sf):
     return headers.grid_to_table(raw_grid(spark, sf)).select("file_path", "source_row", *_SHOWN)
 
 
+_RESOURCE = pick("c_custkey", "'Lista POCU 2024'", "'lista_por'", "'regio x'")
+
+
+def _manifest(spark, sf):
+    rows = table(spark, sf, "customer").selectExpr(
+        "'portal' AS source", "c_mktsegment AS dataset", "c_name AS url", f"{_LIST} AS path", "sha2(c_name, 256) AS sha256",
+        "c_custkey AS bytes", "cast(c_custkey as string) AS fetched_at", f"map('resource_name', {_RESOURCE}) AS meta",
+    )
+    return schema.conform(rows, schema.MANIFEST)
+
+
+_TABLE_CTES = f"""{GRID_CTES},
+  cell_of AS (SELECT b.file_path, b.source_row, field, coalesce({squeeze_sql('b.cells[pos + 1]')}, '') AS v
+    FROM body b JOIN cols USING (file_path)),
+  flat AS (SELECT file_path, source_row, """ + ", ".join(
+    f"max(v) FILTER (field = '{f}') AS {f}" for f in _SHOWN
+) + f""" FROM cell_of GROUP BY file_path, source_row),
+  judged AS (SELECT *, coalesce(regexp_matches(beneficiary_name, '[A-Za-zÀ-ž]{{3}}')
+    AND NOT regexp_matches(beneficiary_name, '{fv.TOTAL_ROW_WORDS}'), false) AS kept FROM flat)"""
+
+
+@query(
+    "extract_tables",
+    f"""WITH {_TABLE_CTES} SELECT file_path AS source_file, cast(source_row AS bigint) AS source_row, project_code, beneficiary_name,
+      {money_sql('total_eligible_amount')} AS total_eligible_amount, county,
+      nullif(upper(regexp_extract({_RESOURCE}, '{fv.PORTAL_PROGRAMS}', 1)), '') AS program, c_mktsegment AS source_dataset,
+      sha256(c_name) AS source_sha256, c_custkey::varchar AS fetched_at, 'RON' AS currency
+    FROM judged JOIN customer ON file_path = {_LIST} WHERE kept""",
+)
+def extract_tables(spark, sf):
+    return build.extract_tables(raw_grid(spark, sf), _manifest(spark, sf)).select(
+        "source_file", "source_row", "project_code", "beneficiary_name", "total_eligible_amount", "county", "program",
+        "source_dataset", "source_sha256", "fetched_at", "currency",
+    )
+
+
+@query(
+    "extract_report",
+    f"""WITH {_TABLE_CTES}, counts AS (SELECT file_path, count(*) AS n_rows, count(*) FILTER (kept) AS n_kept FROM judged GROUP BY 1),
+    named AS (SELECT file_path, count(*) FILTER (field = 'beneficiary_name') AS has_name FROM cols GROUP BY 1)
+    SELECT file_path, n_lines, coalesce(n_rows, 0) AS n_rows, coalesce(n_kept, 0) AS n_kept,
+      CASE WHEN has_name IS NULL THEN 'no header row' WHEN has_name = 0 THEN 'no beneficiary column'
+        WHEN coalesce(n_kept, 0) = 0 THEN 'no usable rows' END AS reason
+    FROM (SELECT file_path, count(*) AS n_lines FROM grid GROUP BY 1) LEFT JOIN named USING (file_path) LEFT JOIN counts USING (file_path)""",
+)
+def extract_report(spark, sf):
+    return build.extract_report(raw_grid(spark, sf)).select("file_path", "n_lines", "n_rows", "n_kept", "reason")
+
+
 @query(
     "header_names",
     f"""WITH {GRID_CTES}, base AS (SELECT file_path, row_no, pos, CASE WHEN c = '' THEN 'col_' || pos ELSE c END AS name FROM keyed),
@@ -339,7 +389,7 @@ _ORIGINAL = f"concat('http://www.example.ro/images/', cast(l_suppkey as string),
     ORDER BY timestamp DESC, original DESC LIMIT 60""",
 )
 def select_snapshots(spark, sf):
-    index = table(spark, sf, "lineitem").selectExpr(f"{_STAMP} AS timestamp", f"{_ORIGINAL} AS original")
+    index = wide(spark, sf, "lineitem").selectExpr(f"{_STAMP} AS timestamp", f"{_ORIGINAL} AS original")
     return selection.select_snapshots(index, 60)
 
 

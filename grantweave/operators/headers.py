@@ -39,7 +39,10 @@ def header_field(key: Column, aliases: Aliases | None = None) -> Column:
     spellings = _spellings(aliases)
     longest = "^(?:" + "|".join(re.escape(name) for name, _ in spellings) + ")"
     fields = F.from_json(F.lit(json.dumps(dict(spellings))), "map<string,string>")
-    return F.try_element_at(fields, F.regexp_extract(key, longest, 0))
+    return let(
+        F.regexp_extract(key, longest, 0),
+        lambda name: F.when(name != "", F.try_element_at(fields, name)),
+    )
 
 
 def header_fields(cells: Column, aliases: Aliases | None = None) -> Column:
@@ -66,20 +69,20 @@ def header_names(cells: Column) -> Column:
 
 
 def looks_like_header(cells: Column, aliases: Aliases | None = None) -> Column:
-    """Is this row one more header? At least two cells that are not empty, not
-    long and hold no digit must map to two fields.
+    """Is this row one more header? Cells that are short and hold no digit must
+    map to two fields at least.
 
-    The cheap tests come first; rows with fewer than two such cells are not mapped.
+    The cheap tests come first, and only what passes them is mapped.
     """
     texts = F.filter(
-        F.transform(cells, squeeze),
-        lambda c: (c != "")
-        & (F.length(c) <= fv.HEADER_CELL_MAX_CHARS)
-        & ~c.rlike(r"[\p{Nd}\p{No}]"),
+        cells,
+        lambda c: ~c.rlike(r"[\p{Nd}\p{No}]")
+        & (
+            (F.length(c) <= fv.HEADER_CELL_MAX_CHARS)
+            | (F.length(squeeze(c)) <= fv.HEADER_CELL_MAX_CHARS)
+        ),
     )
-    enough = F.size(texts) >= 2
-    mapped = distinct_fields(header_fields(texts, aliases)) >= fv.HEADER_MIN_FIELDS
-    return F.when(enough, mapped).otherwise(F.lit(False))
+    return distinct_fields(header_fields(texts, aliases)) >= fv.HEADER_MIN_FIELDS
 
 
 def detect_headers(

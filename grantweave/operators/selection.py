@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from grantweave import fixed_values as fv
-from grantweave.functions.text import strip_space
+from grantweave.functions.text import let, strip_space
 from grantweave.operators.dedup import keep_top
 
 
@@ -37,11 +39,12 @@ def file_name_of(url: Column) -> Column:
 
 def is_project_list(url: Column) -> Column:
     """A document whose name says it lists projects, and not something else."""
-    name = file_name_of(url)
-    document = F.lit(False)
-    for ending in fv.LIST_FILE_SUFFIXES:
-        document = document | F.lower(name).endswith(ending)
-    return document & name.rlike(fv.LIST_FILE_NAMES) & ~name.rlike(fv.OTHER_FILE_NAMES)
+
+    def listed(name: Column) -> Column:
+        document = F.lower(name).rlike("(" + "|".join(re.escape(e) for e in fv.LIST_FILE_SUFFIXES) + ")$")
+        return document & name.rlike(fv.LIST_FILE_NAMES) & ~name.rlike(fv.OTHER_FILE_NAMES)
+
+    return let(file_name_of(url), listed)
 
 
 def select_snapshots(index: DataFrame, budget: int | None = None) -> DataFrame:
