@@ -265,10 +265,8 @@ def tokenize(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text",
     new = ["n_tokens", "ids_sha256", "decoded_sha256", *["token_ids"] * ids]
     others = [c for c in docs.columns if c not in new]
     kinds = "n_tokens long, ids_sha256 string, decoded_sha256 string" + ", token_ids array<int>" * ids
-    schema = docs.select(*others).schema
-    for field in docs.sparkSession.createDataFrame([], kinds).schema:
-        schema = schema.add(field)
-    return docs.select(*others).mapInArrow(run, schema)
+    plain = docs.select(*others)
+    return plain.mapInArrow(run, common.extended(plain, kinds))
 
 
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,6 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 #: Texts are handled in pieces of about so many bytes, so a worker's memory doesn't grow with its split.
 PIECE_BYTES = 2 << 20
@@ -52,6 +53,11 @@ def written(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def extended(df: DataFrame, more: str) -> StructType:
+    """The frame's schema and further columns."""
+    return StructType([*df.schema.fields, *df.sparkSession.createDataFrame([], more).schema.fields])
+
+
 def in_fold(column: str, modulus: int):
     """crc32 of the id as text, modulo; 0 marks the held-out fold."""
     return F.crc32(F.col(column).cast("string").cast("binary")) % modulus

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
-from grantweave.llm import bpe
+from grantweave.llm import bpe, decontaminate, line_dedup
 
 QUERIES = {
+    "op2_decontamination": decontaminate.op2_decontamination,
     "op7_byte_bpe": bpe.op7_byte_bpe,
+    "op10_line_dedup": line_dedup.op10_line_dedup,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op2_decontamination": decontaminate.OP2_SQL,
+    "op10_line_dedup": line_dedup.OP10_SQL,
+}
