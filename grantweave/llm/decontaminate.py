@@ -90,7 +90,7 @@ class FMIndex:
         last = symbols[order - 1]
         self.matrix = WaveletMatrix(last, max(1, int(alphabet - 1).bit_length()))
         self.before = np.concatenate([[0], np.cumsum(np.bincount(symbols, minlength=alphabet))])
-        marked = order % SAMPLE == 0
+        marked = (order % SAMPLE == 0) | (last == 0)  # so no walk leaves its stretch
         self.sampled = np.concatenate([[0], np.cumsum(marked)])
         self.marked, self.positions, self.n = marked, order[marked], n
 
