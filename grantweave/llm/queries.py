@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from grantweave.llm import bpe, decontaminate, line_dedup
+from grantweave.llm import bpe, decontaminate, line_dedup, near_dedup
 
 QUERIES = {
     "op2_decontamination": decontaminate.op2_decontamination,
     "op7_byte_bpe": bpe.op7_byte_bpe,
+    "op9_minhash": near_dedup.op9_minhash,
     "op10_line_dedup": line_dedup.op10_line_dedup,
 }
 
