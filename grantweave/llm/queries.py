@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from grantweave.llm import bpe, decontaminate, line_dedup, near_dedup
+from grantweave.llm import bpe, decontaminate, line_dedup, near_dedup, suffix_dedup
 
 QUERIES = {
+    "op1_suffix_dedup": suffix_dedup.op1_suffix_dedup,
     "op2_decontamination": decontaminate.op2_decontamination,
     "op7_byte_bpe": bpe.op7_byte_bpe,
     "op9_minhash": near_dedup.op9_minhash,
