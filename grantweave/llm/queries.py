@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from grantweave.llm import bpe, decontaminate, line_dedup, near_dedup, suffix_dedup, toxicity
+from grantweave.llm import bpe, decontaminate, line_dedup, lm_scoring, near_dedup, quality, suffix_dedup, toxicity
 
 QUERIES = {
     "op1_suffix_dedup": suffix_dedup.op1_suffix_dedup,
     "op2_decontamination": decontaminate.op2_decontamination,
     "op3_toxicity": toxicity.op3_toxicity,
+    "op5_lm_scoring": lm_scoring.op5_lm_scoring,
     "op7_byte_bpe": bpe.op7_byte_bpe,
+    "op8_quality": quality.op8_quality,
     "op9_minhash": near_dedup.op9_minhash,
     "op10_line_dedup": line_dedup.op10_line_dedup,
 }
