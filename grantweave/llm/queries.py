@@ -2,17 +2,23 @@
 
 from __future__ import annotations
 
-from grantweave.llm import bpe, decontaminate, line_dedup, lm_scoring, near_dedup, quality, suffix_dedup, toxicity
+import corpus_pipeline
+from grantweave.llm import (
+    bpe, decontaminate, embedding_dedup, line_dedup, lm_scoring, near_dedup, quality, suffix_dedup, toxicity, url_filter,
+)
 
 QUERIES = {
     "op1_suffix_dedup": suffix_dedup.op1_suffix_dedup,
     "op2_decontamination": decontaminate.op2_decontamination,
     "op3_toxicity": toxicity.op3_toxicity,
+    "op4_embedding_dedup": embedding_dedup.op4_embedding_dedup,
     "op5_lm_scoring": lm_scoring.op5_lm_scoring,
+    "op6_url_filter": url_filter.op6_url_filter,
     "op7_byte_bpe": bpe.op7_byte_bpe,
     "op8_quality": quality.op8_quality,
     "op9_minhash": near_dedup.op9_minhash,
     "op10_line_dedup": line_dedup.op10_line_dedup,
+    "pipeline": corpus_pipeline.run,
 }
 
 SQL: dict[str, str] = {
