@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -148,6 +148,61 @@ def packed(buckets: np.ndarray, count: int, *columns: np.ndarray) -> Iterator[tu
         yield int(b), [c[ends[b] : ends[b + 1]] for c in columns]
 
 
+def runs(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """All places of ranges, one after another."""
+    ends = np.cumsum(lengths)
+    return np.repeat(starts - ends + lengths, lengths) + np.arange(ends[-1] if len(ends) else 0)
+
+
+def reached(count: int, linked: Callable[[int, np.ndarray], np.ndarray]) -> np.ndarray:
+    """For each of count rows the first row that links reach, itself included.
+
+    linked(row, others) tells which others a row links with. Rows that are reached are never asked
+    about again, so a group of copies takes about one question for each row.
+    """
+    label, left = np.arange(count), np.arange(count)
+    while len(left):
+        first, left = left[0], left[1:]
+        queue = [int(first)]
+        while queue and len(left):
+            hit = linked(queue.pop(), left)
+            label[left[hit]] = first
+            queue += left[hit].tolist()
+            left = left[~hit]
+    return label
+
+
+def cells(rows: DataFrame, key: str, member: str, most: int) -> DataFrame:
+    """rows with cell: a key's rows share one, or if there are more than so many, every pair of chunks does."""
+    large = rows.groupBy(key).count().where(F.col("count") > most)
+    large = large.select(key, F.ceil(F.col("count") / (most // 2)).cast("int").alias("_chunks"))
+    placed = rows.join(large, key, "left").withColumn("_chunks", F.coalesce("_chunks", F.lit(1)))
+    placed = placed.withColumn("_own", F.pmod(F.xxhash64(member), "_chunks").cast("int"))
+    others = placed.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_chunks") - 1)))
+    cell = F.struct(key, F.least("_own", "_other").alias("low"), F.greatest("_own", "_other").alias("high"))
+    return others.withColumn("cell", F.xxhash64(cell)).drop("_chunks", "_own", "_other")
+
+
+def by_cell(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """The rows of each cell from batches sorted by the keys."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        values = [batch.column(c).to_numpy(zero_copy_only=False) for c in keys]
+        new = np.zeros(max(batch.num_rows - 1, 0), bool)
+        for v in values:
+            new |= v[1:] != v[:-1]
+        edges = [0, *(np.flatnonzero(new) + 1).tolist(), batch.num_rows]
+        for a, b in zip(edges[:-1], edges[1:], strict=True):
+            part = batch.slice(a, b - a)
+            if held and not all(held[-1].column(c)[0].equals(part.column(c)[0]) for c in keys):
+                yield pa.Table.from_batches(held)
+                held = []
+            if part.num_rows:
+                held.append(part)
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 def bucket_count(spark: SparkSession, total_bytes: int, each: int = 16 << 20) -> int:
     """Buckets so that each gets a bounded share, and at least the session's shuffle partitions."""
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-int(total_bytes) // each), 1)

@@ -8,14 +8,15 @@ groups of coordinates, 13 agreements put two into one group, so posting the pair
 within groups (the prefix) misses nothing above the threshold, and lists that only one shared
 coordinate would make long are skipped.
 
-A posting list is never paired with itself as a whole. First each member is compared with one leader
-of its list, then components are formed, and only members of different components that share a list
-are compared, once for each pair. Every comparison counts agreements first and confirms on full sets.
-Lists are joined and aggregated by key, so that Spark can split hot ones.
+Within a list, members whose signatures agree often enough are put into one family; families that
+share a member grow together over all lists. Then each family meets once with its full sets, and
+exact similarities decide which members are linked. Neither step makes rows for pairs: both ask for
+the members that are not reached yet, so a group of copies costs about one comparison a member, and
+give each member's first. Lists and families beyond a size are cut into chunks whose pairs are compared.
 
 Texts that are null or have no words have an empty set and link with nothing, nor do rows without an
-id, whose component is null and which are kept. Rows that share an id are one document if they share
-their set. Extra columns stay.
+id, whose component is null and which are kept. Rows that share an id must share
+their text: they are one document. Extra columns stay.
 """
 
 from __future__ import annotations
@@ -101,44 +102,70 @@ def postings(classes: DataFrame) -> DataFrame:
     return classes.select("rep", "signature").mapInArrow(run, f"key long, rep {kind}")
 
 
-def _agreeing(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """Pairs (a, b) whose sizes and signatures allow a similarity of at least the threshold."""
-    own = classes.select("rep", "n", "signature")
-    both = pairs.join(own.withColumnsRenamed({"rep": "a", "n": "na", "signature": "sa"}), "a")
-    both = both.join(own.withColumnsRenamed({"rep": "b", "n": "nb", "signature": "sb"}), "b")
+#: Members of a list and of a family that are compared in one cell.
+LIST_CELL, FAMILY_CELL = 8000, 4000
+
+
+def families(posts: DataFrame, classes: DataFrame) -> DataFrame:
+    """(node, component) of the classes whose signatures agree with another's."""
+    several = posts.groupBy("key").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).where("low < high").select("key")
+    shared = posts.join(several, "key").join(classes.select("rep", "signature"), "rep")
+    dealt = common.cells(shared, "key", "rep", LIST_CELL).repartition("cell").sortWithinPartitions("cell", "key", "rep")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            one, two = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.int32).reshape(-1, COORDINATES) for c in ("sa", "sb"))
-            yield batch.select(["a", "b"]).filter(pa.array((one == two).sum(axis=1) >= MATCHES))
+        for table in common.by_cell(batches, ["cell", "key"]):
+            values = np.frombuffer(b"".join(table.column("signature").to_pylist()), np.int32).reshape(-1, COORDINATES)
+            first = common.reached(len(values), lambda k, others: (values[others] == values[k]).sum(axis=1) >= MATCHES)
+            yield from _edges(table.column("rep"), first)
+
+    kind = classes.schema["rep"].dataType.simpleString()
+    edges = dealt.select("cell", "key", "rep", "signature").mapInArrow(run, f"a {kind}, b {kind}")
+    return common.components(edges)
 
-    return both.mapInArrow(run, pairs.select("a", "b").schema)
 
+def _edges(members: pa.ChunkedArray, first: np.ndarray) -> Iterator[pa.RecordBatch]:
+    rows = np.flatnonzero(first < np.arange(len(first)))
+    if len(rows):
+        members = members.combine_chunks()
+        yield pa.RecordBatch.from_arrays([members.take(pa.array(rows)), members.take(pa.array(first[rows]))], names=["a", "b"])
 
-def confirmed(pairs: DataFrame, docs: DataFrame, doc_id: str, text: str, size: int, percent: int) -> DataFrame:
-    """Pairs (a, b) of documents whose full sets are as similar as asked."""
-    ends = pairs.select(F.col("a").alias("_end")).union(pairs.select("b")).distinct()
+
+def confirmed(grown: DataFrame, docs: DataFrame, doc_id: str, text: str, size: int, percent: int) -> DataFrame:
+    """Edges (a, b) that connect the members of each family whose full sets are as similar as asked."""
     kind = docs.schema[doc_id].dataType.simpleString()
+    texts = docs.join(grown, F.col(doc_id) == F.col("node")).select("component", "node", F.col(text).alias("_text")).dropDuplicates(["node"])
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, data, offsets in common.pieces(batches, text):
+        for rows, data, offsets in common.pieces(batches, "_text"):
             made = [s.tobytes() for s in distinct_sets(data, offsets, size)]
-            yield pa.RecordBatch.from_arrays([rows.column(doc_id), pa.array(made, pa.binary())], names=["id", "words"])
+            yield pa.RecordBatch.from_arrays([rows.column("component"), rows.column("node"), pa.array(made, pa.binary())], names=["family", "rep", "words"])
 
-    found = docs.select(doc_id, text).join(ends, F.col(doc_id) == F.col("_end"), "left_semi").mapInArrow(sets, f"id {kind}, words binary")
-    both = pairs.join(found.withColumnsRenamed({"id": "a", "words": "wa"}), "a")
-    both = both.join(found.withColumnsRenamed({"id": "b", "words": "wb"}), "b")
+    dealt = common.cells(texts.mapInArrow(sets, f"family {kind}, rep {kind}, words binary"), "family", "rep", FAMILY_CELL)
+    dealt = dealt.repartition("cell").sortWithinPartitions("cell", "family", "rep")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            linked = []
-            for x, y in zip(batch.column("wa"), batch.column("wb"), strict=True):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                shared = len(x) + len(y) - len(np.unique(np.concatenate([x, y])))
-                linked.append(shared and 100 * shared >= percent * (len(x) + len(y) - shared))
-            yield batch.select(["a", "b"]).filter(pa.array(np.array(linked, bool)))
-
-    return both.mapInArrow(run, pairs.select("a", "b").schema)
+        for table in common.by_cell(batches, ["cell", "family"]):
+            lists = [np.frombuffer(x.as_buffer(), np.uint64) for x in table.column("words")]
+            sizes = np.array([len(x) for x in lists])
+            begins = np.cumsum(sizes) - sizes
+            known, place = np.unique(np.concatenate(lists), return_inverse=True)
+            mark = np.zeros(len(known), np.int32)
+
+            def linked(k: int, others: np.ndarray) -> np.ndarray:
+                hit = np.zeros(len(others), bool)
+                fit = np.flatnonzero((100 * sizes[others] >= percent * sizes[k]) & (100 * sizes[k] >= percent * sizes[others]))
+                if len(fit):
+                    own = place[begins[k] : begins[k] + sizes[k]]
+                    mark[own] = 1
+                    near = others[fit]
+                    shared = np.add.reduceat(mark[place[common.runs(begins[near], sizes[near])]], np.cumsum(sizes[near]) - sizes[near])
+                    mark[own] = 0
+                    hit[fit] = 100 * shared >= percent * (sizes[k] + sizes[near] - shared)
+                return hit
+
+            yield from _edges(table.column("rep"), common.reached(len(lists), linked))
+
+    return dealt.select("cell", "family", "rep", "words").mapInArrow(run, f"a {kind}, b {kind}")
 
 
 def near_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = 4, percent: int = 80) -> DataFrame:
@@ -151,26 +178,8 @@ def near_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", siz
             F.min(doc_id).alias("rep"), F.min("n_shingles").alias("n"), F.min("signature").alias("signature")
         )
     )
-    posts = postings(classes)
-
-    lists = posts.groupBy("key").agg(
-        F.min(F.struct(F.xxhash64("rep").alias("h"), "rep"))["rep"].alias("leader"), F.min("rep").alias("low"), F.max("rep").alias("high")
-    ).where("low < high").select("key", "leader")
-    tried = posts.join(lists, "key").where("rep <> leader")
-    tried = tried.select(F.least("rep", "leader").alias("a"), F.greatest("rep", "leader").alias("b")).distinct()
-    tried = common.written(_agreeing(tried, classes))
-    texts = plain.select(doc_id, text)
-    links = common.written(confirmed(tried, texts, doc_id, text, size, percent))
-
-    groups = common.written(common.components(links))
-    placed = posts.join(groups, F.col("rep") == F.col("node"), "left").select("key", "rep", F.coalesce("component", "rep").alias("c"))
-    mixed = placed.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high").select("key")
-    open_posts = common.written(placed.join(mixed, "key"))
-    left, right = open_posts.withColumnsRenamed({"rep": "a", "c": "ca"}), open_posts.withColumnsRenamed({"rep": "b", "c": "cb"})
-    rest = left.join(right, "key").where("a < b and ca <> cb").select("a", "b").distinct()
-    rest = _agreeing(rest.join(tried, ["a", "b"], "left_anti"), classes)
-    more = common.written(confirmed(common.written(rest), texts, doc_id, text, size, percent))
-    groups = common.components(links.union(more))
+    grown = common.written(families(postings(classes), classes))
+    groups = common.components(confirmed(grown, plain.select(doc_id, text), doc_id, text, size, percent))
 
     members = classes.select("set_key", "rep").join(groups, F.col("rep") == F.col("node"), "left")
     members = members.select(F.col("set_key").alias("_key"), F.coalesce("component", "rep").alias("_component"))
