@@ -179,20 +179,9 @@ def links(posts: DataFrame, least: float) -> DataFrame:
             rows, found, partner = _cell(ids, copies, units, lists, own, side, least)
             return pa.RecordBatch.from_arrays([pa.array(ids[rows]), pa.array(found), pa.array(partner)], names=["rep", "links", "partner"]) if len(rows) else None
 
-        held: list[pa.RecordBatch] = []
-        for batch in batches:
-            keys = np.stack([batch.column(c).to_numpy() for c in ("filter", "low", "high")], axis=1)
-            edges = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1).tolist(), len(keys)]
-            for a, b in zip(edges[:-1], edges[1:], strict=True):
-                part = batch.slice(a, b - a)
-                if held and all(held[-1].column(c)[0] == part.column(c)[0] for c in ("filter", "low", "high")):
-                    held.append(part)
-                    continue
-                if held and (done := solved(pa.Table.from_batches(held))):
-                    yield done
-                held = [part]
-        if held and (done := solved(pa.Table.from_batches(held))):
-            yield done
+        for table in common.by_cell(batches, ["filter", "low", "high"]):
+            if done := solved(table):
+                yield done
 
     kind = posts.schema["rep"].dataType.simpleString()
     return dealt.mapInArrow(run, f"rep {kind}, links long, partner {kind}")

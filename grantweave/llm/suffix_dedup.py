@@ -145,12 +145,6 @@ def _known(anchors: np.ndarray, filters: dict) -> np.ndarray:
     return found
 
 
-def _runs(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """All places of ranges, one after another."""
-    ends = np.cumsum(lengths)
-    return np.repeat(starts - ends + lengths, lengths) + np.arange(ends[-1] if len(ends) else 0)
-
-
 def _cover_rows(ids, starts, strings, blocks: int) -> pa.Table:
     """Covered places, packed by the block of their document."""
     parts = list(common.packed(_block(ids, blocks), blocks, ids, starts.astype(np.uint32), strings.astype(np.uint32)))
@@ -186,7 +180,7 @@ def _posts(docs: DataFrame, doc_id: str, text: str, filters, buckets: int) -> Da
         rows = list(common.packed(bucket, buckets, anchors, marks, ids, starts.astype(np.uint32), np.where(covered, -strings, strings).astype(np.int32), np.arange(len(ids))))
         columns = [pa.array([b for b, _ in rows], pa.int32())]
         columns += [pa.array([p[k].tobytes() for _, p in rows], pa.binary()) for k in range(5)]
-        columns.append(pa.array([data[_runs(place[p[5]], lengths[p[5]])].tobytes() for _, p in rows], pa.binary()))
+        columns.append(pa.array([data[common.runs(place[p[5]], lengths[p[5]])].tobytes() for _, p in rows], pa.binary()))
         yield pa.RecordBatch.from_arrays(columns, names=_names(_POST))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -200,7 +194,7 @@ def _posts(docs: DataFrame, doc_id: str, text: str, filters, buckets: int) -> Da
             anchors, row, place, strings = anchors[use], row[use], place[use], strings[use]
             h = _window_hashes(data, LENGTH)
             marks = common.mix(h[place] ^ common.mix(h[place + strings - 1] + strings.astype(np.uint64)))
-            cut = _runs(place, strings + LENGTH - 1)
+            cut = common.runs(place, strings + LENGTH - 1)
             lengths = strings + LENGTH - 1
             held.append((anchors, marks, ids[row].astype(np.int64), place - offsets[row], strings, data[cut], np.cumsum(lengths) - lengths))
             size += len(use)
@@ -236,7 +230,7 @@ def settle(anchors, marks, ids, starts, strings, place, data) -> tuple[np.ndarra
         own = head[reps]
         count = strings[own]
         owner = np.repeat(np.arange(len(reps)), count)
-        at = _runs(place[own], count)
+        at = common.runs(place[own], count)
         h = _window_hashes(data, LENGTH)[at]
         shared = _in_two(h, ids[own][owner])
         # Runs of shared strings within a segment are the pieces.
@@ -252,7 +246,7 @@ def settle(anchors, marks, ids, starts, strings, place, data) -> tuple[np.ndarra
         same = np.flatnonzero(~later)
         places_of = np.searchsorted(kind[same], reps[rep]), np.searchsorted(kind[same], reps[rep], "right")
         times = places_of[1] - places_of[0]
-        which = same[_runs(places_of[0], times)]
+        which = same[common.runs(places_of[0], times)]
         out.append((ids[which], starts[which] + np.repeat(begin_in_segment, times), np.ones(len(which), np.int64)))
     return tuple(np.concatenate([o[k] for o in out]) for k in range(3))
 
