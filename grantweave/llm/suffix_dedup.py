@@ -37,7 +37,7 @@ RANGES = 256
 BITS = 16
 MAX_FILTER_BYTES = 64 << 20
 #: Segments and anchors that a task holds before it sends them on.
-FLUSH = 1 << 19
+FLUSH = 1 << 18
 #: Bytes of pieces in one suffix array, beyond which the next anchor's begin another.
 ARRAY_BYTES = 1 << 16
 
@@ -101,7 +101,7 @@ def repeated_filter(docs: DataFrame, doc_id: str, text: str) -> dict[int, tuple[
             if pairs is not None:
                 held.append(pairs["f0"])
                 size += len(pairs)
-            if size >= FLUSH * 4:
+            if size >= FLUSH * 8:
                 yield flush()
                 held, size = [], 0
         if size:
@@ -229,9 +229,17 @@ def settle(anchors, marks, ids, starts, strings, place, data) -> tuple[np.ndarra
     if len(reps):
         own = head[reps]
         count = strings[own]
+        # Only the bytes that are compared; the others of the bucket are not needed.
+        data = data[common.runs(place[own], count + LENGTH - 1)]
+        place = np.cumsum(count + LENGTH - 1) - count - LENGTH + 1
         owner = np.repeat(np.arange(len(reps)), count)
-        at = common.runs(place[own], count)
-        h = _window_hashes(data, LENGTH)[at]
+        at = common.runs(place, count)
+        h = np.empty(len(at), np.uint64)
+        for a in range(0, len(own), 1 << 14):  # hashing takes many times the bytes hashed
+            b = min(a + (1 << 14), len(own))
+            first, last = place[a], place[b - 1] + count[b - 1] + LENGTH - 1
+            inside = slice(int(count[:a].sum()), int(count[:b].sum()))
+            h[inside] = _window_hashes(data[first:last], LENGTH)[at[inside] - first]
         shared = _in_two(h, ids[own][owner])
         # Runs of shared strings within a segment are the pieces.
         edge = np.concatenate([[False], shared[:-1] & (owner[1:] == owner[:-1])])
@@ -241,7 +249,7 @@ def settle(anchors, marks, ids, starts, strings, place, data) -> tuple[np.ndarra
         found = _by_suffixes(data, at[first], size, ids[own][owner[first]], anchors[own][owner[first]])
         piece, offset = found
         rep = owner[first[piece]]
-        begin_in_segment = at[first[piece]] - place[own][rep] + offset
+        begin_in_segment = at[first[piece]] - place[rep] + offset
         # What holds for a distinct segment holds for each place where its first document has it.
         same = np.flatnonzero(~later)
         places_of = np.searchsorted(kind[same], reps[rep]), np.searchsorted(kind[same], reps[rep], "right")
