@@ -14,7 +14,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from grantweave import fixed_values as fv
-from grantweave.sources.files import spread
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -37,17 +36,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-_KEYS = {
-    "documents": "doc_id", "pages": "page_id", "conversations": "conv_id", "lineitem": "l_orderkey",
-    "orders": "o_orderkey", "customer": "c_custkey", "events": "event_id",
-}
-
-
-def wide(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table whose rows need much work each, spread over all cores."""
-    return spread(table(spark, sf_dir, name), _KEYS[name])
-
-
 def pick(value: str, *options: str) -> str:
     """SQL choosing an option by a whole number, round robin."""
     cases = " ".join(f"WHEN {i} THEN {o}" for i, o in enumerate(options[:-1]))
@@ -209,45 +197,49 @@ def keyword_ctes(
     keywords: list[tuple[str, str, float]],
     negatives: list[tuple[str, float]],
     extra: list[tuple[str, str, str, float]] | None = None,
+    columns: tuple[str, ...] = (),
 ) -> str:
     """CTEs ending in ``scored(key, software_score, software_label,
     software_evidence)``. ``extra`` are (condition, reason SQL, label, weight)
-    of code signals, counted before the text."""
+    of code signals, counted before the text; they read ``columns``. Each distinct
+    text is scored once."""
     hits = []
     for i, (condition, reason, label, weight) in enumerate(extra or []):
         hits.append(
-            f"SELECT {key}, {i} AS ord, 'code' AS kind, '{label}' AS label, {weight}::double AS w, "
-            f"{reason} AS reason FROM slugged WHERE {condition}"
+            f"SELECT _tid, {i} AS ord, 'code' AS kind, '{label}' AS label, {weight}::double AS w, "
+            f"{reason} AS reason FROM slugged_texts WHERE {condition}"
         )
     base = len(hits)
     for i, (phrase, label, weight) in enumerate(keywords):
         hits.append(
-            f"SELECT {key}, {base + i} AS ord, 'text' AS kind, '{label}' AS label, {weight}::double AS w, '{phrase}' AS reason "
-            f"FROM slugged WHERE {phrase_sql('_slug', phrase)}"
+            f"SELECT _tid, {base + i} AS ord, 'text' AS kind, '{label}' AS label, {weight}::double AS w, '{phrase}' AS reason "
+            f"FROM slugged_texts WHERE {phrase_sql('_slug', phrase)}"
         )
     base = len(hits)
     for i, (phrase, penalty) in enumerate(negatives):
         hits.append(
-            f"SELECT {key}, {base + i}, 'minus', '', {penalty}::double, '-{phrase}' "
-            f"FROM slugged WHERE {phrase_sql('_slug', phrase)}"
+            f"SELECT _tid, {base + i}, 'minus', '', {penalty}::double, '-{phrase}' "
+            f"FROM slugged_texts WHERE {phrase_sql('_slug', phrase)}"
         )
     union = "\n UNION ALL ".join(hits)
+    same = "".join(f" AND s.{c} IS NOT DISTINCT FROM t.{c}" for c in columns)
     return f"""
-    slugged AS (SELECT *, {slug_sql(text)} AS _slug FROM {source}),
+    slugged AS MATERIALIZED (SELECT *, {slug_sql(text)} AS _slug FROM {source}),
+    slugged_texts AS MATERIALIZED (SELECT *, row_number() OVER () AS _tid FROM (SELECT DISTINCT {", ".join(("_slug", *columns))} FROM slugged)),
     hits AS ({union}),
     points AS (
-      SELECT {key},
+      SELECT _tid,
         coalesce(sum(w) FILTER (kind = 'code'), 0) AS code_points,
         list_sort(coalesce(list(w) FILTER (kind = 'text'), []), 'DESC') AS weights,
         coalesce(sum(w) FILTER (kind = 'minus'), 0) AS penalty,
         array_to_string(list_slice(list(reason ORDER BY ord), 1, {fv.EVIDENCE_MAX}), '; ') AS evidence
-      FROM hits GROUP BY {key}),
+      FROM hits GROUP BY _tid),
     label_sums AS (
-      SELECT {key}, label, sum(w) AS total, min(ord) AS first_ord
-      FROM hits WHERE kind <> 'minus' GROUP BY {key}, label),
+      SELECT _tid, label, sum(w) AS total, min(ord) AS first_ord
+      FROM hits WHERE kind <> 'minus' GROUP BY _tid, label),
     labels_won AS (
-      SELECT {key}, label FROM label_sums
-      QUALIFY row_number() OVER (PARTITION BY {key} ORDER BY round(total, 9) DESC, first_ord) = 1),
+      SELECT _tid, label FROM label_sums
+      QUALIFY row_number() OVER (PARTITION BY _tid ORDER BY round(total, 9) DESC, first_ord) = 1),
     scored AS (
       SELECT s.{key},
         {round3_sql(f"""greatest(0.0, least(1.0, coalesce(code_points, 0)
@@ -255,5 +247,5 @@ def keyword_ctes(
           - coalesce(penalty, 0)))""")} AS software_score,
         coalesce(label, '{fv.LABEL_UNKNOWN}') AS software_label,
         coalesce(evidence, '') AS software_evidence
-      FROM slugged s LEFT JOIN points p ON s.{key} = p.{key} LEFT JOIN labels_won l ON s.{key} = l.{key})
+      FROM slugged s JOIN slugged_texts t ON s._slug = t._slug{same} LEFT JOIN points p ON t._tid = p._tid LEFT JOIN labels_won l ON t._tid = l._tid)
     """

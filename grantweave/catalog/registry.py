@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from grantweave import fixed_values as fv
 from grantweave import schema
 from grantweave.catalog.base import (
-    company_sql, counties_sql, eu_sql, keyword_ctes, pick, query, regions_sql, round3_sql, status_sql, table, wide,
+    company_sql, counties_sql, eu_sql, keyword_ctes, pick, query, regions_sql, round3_sql, status_sql, table,
 )
 from grantweave.functions import amounts, places
 from grantweave.functions.keywords import KeywordDictionary, activity_bucket, is_digital_intervention, with_keyword_score
@@ -33,7 +33,7 @@ PLACE_TEXT = pick(
     FROM (SELECT c_custkey, t, {counties_sql('t')} AS counties FROM (SELECT c_custkey, {PLACE_TEXT} || ' ' || c_name AS t FROM customer))""",
 )
 def extract_places(spark, sf):
-    rows = wide(spark, sf, "customer").selectExpr("c_custkey", f"{PLACE_TEXT} AS county", "c_name AS locality")
+    rows = table(spark, sf, "customer").selectExpr("c_custkey", f"{PLACE_TEXT} AS county", "c_name AS locality")
     found = places.with_places(rows)
     return found.select(
         "c_custkey", F.array_join("counties", "; ").alias("counties"), F.array_join("regions", "; ").alias("regions")
@@ -49,7 +49,7 @@ STATUS_TEXT = pick(
 
 @query("status_rules", f"SELECT o_orderkey, {status_sql(STATUS_TEXT)} AS status FROM orders")
 def status_rules(spark, sf):
-    rows = wide(spark, sf, "orders").selectExpr("o_orderkey", f"{STATUS_TEXT} AS project_status")
+    rows = table(spark, sf, "orders").selectExpr("o_orderkey", f"{STATUS_TEXT} AS project_status")
     return places.with_status(rows).select("o_orderkey", "status")
 
 
@@ -66,7 +66,7 @@ _ELIGIBLE = "CASE WHEN l_partkey % 13 = 0 THEN NULL ELSE l_extendedprice END"
 )
 def derived_share(spark, sf):
     keys = ["l_orderkey", "l_partkey", "l_linenumber"]
-    rows = wide(spark, sf, "lineitem").selectExpr(
+    rows = table(spark, sf, "lineitem").selectExpr(
         *keys, f"{_ELIGIBLE} AS total_eligible_amount", f"{_PUBLISHED} AS eu_amount", f"cast({_RATE} as double) AS cofinancing_rate"
     )
     derived = amounts.with_eu_amount(rows)
@@ -91,7 +91,7 @@ ENGLISH = KeywordDictionary(
     f"WITH {keyword_ctes('documents', 'doc_id', 'text', ENGLISH.keywords, ENGLISH.negatives)} SELECT * FROM scored",
 )
 def keyword_score(spark, sf):
-    docs = wide(spark, sf, "documents").withColumn("none", F.lit(None).cast("string"))
+    docs = table(spark, sf, "documents").withColumn("none", F.lit(None).cast("string"))
     scored = with_keyword_score(docs, "text", "none", dictionary=ENGLISH)
     return scored.select("doc_id", "software_score", "software_label", "software_evidence")
 
@@ -114,11 +114,11 @@ _PROJECT_TEXTS = f"(SELECT doc_id, {_PHRASE} AS t, text, {_CAEN} AS caen, {_INTE
 
 @query(
     "classify_projects",
-    f"""WITH {keyword_ctes(_PROJECT_TEXTS, 'doc_id', "t || ' ' || text", fv.KEYWORDS, fv.NEGATIVE_KEYWORDS, _CODE_SIGNALS)}
+    f"""WITH {keyword_ctes(_PROJECT_TEXTS, 'doc_id', "t || ' ' || text", fv.KEYWORDS, fv.NEGATIVE_KEYWORDS, _CODE_SIGNALS, ('caen', 'iv'))}
     SELECT *, software_score >= 0.5 AS is_software FROM scored""",
 )
 def classify_projects(spark, sf):
-    docs = wide(spark, sf, "documents").selectExpr(
+    docs = table(spark, sf, "documents").selectExpr(
         "doc_id", f"{_PHRASE} AS project_title", "text AS project_summary", f"{_CAEN} AS caen", f"{_INTERVENTION} AS intervention_code"
     )
     done = classify.classify_projects(docs)
@@ -156,7 +156,7 @@ def domain_boost(spark, sf):
     tags = table(spark, sf, "labels").select(
         "doc_id", F.when(F.col("quality") == 1, F.array(F.lit("Sănătate"), F.lit("Digitalizare"))).alias("domains")
     )
-    docs = wide(spark, sf, "documents").selectExpr("doc_id", f"{_CALL_TITLE} AS title", "text AS specific_objective")
+    docs = table(spark, sf, "documents").selectExpr("doc_id", f"{_CALL_TITLE} AS title", "text AS specific_objective")
     done = classify.classify_calls(docs.join(tags, "doc_id", "left"))
     return done.select("doc_id", "software_score", "software_label", "software_evidence", "is_software")
 
@@ -195,7 +195,7 @@ def contrastive(spark, sf):
 @query(
     "meaning_blend",
     f"""WITH {_CONTRAST},
-    {keyword_ctes(f"(SELECT doc_id, {_PHRASE} AS t FROM documents)", 'doc_id', 't', fv.KEYWORDS, fv.NEGATIVE_KEYWORDS).strip()},
+    {keyword_ctes(f"(SELECT doc_id, {_PHRASE} AS t, text FROM documents)", 'doc_id', "t || ' ' || text", fv.KEYWORDS, fv.NEGATIVE_KEYWORDS).strip()},
     joined AS (SELECT s.*, coalesce(score, 0) AS m FROM scored s LEFT JOIN meaning ON doc_id = vec_id)
     SELECT doc_id,
       CASE WHEN m > 0 THEN {round3_sql('least(1.0, software_score + 0.6 * m)')} ELSE software_score END AS software_score,
@@ -205,7 +205,7 @@ def contrastive(spark, sf):
 )
 def meaning_blend(spark, sf):
     meaning = contrastive(spark, sf).select(F.col("vec_id").alias("doc_id"), F.col("score").alias("meaning"))
-    docs = wide(spark, sf, "documents").selectExpr("doc_id", f"{_PHRASE} AS project_title", "'' AS project_summary")
+    docs = table(spark, sf, "documents").selectExpr("doc_id", f"{_PHRASE} AS project_title", "text AS project_summary")
     done = classify.classify_projects(docs.join(meaning, "doc_id", "left"), meaning="meaning")
     return done.select("doc_id", "software_score", "software_label", "software_evidence")
 
@@ -235,7 +235,7 @@ def _names_sql(taxonomy: str) -> str:
 def _items(spark, sf) -> DataFrame:
     arrays = {n: e.replace("[]", "cast(array() as array<bigint>)").replace("[", "array(").replace("]", ")") for n, e in _IDS.items()}
     return table(spark, sf, "orders").selectExpr(
-        "o_orderkey AS id", "concat('p', cast(o_orderkey % 400 as string)) AS slug", "o_orderpriority AS link",
+        "o_orderkey AS id", "concat('p', cast(o_orderkey as string)) AS slug", "o_orderpriority AS link",
         "named_struct('rendered', concat('<b>Apel</b> ', o_orderpriority, ' &amp; ', o_orderstatus)) AS title",
         "cast(cast(o_orderdate as date) as string) AS date", "cast(cast(o_orderdate as date) as string) AS modified",
         *[f"{e} AS {n}" for n, e in arrays.items()], "cast(NULL as array<bigint>) AS zona_geografica",
@@ -276,16 +276,16 @@ _PAGE_LISTS = "html || '<p>Domenii Apel:</p><p>Digitalizare</p><p>Zone Geografic
     f"""WITH {_ITEM_CTES},
     detail AS (SELECT 'p' || page_id AS slug, page_id * 1000.0 AS budget FROM pages)
     SELECT o_orderkey::varchar AS call_id, 'Apel ' || o_orderpriority || ' & ' || o_orderstatus AS title,
-      'https://oportunitati-ue.gov.ro/apel/p' || (o_orderkey % 400) || '/' AS url,
+      'https://oportunitati-ue.gov.ro/apel/p' || o_orderkey || '/' AS url,
       CASE WHEN d.slug IS NOT NULL THEN 'Activ' ELSE 'Necunoscut' END AS status,
       CASE WHEN d.slug IS NOT NULL THEN '2026-06-15' END AS closes_at,
       cast(budget AS double) AS budget_amount, CASE WHEN d.slug IS NOT NULL THEN 'EUR' END AS budget_currency,
       coalesce(nullif({_names_sql('domeniu')}, ''), CASE WHEN d.slug IS NOT NULL THEN 'Digitalizare' END, '') AS domains,
       coalesce({_names_sql('tip_apel')}, '') AS call_types
-    FROM orders o JOIN items i ON o.o_orderkey = i.id LEFT JOIN detail d ON d.slug = 'p' || (o_orderkey % 400)""",
+    FROM orders o JOIN items i ON o.o_orderkey = i.id LEFT JOIN detail d ON d.slug = 'p' || o_orderkey""",
 )
 def call_rows(spark, sf):
-    pages = wide(spark, sf, "pages").selectExpr("concat('p', cast(page_id as string)) AS slug", f"{_PAGE_LISTS} AS html")
+    pages = table(spark, sf, "pages").selectExpr("concat('p', cast(page_id as string)) AS slug", f"{_PAGE_LISTS} AS html")
     details = calls_ops.page_details(pages)
     rows = calls_ops.call_rows(_items(spark, sf), _terms(spark, sf), details, F.lit("2026-06-01").cast("date"))
     return rows.select(
@@ -302,8 +302,8 @@ _INTERIM = {
     "source": "CASE WHEN l_returnflag = 'A' THEN 'arhiva' ELSE 'portal' END",
     "source_dataset": "l_returnflag",
     "source_url": "CASE WHEN l_partkey % 50 = 0 THEN 'manual:lista.xlsx' ELSE 'http://x.example/lista.xlsx' END",
-    "source_file": "concat('liste/', l_linestatus, '/', cast(l_partkey % 40 as string), '.xlsx')",
-    "source_row": "(l_orderkey % 900000) * 10000000000000 + l_linenumber * 1000000000000 + (l_partkey % 90000) * 10000000 + cast(round(l_extendedprice * 100) as bigint) % 10000000",
+    "source_file": "concat('liste/', l_linestatus, '/', cast(l_partkey % 40 as string), '/', cast(l_orderkey as string), '.xlsx')",
+    "source_row": "l_linenumber * 100000000000000000 + l_partkey * 100000000 + cast(round(l_extendedprice * 100) as bigint)",
     "source_sha256": "cast(l_partkey % 40 as string)",
     "fetched_at": "CASE WHEN l_partkey % 97 = 0 THEN NULL ELSE cast(cast(l_shipdate as date) as string) END",
     "program": pick("l_orderkey", "'POCU'", "'POR'", "NULL", "'POC'"),
@@ -331,7 +331,7 @@ _INTERIM_SQL = "SELECT " + ", ".join(f"{e} AS {n}" for n, e in _INTERIM.items())
 
 
 def interim_projects(spark, sf) -> DataFrame:
-    rows = wide(spark, sf, "lineitem").selectExpr(*[f"{e} AS {n}" for n, e in _INTERIM.items()])
+    rows = table(spark, sf, "lineitem").selectExpr(*[f"{e} AS {n}" for n, e in _INTERIM.items()])
     return schema.conform(rows)
 
 
@@ -361,13 +361,14 @@ REGISTRY_CTES = f"""
     QUALIFY row_number() OVER (PARTITION BY program, code, beneficiary_key ORDER BY fetched_at DESC NULLS FIRST, {_SEQ}) = 1),
   merged AS (SELECT {_KEPT_COLUMNS}, k.record_id, k.beneficiary_key FROM winners k JOIN fills f
     ON k.program IS NOT DISTINCT FROM f.program AND k.code = f.code AND k.beneficiary_key = f.beneficiary_key),
-  {keyword_ctes('merged', 'record_id', "coalesce(project_title, '') || ' ' || coalesce(project_summary, '')", fv.KEYWORDS, fv.NEGATIVE_KEYWORDS, _SIGNAL).strip()},
-  placed AS (SELECT *, {counties_sql(_PLACE)} AS counties, {_PLACE} AS _place FROM merged),
-  registry AS (SELECT p.*, {regions_sql('_place', 'counties')} AS regions, {status_sql('project_status')} AS status,
+  {keyword_ctes('merged', 'record_id', "coalesce(project_title, '') || ' ' || coalesce(project_summary, '')", fv.KEYWORDS, fv.NEGATIVE_KEYWORDS, _SIGNAL, ('intervention_code',)).strip()},
+  places AS MATERIALIZED (SELECT *, {regions_sql('_place', 'counties')} AS regions FROM (
+    SELECT *, {counties_sql('_place')} AS counties FROM (SELECT DISTINCT {_PLACE} AS _place FROM merged))),
+  registry AS (SELECT p.*, l.counties, l.regions, {status_sql('project_status')} AS status,
       {eu_sql('total_eligible_amount', 'eu_amount', 'cofinancing_rate')[0]} AS eu_amount_derived,
       {eu_sql('total_eligible_amount', 'eu_amount', 'cofinancing_rate')[1]} AS eu_amount_source,
       software_score, software_label, software_evidence, software_score >= 0.5 AS is_software
-    FROM placed p JOIN scored s USING (record_id))
+    FROM merged p JOIN places l ON l._place = {_PLACE} JOIN scored s USING (record_id))
 """
 
 
@@ -410,7 +411,7 @@ def interim_calls(spark, sf) -> DataFrame:
     def array(e):
         return e.replace("[", "array(").replace("]", ")")
 
-    rows = wide(spark, sf, "orders").selectExpr(
+    rows = table(spark, sf, "orders").selectExpr(
         *[f"{e} AS {n}" for n, e in _CALL.items()],
         f"{array(_CALL_DOMAINS)} AS domains", f"{array(_CALL_BENEFICIARIES)} AS beneficiaries",
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from grantweave.catalog.base import query, table
-from grantweave.catalog.registry import CALLS_CTES, REGISTRY_CTES, calls, registry
+from grantweave.catalog.registry import _INTERIM, CALLS_CTES, REGISTRY_CTES, calls, registry
 from grantweave.operators import analytics as a
 from grantweave.sources import sinks
 
@@ -141,10 +141,10 @@ def call_domains(spark, sf):
 
 
 _PROJECT_FILTER = a.ProjectFilter(
-    search="s\\.c\\. firma 1|ERP", program="POCU", county="Cluj", region="Nord-Vest", status="Finalizat", min_amount="20.000,5"
+    search="s\\.c\\. firma 1|ERP", program="POCU", county="Cluj", region="Nord-Vest", status="Finalizat", min_amount="2.000,5"
 )
 _PROJECT_WHERE = """registry WHERE program = 'POCU' AND list_contains(counties, 'Cluj') AND list_contains(regions, 'Nord-Vest')
-  AND status = 'Finalizat' AND coalesce(total_eligible_amount, 0) >= 20000.5
+  AND status = 'Finalizat' AND coalesce(total_eligible_amount, 0) >= 2000.5
   AND (regexp_matches(beneficiary_name, '(?i)s\\.c\\. firma 1|ERP') OR regexp_matches(coalesce(project_title, ''), '(?i)s\\.c\\. firma 1|ERP')
     OR contains(coalesce(beneficiary_cui, ''), 's\\.c\\. firma 1|ERP'))"""
 
@@ -183,8 +183,8 @@ def call_search(spark, sf):
 @query("point_lookup", f"{R} SELECT record_id, project_code FROM registry WHERE record_id = (SELECT max(record_id) FROM identified WHERE record_id IN (SELECT record_id FROM registry))")
 def point_lookup(spark, sf):
     projects = registry(spark, sf)
-    last = projects.agg(F.max("record_id").alias("record_id"))
-    return projects.join(last, "record_id", "left_semi").select("record_id", "project_code")
+    last = projects.agg(F.max("record_id")).scalar()
+    return a.point_lookup(projects, last).select("record_id", "project_code")
 
 
 # ------------------------------------------------------------ sorts and pages
@@ -205,10 +205,11 @@ def page_of_parts(spark, sf):
 
 @query(
     "page_of_calls",
-    f"""{C} SELECT url, cast(closes_at AS varchar) AS closes_at FROM calls_registry ORDER BY calls_registry.closes_at NULLS LAST, url LIMIT 25 OFFSET 25""",
+    f"""{C} SELECT source, call_id, cast(closes_at AS varchar) AS closes_at FROM calls_registry
+      ORDER BY calls_registry.closes_at NULLS LAST, call_id, source LIMIT 25 OFFSET 25""",
 )
 def page_of_calls(spark, sf):
-    return a.page_of_calls(calls(spark, sf), 1, tie="url").select("url", F.col("closes_at").cast("string").alias("closes_at"))
+    return a.page_of_calls(calls(spark, sf), 1).select("source", "call_id", F.col("closes_at").cast("string").alias("closes_at"))
 
 
 @query("page_count", f"{R} SELECT cast(greatest(1, ceil(count(*) / 25.0)) AS bigint) AS pages FROM registry WHERE is_software")
@@ -218,13 +219,12 @@ def page_count(spark, sf):
 
 @query(
     "closing_soon",
-    f"""{C} SELECT call_id, cast(min(closes_at) AS varchar) AS closes_at FROM (
-      SELECT call_id, calls_registry.closes_at FROM calls_registry WHERE status = 'Activ' AND is_software
-      ORDER BY calls_registry.closes_at NULLS LAST, call_id LIMIT 40) GROUP BY call_id""",
+    f"""{C} SELECT source, call_id, cast(closes_at AS varchar) AS closes_at FROM calls_registry WHERE status = 'Activ' AND is_software
+      ORDER BY calls_registry.closes_at NULLS LAST, call_id, source LIMIT 40""",
 )
 def closing_soon(spark, sf):
     soon = a.closing_soon(calls(spark, sf), active=True, software=True)
-    return soon.groupBy("call_id").agg(F.min("closes_at").cast("string").alias("closes_at"))
+    return soon.select("source", "call_id", F.col("closes_at").cast("string").alias("closes_at"))
 
 
 @query("active_calls", f"{C} SELECT url FROM calls_registry WHERE status = 'Activ'")
@@ -253,17 +253,20 @@ def fact_rows(spark, sf):
     return facts.withColumn("place", F.col("place").cast("bigint"))
 
 
-@query(
-    "registry_facts",
-    f"""{R} SELECT label, value, count(*) AS n FROM (
-      SELECT 'Județe' AS label, coalesce(nullif(array_to_string(counties, ', '), ''), '—') AS value FROM registry
-      UNION ALL SELECT 'Stadiu', coalesce(nullif(trim(project_status), ''), '—') FROM registry
-      UNION ALL SELECT 'Etichetă', software_label FROM registry
-      UNION ALL SELECT 'Sursă', source FROM registry) GROUP BY ALL""",
+_SHOWN = {"counties": "array_to_string(counties, ', ')", "regions": "array_to_string(regions, ', ')"}
+_KNOWN = {*_INTERIM, "counties", "regions", "software_label", "software_score", "software_evidence"}
+_EACH_FACT = " UNION ALL ".join(
+    f"SELECT '{section}' AS section, '{label}' AS label, "
+    + (f"coalesce(nullif(trim(cast({_SHOWN.get(name, name)} AS varchar)), ''), '—')" if name in _KNOWN else "'—'")
+    + " AS value FROM registry"
+    for section, pairs in a.FACTS.items()
+    for label, name in pairs
 )
+
+
+@query("registry_facts", f"{R} SELECT section, label, value, count(*) AS n FROM ({_EACH_FACT}) GROUP BY ALL")
 def registry_facts(spark, sf):
-    facts = a.fact_rows(registry(spark, sf)).where(F.col("label").isin("Județe", "Stadiu", "Etichetă", "Sursă"))
-    return facts.groupBy("label", "value").agg(F.count(F.lit(1)).alias("n"))
+    return a.fact_rows(registry(spark, sf)).groupBy("section", "label", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
 # -------------------------------------------------------------- SQL and export
@@ -283,6 +286,22 @@ def published_views(spark, sf):
     )
 
 
+@query(
+    "published_calls",
+    f"""{C} SELECT status, count(*) AS calls, count(*) FILTER (status = 'Activ') AS active FROM calls_registry GROUP BY status""",
+)
+def published_calls(spark, sf):
+    every = calls(spark, sf)
+    sinks.publish_views(registry(spark, sf), every, {
+        k: f"catalog_{k}" for k in ("projects", "software", "beneficiaries", "calls", "active_calls")
+    })
+    return spark.sql(
+        """SELECT status, max(calls) AS calls, coalesce(max(active), 0) AS active FROM (
+          SELECT status, count(*) AS calls, NULL AS active FROM catalog_calls GROUP BY status
+          UNION ALL SELECT status, NULL, count(*) FROM catalog_active_calls GROUP BY status) GROUP BY status"""
+    )
+
+
 @query(
     "flat_export",
     f"""{R} SELECT record_id, cast(to_json(counties) AS varchar) AS counties, cast(to_json(regions) AS varchar) AS regions FROM registry WHERE is_software""",

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,6 +28,12 @@ def _fold_distinct(df: DataFrame, name: str) -> DataFrame:
     return df.withColumn(name, F.col("_known") + gap).drop("_known", "_gap")
 
 
+def one_row(*frames: DataFrame) -> DataFrame:
+    """One-row frames with different columns side by side, without a join."""
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    return rows.agg(*[F.first(c, ignorenulls=True).alias(c) for c in rows.columns])
+
+
 # -------------------------------------------------------------- aggregations
 
 
@@ -57,13 +64,7 @@ def registry_stats(projects: DataFrame) -> DataFrame:
         F.count_if("is_software").alias("software"),
         _sum0(F.col("total_eligible_amount")).alias("eligible_total"),
     )
-    one = F.lit(1).alias("_one")
-    return (
-        _fold_distinct(totals, "beneficiaries")
-        .select("*", one)
-        .join(first.select("*", one), "_one")
-        .drop("_one")
-    )
+    return one_row(_fold_distinct(totals, "beneficiaries"), first)
 
 
 def label_counts(df: DataFrame, label: str = "software_label", top: int | None = None) -> DataFrame:
@@ -110,15 +111,12 @@ def call_kpis(calls: DataFrame) -> DataFrame:
 
 def build_totals(projects: DataFrame, calls: DataFrame) -> DataFrame:
     """One row: projects, software projects, calls, active calls."""
-    one = F.lit(1).alias("_one")
-    left = projects.agg(
-        F.count(F.lit(1)).alias("projects"), F.count_if("is_software").alias("software"), F.max(one).alias("_one")
-    )
+    left = projects.agg(F.count(F.lit(1)).alias("projects"), F.count_if("is_software").alias("software"))
     right = calls.agg(
         F.count(F.lit(1)).alias("calls"),
         F.count_if(F.col("status") == fv.CALL_ACTIVE).alias("calls_active"),
     )
-    return left.select("projects", "software", one).join(right.select("*", one), "_one").drop("_one")
+    return one_row(left, right)
 
 
 def source_totals(manifest: DataFrame, rows: DataFrame) -> DataFrame:
@@ -247,10 +245,10 @@ def page_of_projects(
 
 def page_of_calls(
     calls: DataFrame, page: int = 0, size: int = fv.PAGE_SIZE, closes: str = "closes_at",
-    tie: str = "call_id",
+    tie: Sequence[str] = ("call_id", "source"),
 ) -> DataFrame:
     """One page, nearest deadline first, no deadline last."""
-    return calls.orderBy(F.asc_nulls_last(closes), F.asc(tie)).offset(page * size).limit(size)
+    return calls.orderBy(F.asc_nulls_last(closes), *tie).offset(page * size).limit(size)
 
 
 def page_count(df: DataFrame, size: int = fv.PAGE_SIZE) -> DataFrame:
@@ -258,7 +256,7 @@ def page_count(df: DataFrame, size: int = fv.PAGE_SIZE) -> DataFrame:
     return df.agg(F.greatest(F.lit(1), pages).cast("bigint").alias("pages"))
 
 
-def point_lookup(df: DataFrame, value: str, key: str = "record_id") -> DataFrame:
+def point_lookup(df: DataFrame, value: str | Column, key: str = "record_id") -> DataFrame:
     return df.where(F.col(key) == value).limit(1)
 
 
@@ -270,7 +268,7 @@ def closing_soon(
         calls = calls.where(F.col("status") == fv.CALL_ACTIVE)
     if software:
         calls = calls.where("is_software")
-    return calls.orderBy(F.asc_nulls_last("closes_at"), "call_id").limit(top)
+    return calls.orderBy(F.asc_nulls_last("closes_at"), "call_id", "source").limit(top)
 
 
 # ----------------------------------------------------------------- fact rows

@@ -20,34 +20,33 @@ def page_details(pages: DataFrame, slug: str = "slug", page: str = "html") -> Da
 def taxonomy_names(
     items: DataFrame, terms: DataFrame, key: str, taxonomies: dict[str, str] | None = None
 ) -> DataFrame:
+    """The key and the names of ``with_names``."""
+    fields = (taxonomies or fv.TAXONOMIES).values()
+    return with_names(items, terms, taxonomies).select(key, *fields)
+
+
+def with_names(items: DataFrame, terms: DataFrame, taxonomies: dict[str, str] | None = None) -> DataFrame:
     """Per item and taxonomy the names of its term ids, in order; unknown and
     blank names drop out. ``terms`` has (taxonomy, id, name).
 
-    All taxonomies share one pass: ids are exploded, joined with the terms and
-    gathered per item. An item's lists are as long as its own id lists.
+    The terms are closed lists, so they travel as one map; no row is shuffled.
     """
     taxonomies = taxonomies or fv.TAXONOMIES
-
-    def tagged(name: str) -> Column:
-        return F.transform(
-            F.coalesce(F.col(name), F.array().cast("array<bigint>")),
-            lambda i, at: F.struct(
-                F.lit(name).alias("taxonomy"), at.alias("place"), i.cast("bigint").alias("_term")
-            ),
+    term = F.concat_ws(":", "taxonomy", "id")
+    known = terms.where(F.col("name") != "").groupBy(term.alias("term")).agg(F.min("name").alias("name"))
+    # One row even without terms.
+    names = known.agg(F.map_from_entries(F.collect_list(F.struct("term", "name")))).scalar()
+
+    def named(taxonomy: str) -> Column:
+        ids = F.coalesce(F.col(taxonomy), F.array().cast("array<bigint>"))
+        found = F.transform(
+            ids, lambda i: F.try_element_at("_names", F.concat(F.lit(f"{taxonomy}:"), i.cast("string")))
         )
+        return F.array_compact(found)
 
-    ids = F.concat(*[tagged(name) for name in taxonomies])
-    exploded = items.select(key, F.explode(ids).alias("t")).select(key, "t.*")
-    known = terms.where(F.col("name") != "").select("taxonomy", F.col("id").alias("_term"), "name")
-    named = exploded.join(known, ["taxonomy", "_term"])
-
-    def gathered(name: str) -> Column:
-        pair = F.when(F.col("taxonomy") == name, F.struct("place", "name"))
-        return F.transform(F.array_sort(F.collect_list(pair)), lambda p: p["name"])
-
-    return named.groupBy(key).agg(
-        *[gathered(name).alias(field) for name, field in taxonomies.items()]
-    )
+    return items.withColumn("_names", names).withColumns(
+        {field: named(name) for name, field in taxonomies.items()}
+    ).drop("_names")
 
 
 def page_list_fallback(listed: Column, on_page: Column) -> Column:
@@ -63,8 +62,7 @@ def call_rows(
 ) -> DataFrame:
     """Call items with names and page fields. ``items`` hold one row per call id."""
     as_of = F.current_date() if as_of is None else as_of
-    names = taxonomy_names(items, terms, "id")
-    joined = items.join(details, "slug", "left").join(names, "id", "left")
+    joined = with_names(items, terms).join(details, "slug", "left")
     url = F.concat(F.lit(f"{fv.CALL_SITE}/apel/"), F.coalesce("slug", F.lit("None")), F.lit("/"))
     continuous = F.coalesce(F.col("page_continuous"), F.lit(False))
     empty = F.array().cast("array<string>")

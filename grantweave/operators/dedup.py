@@ -44,7 +44,9 @@ def merge_duplicates(
     and a key that holds a third of the input costs no more than any other.
     """
     columns = df.columns
-    fill = [c for c in fill if c in columns]
+    # A key that is a column comes out as it went in, so filters on it reach the scan.
+    plain = {k: f"_key_{i}" for i, k in enumerate(key) if isinstance(k, str)}
+    fill = [c for c in fill if c in columns and c not in plain]
     keys = [F.col(k) if isinstance(k, str) else k for k in key]
     place = F.struct(*[F.col(c) for c in sequence])
     order = F.struct(
@@ -54,11 +56,13 @@ def merge_duplicates(
         F.min_by(F.col(c), F.when(F.col(c).isNotNull(), place)).alias(f"_fill_{c}") for c in fill
     ]
     merged = df.groupBy(*[k.alias(f"_key_{i}") for i, k in enumerate(keys)]).agg(
-        F.min_by(F.struct(*columns), order).alias("_row"), *first_known
+        F.min_by(F.struct(*[c for c in columns if c not in plain]), order).alias("_row"), *first_known
     )
     return merged.select(
         *[
-            F.coalesce(F.col(f"_row.{c}"), F.col(f"_fill_{c}")).alias(c)
+            F.col(plain[c]).alias(c)
+            if c in plain
+            else F.coalesce(F.col(f"_row.{c}"), F.col(f"_fill_{c}")).alias(c)
             if c in fill
             else F.col(f"_row.{c}").alias(c)
             for c in columns

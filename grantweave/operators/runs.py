@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from grantweave import schema
-from grantweave.operators.analytics import build_totals, source_totals
+from grantweave.operators.analytics import build_totals, one_row, source_totals
 from grantweave.operators.incremental import new_ids
 
 
@@ -29,7 +29,6 @@ def report(
     error = F.lit(None).cast("string")
     for source, text in (failed_sources or {}).items():
         error = F.when(F.col("source") == source, F.lit(text)).otherwise(error)
-    one = F.lit(1).alias("_one")
     sources = source_totals(manifest, extracted).agg(
         F.array_sort(F.collect_list(F.struct("source", "files", "bytes", "rows", error.alias("error")))).alias("sources")
     )
@@ -38,9 +37,7 @@ def report(
         new_ids(projects, old_projects, "record_id").agg(F.count(F.lit(1)).alias("projects_new")),
         new_ids(calls, old_calls, "call_id").agg(F.count(F.lit(1)).alias("calls_new")),
     ]
-    row = sources.select("*", one)
-    for count in counts:
-        row = row.join(count.select("*", one), "_one")
+    row = one_row(sources, *counts)
     started, finished = F.lit(started_at), F.lit(finished_at)
     seconds = F.unix_timestamp(finished.cast("timestamp")) - F.unix_timestamp(started.cast("timestamp"))
     said = F.array(*[F.lit(e) for e in errors]).cast("array<string>")

@@ -80,10 +80,12 @@ def extract_tables(
 
 
 def extract_report(
-    grid: DataFrame, archive: bool = False, mode: str = "literal", aliases: headers.Aliases | None = None
+    grid: DataFrame, archive: bool = False, mode: str = "literal", aliases: headers.Aliases | None = None,
+    manifest: DataFrame | None = None,
 ) -> DataFrame:
     """Per file: rows read and kept, and why it was left out (null when it was
-    not). No file stops the others; this is where it shows."""
+    not). No file stops the others; this is where it shows. With the manifest,
+    files of which no line could be read show too."""
     seen = grid.groupBy("file_path").agg(F.count(F.lit(1)).alias("n_lines"))
     found = headers.detect_headers(grid, aliases=aliases)
     parsed = clean.parse_fields(headers.grid_to_table(grid, aliases=aliases, headers=found))
@@ -93,8 +95,12 @@ def extract_report(
         report, "file_path", "left"
     )
     lacks_code = ~_has("project_code") if archive else F.lit(False)
+    if manifest is not None:
+        listed = manifest.select(F.col("path").alias("file_path")).distinct()
+        joined = joined.join(listed, "file_path", "full").fillna(0, ["n_lines"])
     reason = (
-        F.when(F.col("fields").isNull(), F.lit("no header row"))
+        F.when(F.col("n_lines") == 0, F.lit("unreadable"))
+        .when(F.col("fields").isNull(), F.lit("no header row"))
         .when(~_has("beneficiary_name"), F.lit("no beneficiary column"))
         .when(lacks_code, F.lit("no code column"))
         .when(F.coalesce("n_kept", F.lit(0)) == 0, F.lit("no usable rows"))

@@ -12,18 +12,6 @@ from grantweave.functions import html, parse
 from grantweave.functions.text import strip_space
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """The same rows over all cores, where the scan has fewer splits than that.
-
-    A file of one row group is read by one task, and everything up to the first
-    shuffle would stay there. Inputs with enough splits pass through untouched.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= 2 * cores:
-        return df
-    return df.repartition(cores, *keys)
-
-
 def _path() -> Column:
     return F.col("_metadata.file_path")
 
@@ -47,20 +35,14 @@ def file_inventory(spark: SparkSession, root: str, glob: str | None = None) -> D
     )
 
 
-# One broadcast row per file split; at this many they still fit any executor.
-MAX_BROADCAST_SPLITS = 1_000_000
-
-
 def _numbered(scan: DataFrame) -> DataFrame:
     """Adds the 0-based ``row_no`` in its file to rows as scanned.
 
     Files are read split by split. A split's rows are numbered by the order they
     are read in; the row counts of the splits before it in the file shift them.
-    Only those counts, one row per split, meet the rows in a join. They are
-    broadcast while files and scan tasks bound their number; beyond that Spark
-    chooses the join.
+    Only those counts, one row per split, meet the rows in a join, whose kind
+    Spark chooses by their size.
     """
-    bound = len(scan.inputFiles()) + 2 * scan.rdd.getNumPartitions()
     rows = scan.withColumns(
         {
             "file_path": _path(),
@@ -77,8 +59,6 @@ def _numbered(scan: DataFrame) -> DataFrame:
     shifts = counts.select(
         "file_path", "_start", (F.coalesce(before, F.lit(0)) - F.col("_first")).alias("_shift")
     )
-    if bound <= MAX_BROADCAST_SPLITS:
-        shifts = F.broadcast(shifts)
     return (
         rows.join(shifts, ["file_path", "_start"])
         .withColumn("row_no", F.col("_id") + F.col("_shift"))
@@ -111,41 +91,46 @@ def markdown_grid(spark: SparkSession, paths: str | Sequence[str], glob: str | N
     return number_rows(table, ["file_path"], "line_no", "row_no").select("file_path", "row_no", "cells")
 
 
+def csv_cells(record: Column) -> Column:
+    """The cells of one CSV record as it is written, however many there are. Quotes
+    go, doubled ones stay once, and empty cells at the end are left out."""
+    raw = F.regexp_extract_all(F.concat(record, F.lit(",")), F.lit(r'((?:"(?:[^"]|"")*+")?+[^,]*+),'), 1)
+    filled = F.coalesce(F.array_max(F.transform(raw, lambda c, i: F.when(c != "", i + 1))), F.lit(0))
+    return F.transform(
+        F.slice(raw, F.lit(1), filled),
+        lambda c: F.when(
+            c.startswith('"') & c.endswith('"') & (F.length(c) > 1),
+            F.regexp_replace(F.substring(c, F.lit(2), F.length(c) - 2), '""', '"'),
+        ).otherwise(c),
+    )
+
+
 def csv_grid(
-    spark: SparkSession,
-    paths: str | Sequence[str],
-    glob: str | None = None,
-    width: int = 128,
-    multiline: bool = True,
+    spark: SparkSession, paths: str | Sequence[str], glob: str | None = None, multiline: bool = True
 ) -> DataFrame:
-    """CSV lines as grids: no header, all text, faulty lines tolerated.
+    """CSV records as grids: no header, all text, any number of cells.
 
-    ``width`` is the number of cells to read per line; a line with more is kept
-    and flagged in ``too_wide``, so nothing is lost unseen. Files without line
-    breaks inside quotes can be read with ``multiline=False``, which lets Spark
-    split them.
+    The reader only finds where records end: asked for one column, it hands over
+    every wider record whole. Files without line breaks inside quotes can be read
+    with ``multiline=False``, which lets Spark split them. A file that can't be
+    read is left out here; ``extract_report`` names it when it gets the manifest.
     """
-    names = [f"c{i}" for i in range(width)]
-    schema = ", ".join(f"{n} STRING" for n in names) + ", _bad STRING"
     reader = (
-        spark.read.schema(schema)
+        spark.read.schema("_only STRING, _whole STRING")
         .option("header", "false")
         .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", "_bad")
+        .option("columnNameOfCorruptRecord", "_whole")
         .option("multiLine", str(multiline).lower())
         .option("escape", '"')
+        .option("maxCharsPerColumn", "-1")
         .option("ignoreCorruptFiles", "true")
         .option("recursiveFileLookup", "true")
     )
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    rows = _numbered(reader.csv(paths)).withColumn("_cells", F.array(*names))
-    filled = F.coalesce(
-        F.array_max(F.transform("_cells", lambda c, i: F.when(c.isNotNull(), i + 1))), F.lit(0)
-    )
-    cells = F.transform(F.slice("_cells", F.lit(1), filled), lambda c: F.coalesce(c, F.lit("")))
-    too_wide = F.col(names[-1]).isNotNull() & F.col("_bad").isNotNull()
-    return rows.select("file_path", "row_no", cells.alias("cells"), too_wide.alias("too_wide"))
+    only = F.when(F.col("_only").isNotNull(), F.array("_only")).otherwise(F.array().cast("array<string>"))
+    cells = F.when(F.col("_whole").isNotNull(), csv_cells(F.col("_whole"))).otherwise(only)
+    return _numbered(reader.csv(paths)).select("file_path", "row_no", cells.alias("cells"))
 
 
 def project_pages(spark: SparkSession, root: str, manifest: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ import duckdb
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from grantweave.catalog import all_queries
 from check_queries import TABLES, rows_of
 
 SF = "/root/testdata/sf0.001"
@@ -21,7 +22,7 @@ def test_entry(spark):
     assert entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(all_queries()))
 def test_query(spark, sql, name):
     df = queries()[name](spark, SF)
     got = rows_of(df.columns, [tuple(r) for r in df.collect()])

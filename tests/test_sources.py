@@ -62,11 +62,11 @@ def test_lines_are_numbered_across_splits(spark, folder):
 
 def test_csv_and_markdown_grids(spark, folder):
     write(folder, "a.csv", 'Banner\n"Cod, SMIS",Beneficiar,"cu ""ghilimele"""\n1,"două\nlinii",\n')
-    got = files.csv_grid(spark, folder, "*.csv", width=4).orderBy("row_no").collect()
+    got = files.csv_grid(spark, folder, "*.csv").orderBy("row_no").collect()
     assert [(r.row_no, r.cells) for r in got] == [(0, ["Banner"]), (1, ["Cod, SMIS", "Beneficiar", 'cu "ghilimele"']), (2, ["1", "două\nlinii"])]
-    assert not any(r.too_wide for r in got)
-    wide = files.csv_grid(spark, folder, "*.csv", width=2).orderBy("row_no").collect()
-    assert [r.too_wide for r in wide] == [False, True, True]
+    write(folder, "w/wide.csv", ",".join(f"c{i}" for i in range(30_000)) + "\n007\n")
+    wide = files.csv_grid(spark, folder + "/w", "*.csv").orderBy("row_no").collect()
+    assert [len(r.cells) for r in wide] == [30_000, 1] and wide[0].cells[-1] == "c29999" and wide[1].cells == ["007"]
     write(folder, "m/a.md", "text\n| A | B |\n|---|:-:|\n| 1 |  |\n\n  |2|x|\n")
     rows = files.markdown_grid(spark, folder, "*.md").orderBy("row_no").collect()
     assert [(r.row_no, r.cells) for r in rows] == [(0, ["A", "B"]), (1, ["1", ""]), (2, ["2", "x"])]
@@ -123,7 +123,7 @@ def test_extract_tables(spark, folder):
     write(folder, "portal/none.csv", "a,b\n1,2\n")
     names = ["portal/good-POCU.csv", "portal/nocode.csv", "portal/half.csv", "portal/none.csv"]
     listed = manifest(spark, [entry(n, **({"snapshot": "2024-05-15"} if "good" in n else {})) for n in names])
-    grid = files.csv_grid(spark, folder, "*.csv", width=8).withColumn("file_path", files.relative_path(F.col("file_path"), folder))
+    grid = files.csv_grid(spark, folder, "*.csv").withColumn("file_path", files.relative_path(F.col("file_path"), folder))
     portal = build.extract_tables(grid, listed).collect()
     counts = {}
     for r in portal:
