@@ -141,12 +141,12 @@ def call_domains(spark, sf):
 
 
 _PROJECT_FILTER = a.ProjectFilter(
-    search="s\\.c\\. firma 1|ERP", program="POCU", county="Cluj", region="Nord-Vest", status="Finalizat", min_amount="2.000,5"
+    search="s\\.c\\. firma|ERP", program="POCU", county="Cluj", region="Nord-Vest", status="Finalizat", min_amount="2.000,5"
 )
 _PROJECT_WHERE = """registry WHERE program = 'POCU' AND list_contains(counties, 'Cluj') AND list_contains(regions, 'Nord-Vest')
   AND status = 'Finalizat' AND coalesce(total_eligible_amount, 0) >= 2000.5
-  AND (regexp_matches(beneficiary_name, '(?i)s\\.c\\. firma 1|ERP') OR regexp_matches(coalesce(project_title, ''), '(?i)s\\.c\\. firma 1|ERP')
-    OR contains(coalesce(beneficiary_cui, ''), 's\\.c\\. firma 1|ERP'))"""
+  AND (regexp_matches(beneficiary_name, '(?i)s\\.c\\. firma|ERP') OR regexp_matches(coalesce(project_title, ''), '(?i)s\\.c\\. firma|ERP')
+    OR contains(coalesce(beneficiary_cui, ''), 's\\.c\\. firma|ERP'))"""
 
 
 @query("facet_search", f"{R} SELECT record_id, beneficiary_name, total_eligible_amount FROM {_PROJECT_WHERE}")
