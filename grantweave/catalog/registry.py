@@ -16,6 +16,7 @@ from grantweave.functions.vectors import contrastive_score
 from grantweave.operators import calls as calls_ops
 from grantweave.operators import classify
 from grantweave.plans import build
+from grantweave.sources.files import project_items as project_items_of
 
 # ------------------------------------------------------- places, status, shares
 
@@ -167,9 +168,7 @@ def _centroids(spark, sf) -> tuple[list, list]:
     embeddings = table(spark, sf, "embeddings")
     dims = embeddings.select("label", F.posexplode("embedding").alias("place", "x"))
     means = dims.groupBy("label", "place").agg(F.avg(F.col("x").cast("double")).alias("m"))
-    rows = means.groupBy("label").agg(F.array_sort(F.collect_list(F.struct("place", "m"))).alias("v")).orderBy("label").limit(101).collect()
-    if len(rows) > 100:
-        raise ValueError("prototypes are a short list; more than 100 labels are not")
+    rows = means.groupBy("label").agg(F.array_sort(F.collect_list(F.struct("place", "m"))).alias("v")).orderBy("label").collect()
     vectors = {r.label: [p.m for p in r.v] for r in rows}
     return [v for k, v in vectors.items() if k % 3 == 0], [v for k, v in vectors.items() if k % 3 > 0]
 
@@ -294,6 +293,32 @@ def call_rows(spark, sf):
     )
 
 
+# Project items as their source publishes them: lists or scalars, written as JSON.
+_ITEM_JSON = (
+    "concat('{{\"item\":\"Q', {key}, '\",\"originalLabels\":[],\"labels\":[\"Titlu ', o_orderstatus, '\"],\"descriptions\":\"<p>a&nbsp;', o_orderpriority, "
+    "'</p>\",\"startTimes\":[\"', {day}, 'T00:00\"],\"totalBudgets\":[\"', {key}, ',5\"],\"euBudgets\":', {cust}, "
+    "',\"coordinates\":\"45.5,', {place}, '\",\"countrycode\":', CASE WHEN o_custkey % 2 = 0 THEN '[]' ELSE '\"FR\"' END, '}}')"
+).format(key="cast(o_orderkey as string)", day="cast(cast(o_orderdate as date) as string)", cust="cast(o_custkey as string)", place="cast(o_custkey % 90 as string)")
+
+
+@query(
+    "project_items",
+    """SELECT 'Q' || o_orderkey AS project_code, 'Titlu ' || o_orderstatus AS project_title, 'a ' || o_orderpriority AS project_summary,
+      cast(cast(o_orderdate AS date) AS varchar) AS start_date, o_orderkey + 0.5::double AS total_eligible_amount, o_custkey::double AS eu_amount,
+      CASE WHEN o_custkey % 2 = 0 THEN 'RO' ELSE 'FR' END AS country, 45.5::double AS latitude, (o_custkey % 90)::double AS longitude,
+      o_orderkey % 50 AS source_row, o_orderpriority AS source_dataset FROM orders""",
+)
+def project_items(spark, sf):
+    items = table(spark, sf, "orders").selectExpr(
+        f"try_parse_json({_ITEM_JSON}) AS value", "o_orderkey % 50 AS pos", "'api' AS source", "o_orderpriority AS dataset", "'u' AS url",
+        "'p' AS path", "'h' AS sha256", "'2026-01-01' AS fetched_at",
+    )
+    return project_items_of(items).select(
+        "project_code", "project_title", "project_summary", F.col("start_date").cast("string").alias("start_date"), "total_eligible_amount", "eu_amount",
+        "country", "latitude", "longitude", "source_row", "source_dataset",
+    )
+
+
 # ----------------------------------------------------------------- the builds
 # Every line item is one published row of a project: lists repeat a project
 # (order, supplier) under several spellings of its beneficiary.

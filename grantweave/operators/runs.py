@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,16 +23,22 @@ def report(
     finished_at: str,
     errors: list[str] | None = None,
     failed_sources: dict[str, str] | None = None,
+    optional: Collection[str] = (),
 ) -> DataFrame:
     """One run as a report row: per source files, bytes and rows, then totals and
     ids the old registries did not have. ``failed_sources`` maps a source to its
-    error; any entry in ``errors`` marks the run as failed."""
-    errors = errors or []
-    error = F.lit(None).cast("string")
-    for source, text in (failed_sources or {}).items():
-        error = F.when(F.col("source") == source, F.lit(text)).otherwise(error)
-    sources = source_totals(manifest, extracted).agg(
-        F.array_sort(F.collect_list(F.struct("source", "files", "bytes", "rows", error.alias("error")))).alias("sources")
+    error; such a source shows even without a file. Any entry in ``errors`` marks the
+    run as failed, and so does a failed source that isn't ``optional``."""
+    errors, failed = errors or [], failed_sources or {}
+    listed = source_totals(manifest, extracted)
+    if failed:
+        # Also the sources that stored no file before they failed.
+        why = manifest.sparkSession.createDataFrame(list(failed.items()), "source STRING, error STRING")
+        listed = listed.join(why, "source", "full").fillna(0, ["files", "bytes", "rows"])
+    else:
+        listed = listed.withColumn("error", F.lit(None).cast("string"))
+    sources = listed.agg(
+        F.array_sort(F.collect_list(F.struct("source", "files", "bytes", "rows", "error"))).alias("sources")
     )
     counts = [
         build_totals(projects, calls),
@@ -45,7 +53,7 @@ def report(
         row.withColumns(
             {
                 "started_at": started, "finished_at": finished, "seconds": seconds.cast("double"),
-                "ok": F.lit(not errors), "errors": said,
+                "ok": F.lit(not errors and failed.keys() <= set(optional)), "errors": said,
             }
         ),
         schema.RUN_REPORT,

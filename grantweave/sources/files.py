@@ -113,7 +113,7 @@ def csv_grid(
     The reader only finds where records end: asked for one column, it hands over
     every wider record whole. Files without line breaks inside quotes can be read
     with ``multiline=False``, which lets Spark split them. A file that can't be
-    read is left out here; ``extract_report`` names it when it gets the manifest.
+    read (or has a record of over a million cells, the parser's limit) is left out here; ``extract_report`` names it when it gets the manifest.
     """
     reader = (
         spark.read.schema("_only STRING, _whole STRING")
@@ -123,6 +123,7 @@ def csv_grid(
         .option("multiLine", str(multiline).lower())
         .option("escape", '"')
         .option("maxCharsPerColumn", "-1")
+        .option("maxColumns", "1000000")
         .option("ignoreCorruptFiles", "true")
         .option("recursiveFileLookup", "true")
     )

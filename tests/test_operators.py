@@ -239,6 +239,12 @@ def test_run_report(spark):
     assert (row.projects, row.projects_new, row.software, row.calls, row.calls_new, row.calls_active) == (2, 2, 1, 2, 1, 1)
     assert (row.seconds, row.ok, row.errors) == (90.0, False, ["b: down"])
 
+    def again(optional):
+        return runs.report(manifest, rows, projects, calls_, projects, calls_, "2026-01-01T00:00:00", "2026-01-01T00:00:01", [], {"c": "no files"}, optional).first()
+
+    assert [tuple(s) for s in again(()).sources][-1] == ("c", 0, 0, 0, "no files")
+    assert not again(()).ok and again(("c",)).ok
+
 
 def test_project_key_survives_republication(spark):
     rows = [project(source_row=1), project(source_row=2, source_file="g", beneficiary_name="Acme")]

@@ -44,3 +44,32 @@ def test_filters_and_columns_reach_the_scan(spark):
     parts = spark.read.parquet(f"{SF}/part.parquet")
     text = plan(analytics.facet_options(parts.where(F.col("p_brand") == "Brand#2"), "p_type"))
     assert "EqualTo(p_brand,Brand#2)" in text and re.search(r"ReadSchema: struct<p_brand:string,p_type:string>", text)
+
+
+def test_one_row_answers_join_nothing(spark):
+    empty = schema.empty(spark)
+    calls = spark.createDataFrame([], schema.CALLS)
+    built = build.build_projects(empty)
+    for df in (analytics.registry_stats(built), analytics.build_totals(built, calls)):
+        assert "Join" not in plan(df)
+
+
+def test_a_filter_on_a_key_column_goes_below_the_merge(spark):
+    parts = spark.read.parquet(f"{SF}/part.parquet")
+    merged = dedup.merge_duplicates(parts.withColumn("fetched_at", F.lit("x")), ["p_brand", F.col("p_size")], ["p_partkey"], fill=["p_name"])
+    assert "EqualTo(p_brand,Brand#2)" in plan(merged.where(F.col("p_brand") == "Brand#2"))
+
+
+def test_names_of_terms_shuffle_no_items(spark):
+    from grantweave.catalog.registry import _items, _terms
+    from grantweave.operators import calls as calls_ops
+
+    text = plan(calls_ops.with_names(_items(spark, SF), _terms(spark, SF)))
+    assert "Join" not in text.split("Subquery")[0]
+
+
+def test_rows_are_read_without_an_exchange(spark):
+    from grantweave.catalog import all_queries
+
+    for name in ("slug_text", "parse_money", "page_text", "keyword_score"):
+        assert "Exchange" not in plan(all_queries()[name](spark, SF))

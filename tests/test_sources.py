@@ -172,3 +172,16 @@ def test_manual_files_come_last(spark):
     placed = spark.createDataFrame([("portal", "manual/b.csv", "h")], "source string, path string, sha256 string")
     rows = files.with_manual_files(listed, placed).orderBy("is_manual").collect()
     assert [(r.path, r.url, r.is_manual) for r in rows] == [("a.csv", "http://x/a.csv", False), ("manual/b.csv", "manual:b.csv", True)]
+
+
+def test_no_interim_yet_and_unreadable_files(spark, folder):
+    from grantweave.sources import sinks
+
+    assert sinks.read_interim(spark, folder + "/none").columns == schema.PROJECTS.fieldNames()
+    lines = "".join(f"{i},Firma {i} SRL,Titlu\n" for i in range(200_000))
+    write(folder, "good.csv", "Cod SMIS,Beneficiar,Titlu proiect\n1,Firma SRL,T\n")
+    write(folder, "broken.csv.gz", gzip.compress(("Cod SMIS,Beneficiar,Titlu proiect\n" + lines).encode())[:40], "wb")
+    grid = files.csv_grid(spark, folder, "*.csv*").withColumn("file_path", files.relative_path(F.col("file_path"), folder))
+    listed = manifest(spark, [entry("good.csv"), entry("broken.csv.gz")])
+    got = {r.file_path: r.reason for r in build.extract_report(grid, manifest=listed).collect()}
+    assert got == {"good.csv": None, "broken.csv.gz": "unreadable"}
