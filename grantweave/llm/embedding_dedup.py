@@ -31,7 +31,7 @@ from grantweave.llm import common
 
 LEAST_COSINE = 0.95
 #: Filters that a vector passes on average, and at least; classes that a filter gets on average.
-FILTERS, LEAST, LOAD = 40, 24, 32
+FILTERS, LEAST, LOAD = 24, 16, 32
 BLOCKS = 4
 #: Classes of a filter that one cell compares.
 CELL = 1500
@@ -92,44 +92,61 @@ def _unit(values) -> np.ndarray | None:
     return v / np.linalg.norm(v)
 
 
+def _units(raw: np.ndarray) -> np.ndarray:
+    """Rows at length 1, in double precision."""
+    raw = raw.astype(np.float64)
+    raw /= np.abs(raw).max(axis=1, keepdims=True)
+    return raw / np.linalg.norm(raw, axis=1, keepdims=True)
+
+
+def _kinds(vectors: DataFrame, embedding: str, count: int) -> tuple[type, type]:
+    """Number types of vectors and of filters in postings: no wider than needed."""
+    single = vectors.schema[embedding].dataType.elementType.typeName() == "float"
+    share = min(0.2, LOAD / max(count, 1))
+    return (np.float32 if single else np.float64), (np.uint32 if 2 * FILTERS / share < 2**31 else np.int64)
+
+
 def classes(vectors: DataFrame, vec_id: str, embedding: str) -> DataFrame:
-    """The rows without the vector, and digest and unit (the vector's doubles), null where it can't link."""
+    """The rows without the vector, and digest and raw (the vector's bytes), null where it can't link."""
     names = [c for c in vectors.columns if c != embedding]
+    kind = _kinds(vectors, embedding, 0)[0]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [None if (u := _unit(v)) is None else u.tobytes() for v in batch.column(embedding).to_pylist()]
-            digests = [None if x is None else xxhash.xxh3_128_digest(x) for x in found]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(digests, pa.binary()), pa.array(found, pa.binary())], names=[*names, "digest", "unit"])
+            values = batch.column(embedding).to_pylist()
+            digests = [None if (u := _unit(v)) is None else xxhash.xxh3_128_digest(u.tobytes()) for v in values]
+            found = [None if d is None else np.asarray(v, kind).tobytes() for v, d in zip(values, digests, strict=True)]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(digests, pa.binary()), pa.array(found, pa.binary())], names=[*names, "digest", "raw"])
 
-    return vectors.mapInArrow(run, common.extended(vectors.drop(embedding), "digest binary, unit binary"))
+    return vectors.mapInArrow(run, common.extended(vectors.drop(embedding), "digest binary, raw binary"))
 
 
-def postings(reps: DataFrame, count: int) -> DataFrame:
-    """(filter, chunk, rep, copies, unit, filters) for each filter that a class passes."""
+def postings(reps: DataFrame, count: int, kinds: tuple[type, type]) -> DataFrame:
+    """(filter, rep, copies, raw, filters) for each filter that a class passes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes: dict[int, ProductCode] = {}
         for batch in batches:
-            filters, row = [], []
-            for i, unit in enumerate(batch.column("unit")):
-                v = np.frombuffer(unit.as_buffer(), np.float64)
+            filters, keys, row = [], [], []
+            for i, raw in enumerate(batch.column("raw")):
+                v = _units(np.frombuffer(raw.as_buffer(), kinds[0])[None, :])[0]
                 if len(v) not in codes:
                     codes[len(v)] = ProductCode(len(v), count)
+                filters.append(codes[len(v)].decode(v))
                 # The vector's length keeps filters of different lengths apart.
-                filters.append(codes[len(v)].decode(v) + (len(v) << 40))
+                keys.append(filters[-1] + (len(v) << 40))
                 row.append(np.full(len(filters[-1]), i))
             if not filters:
                 continue
-            lists = pa.array([f.tobytes() for f in filters], pa.binary())
+            lists = pa.array([f.astype(kinds[1]).tobytes() for f in filters], pa.binary())
             row = pa.array(np.concatenate(row))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(filters)), *(batch.column(c).take(row) for c in ("rep", "copies", "unit")), lists.take(row)],
-                names=["filter", "rep", "copies", "unit", "filters"],
+                [pa.array(np.concatenate(keys)), *(batch.column(c).take(row) for c in ("rep", "copies", "raw")), lists.take(row)],
+                names=["filter", "rep", "copies", "raw", "filters"],
             )
 
     kind = reps.schema["rep"].dataType.simpleString()
-    return reps.mapInArrow(run, f"filter long, rep {kind}, copies long, unit binary, filters binary")
+    return reps.mapInArrow(run, f"filter long, rep {kind}, copies long, raw binary, filters binary")
 
 
 def _cell(ids: np.ndarray, copies: np.ndarray, units: np.ndarray, lists: list[np.ndarray], own: int, side: np.ndarray, least: float):
@@ -155,14 +172,14 @@ def _cell(ids: np.ndarray, copies: np.ndarray, units: np.ndarray, lists: list[np
     return rows, (first @ copies[rows].astype(np.float64)).astype(np.int64), label
 
 
-def links(posts: DataFrame, least: float) -> DataFrame:
+def links(posts: DataFrame, least: float, kinds: tuple[type, type]) -> DataFrame:
     """(rep, links, partner) by filter and cell."""
     counts = posts.groupBy("filter").count()
     large = counts.where(F.col("count") > CELL).select("filter", F.ceil(F.col("count") / (CELL // 2)).cast("int").alias("chunks"))
     placed = posts.join(large, "filter", "left").withColumn("chunk", F.pmod(F.xxhash64("rep"), F.coalesce("chunks", F.lit(1))).cast("int"))
     others = F.sequence(F.lit(0), F.coalesce("chunks", F.lit(1)) - 1)
     cells = placed.withColumn("other", F.explode(others)).select(
-        "filter", F.least("chunk", "other").cast("int").alias("low"), F.greatest("chunk", "other").cast("int").alias("high"), "chunk", "rep", "copies", "unit", "filters"
+        "filter", F.least("chunk", "other").cast("int").alias("low"), F.greatest("chunk", "other").cast("int").alias("high"), "chunk", "rep", "copies", "raw", "filters"
     )
     dealt = cells.repartition("filter", "low", "high").sortWithinPartitions("filter", "low", "high")
 
@@ -171,12 +188,12 @@ def links(posts: DataFrame, least: float) -> DataFrame:
             if table.num_rows < 2:
                 return None
             own, low, high = (table.column(c)[0].as_py() for c in ("filter", "low", "high"))
-            units = np.frombuffer(b"".join(table.column("unit").to_pylist()), np.float64).reshape(table.num_rows, -1)
-            lists = [np.frombuffer(x.as_buffer(), np.int64) for x in table.column("filters")]
+            units = _units(np.frombuffer(b"".join(table.column("raw").to_pylist()), kinds[0]).reshape(table.num_rows, -1))
+            lists = [np.frombuffer(x.as_buffer(), kinds[1]) for x in table.column("filters")]
             chunk = table.column("chunk").to_numpy()
             side = np.where(chunk == low, 0, 1) if low < high else np.full(len(chunk), 2)
             ids, copies = table.column("rep").to_numpy(), table.column("copies").to_numpy()
-            rows, found, partner = _cell(ids, copies, units, lists, own, side, least)
+            rows, found, partner = _cell(ids, copies, units, lists, own & ((1 << 40) - 1), side, least)
             return pa.RecordBatch.from_arrays([pa.array(ids[rows]), pa.array(found), pa.array(partner)], names=["rep", "links", "partner"]) if len(rows) else None
 
         for table in common.by_cell(batches, ["filter", "low", "high"]):
@@ -189,13 +206,15 @@ def links(posts: DataFrame, least: float) -> DataFrame:
 
 def near_vectors(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding", least: float = LEAST_COSINE) -> DataFrame:
     """The rows without the vector, and n_links, component_id, kept (first of its component)."""
-    plain = vectors.drop("digest", "unit", "n_links", "component_id", "kept")
+    plain = vectors.drop("digest", "raw", "n_links", "component_id", "kept")
     signed = common.written(classes(plain, vec_id, embedding))
     usable = signed.where(F.col("digest").isNotNull() & F.col(vec_id).isNotNull())
     reps = common.written(
-        usable.groupBy("digest").agg(F.min(vec_id).alias("rep"), F.countDistinct(vec_id).alias("copies"), F.min("unit").alias("unit"))
+        usable.groupBy("digest").agg(F.min(vec_id).alias("rep"), F.countDistinct(vec_id).alias("copies"), F.min("raw").alias("raw"))
     )
-    found = common.written(links(postings(reps.select("rep", "copies", "unit"), reps.count()), least))
+    count = reps.count()
+    kinds = _kinds(plain, embedding, count)
+    found = common.written(links(postings(reps.select("rep", "copies", "raw"), count, kinds), least, kinds))
     groups = common.components(found.select(F.col("rep").alias("a"), F.col("partner").alias("b")))
     sums = found.groupBy("rep").agg(F.sum("links").alias("n"))
     of = reps.select("digest", "rep", "copies").join(sums, "rep", "left").join(groups, F.col("rep") == F.col("node"), "left")
