@@ -154,6 +154,36 @@ def facet_search(spark, sf):
     return _PROJECT_FILTER.apply(registry(spark, sf)).select("record_id", "beneficiary_name", "total_eligible_amount")
 
 
+_SOFTWARE = a.ProjectFilter(only_software=True, county="Cluj")
+_SOFTWARE_WHERE = "registry WHERE is_software AND list_contains(counties, 'Cluj')"
+
+
+@query(
+    "search_page",
+    f"""{R} SELECT record_id, program, software_score FROM {_SOFTWARE_WHERE}
+      ORDER BY software_score DESC NULLS LAST, record_id LIMIT 25 OFFSET 25""",
+)
+def search_page(spark, sf):
+    found = a.search_projects(registry(spark, sf), _SOFTWARE, 1, "software_score")
+    return found["page"].select("record_id", "program", "software_score")
+
+
+@query("search_programs", f"{R}, hit AS (SELECT * FROM {_SOFTWARE_WHERE}) {_buckets('program', 'total_eligible_amount', 'hit', 12)}")
+def search_programs(spark, sf):
+    return a.search_projects(registry(spark, sf), _SOFTWARE)["programs"]
+
+
+@query(
+    "search_calls_page",
+    f"""{C} SELECT source, call_id, cast(closes_at AS varchar) AS closes_at FROM calls_registry
+      WHERE status = 'Activ' AND list_contains(domains, 'Digitalizare')
+      ORDER BY calls_registry.closes_at NULLS LAST, call_id, source LIMIT 25""",
+)
+def search_calls_page(spark, sf):
+    page = a.search_calls(calls(spark, sf), a.CallFilter(domain="Digitalizare"))["page"]
+    return page.select("source", "call_id", F.col("closes_at").cast("string").alias("closes_at"))
+
+
 @query("facet_kpis", f"{R} {_KPI} registry WHERE is_software AND software_label = 'produs'")
 def facet_kpis(spark, sf):
     return _kpis(a.ProjectFilter(only_software=True, label="produs").apply(registry(spark, sf)))

@@ -251,6 +251,28 @@ def page_of_calls(
     return calls.orderBy(F.asc_nulls_last(closes), *tie).offset(page * size).limit(size)
 
 
+def search_projects(
+    projects: DataFrame, where: ProjectFilter | None = None, page: int = 0, sort: str = PROJECT_SORTS[0]
+) -> dict[str, DataFrame]:
+    """All answers to one set of facets: the page, the number of pages, KPIs, and
+    the largest programs and labels. Best asked of the published table, where the
+    plain facets and each answer's columns reach the scan."""
+    found = (where or ProjectFilter()).apply(projects)
+    return {
+        "page": page_of_projects(found, page, sort),
+        "pages": page_count(found),
+        "kpis": project_kpis(found),
+        "programs": top_buckets(found, "program", "total_eligible_amount"),
+        "labels": label_counts(found),
+    }
+
+
+def search_calls(calls: DataFrame, where: CallFilter | None = None, page: int = 0) -> dict[str, DataFrame]:
+    """The same for calls: the page, the number of pages, KPIs."""
+    found = (where or CallFilter()).apply(calls)
+    return {"page": page_of_calls(found, page), "pages": page_count(found), "kpis": call_kpis(found)}
+
+
 def page_count(df: DataFrame, size: int = fv.PAGE_SIZE) -> DataFrame:
     pages = F.ceil(F.count(F.lit(1)) / size)
     return df.agg(F.greatest(F.lit(1), pages).cast("bigint").alias("pages"))

@@ -73,3 +73,18 @@ def test_rows_are_read_without_an_exchange(spark):
 
     for name in ("slug_text", "parse_money", "page_text", "keyword_score"):
         assert "Exchange" not in plan(all_queries()[name](spark, SF))
+
+
+def test_facets_and_columns_reach_the_published_table(spark, tmp_path):
+    projects = build.build_projects(interim_projects(spark, SF))
+    calls = spark.createDataFrame([], schema.CALLS)
+    written, _ = build.publish(spark, projects, calls, str(tmp_path))
+    asked = analytics.search_projects(written, analytics.ProjectFilter(program="POCU", only_software=True, status="Finalizat"))
+    spark.conf.set("spark.sql.maxMetadataStringLength", 10_000)
+    text = plan(asked["kpis"])
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    for pushed in ("EqualTo(is_software,true)", "EqualTo(program,POCU)", "EqualTo(status,Finalizat)"):
+        assert pushed in text
+    schema_read = re.search(r"ReadSchema: struct<([^>]*)>", text)[1]
+    assert "source_url" not in schema_read and "source_sha256" not in schema_read
+    assert "TakeOrderedAndProject" in plan(asked["page"]) and asked["page"].count() <= 25
