@@ -71,7 +71,8 @@ def segments(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
         return none.astype(np.uint64), none, none, none
     new = np.concatenate([[True], (low[1:] != low[:-1]) | (row[1:] != row[:-1])])
     at = np.flatnonzero(new)
-    return low[at], row[at], whole[at], np.diff(np.append(at, len(low)))
+    # Smallest hashes crowd at the low end; mixed, they deal out evenly.
+    return common.mix(low[at]), row[at], whole[at], np.diff(np.append(at, len(low)))
 
 
 def _range(anchors: np.ndarray) -> np.ndarray:
@@ -94,13 +95,14 @@ def repeated_filter(docs: DataFrame, doc_id: str, text: str) -> dict[int, tuple[
             parts = [(r, _short(h).tobytes()) for r, (h,) in common.packed(_range(values), RANGES, values)]
             return pa.RecordBatch.from_arrays([pa.array([r for r, _ in parts], pa.int32()), pa.array([h for _, h in parts], pa.binary())], names=["part", "hashes"])
 
-        for rows, data, offsets in common.pieces(batches, text):
-            ids = rows.column(doc_id).to_numpy(zero_copy_only=False)
+        for _, data, offsets in common.pieces(batches, text):
             anchors, row, _, _ = segments(data, offsets)
-            pairs = np.unique(np.rec.fromarrays([anchors, ids[row]])) if len(anchors) else None
-            if pairs is not None:
-                held.append(pairs["f0"])
-                size += len(pairs)
+            if len(anchors):
+                # Once for each row; rows of one id may count twice, which makes a false hit at most.
+                order = np.lexsort((row, anchors))
+                anchors, row = anchors[order], row[order]
+                held.append(anchors[np.concatenate([[True], (anchors[1:] != anchors[:-1]) | (row[1:] != row[:-1])])])
+                size += len(held[-1])
             if size >= FLUSH * 8:
                 yield flush()
                 held, size = [], 0
@@ -157,7 +159,7 @@ def _block(ids: np.ndarray, blocks: int) -> np.ndarray:
     return (common.mix(ids.astype(np.int64).view(np.uint64)) % np.uint64(blocks)).astype(np.int64)
 
 
-_POST = "bucket int, anchors binary, marks binary, ids binary, starts binary, strings binary, texts binary"
+_POST = "bucket int, anchors binary, marks binary, ids binary, starts binary, strings binary, size long, texts binary"
 _COVER = "block int, ids binary, starts binary, strings binary"
 
 
@@ -180,7 +182,8 @@ def _posts(docs: DataFrame, doc_id: str, text: str, filters, buckets: int) -> Da
         rows = list(common.packed(bucket, buckets, anchors, marks, ids, starts.astype(np.uint32), np.where(covered, -strings, strings).astype(np.int32), np.arange(len(ids))))
         columns = [pa.array([b for b, _ in rows], pa.int32())]
         columns += [pa.array([p[k].tobytes() for _, p in rows], pa.binary()) for k in range(5)]
-        columns.append(pa.array([data[common.runs(place[p[5]], lengths[p[5]])].tobytes() for _, p in rows], pa.binary()))
+        texts = (data[common.runs(place[p[5]], lengths[p[5]])].tobytes() for _, p in rows)
+        columns += [pa.array([sum(lengths[p[5]].tolist()) for _, p in rows], pa.int64()), pa.array([pa.compress(t, "zstd", asbytes=True) for t in texts], pa.binary())]
         yield pa.RecordBatch.from_arrays(columns, names=_names(_POST))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -341,7 +344,11 @@ def covered_runs(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
             return np.concatenate([np.frombuffer(x.as_buffer(), kind) for x in group.column(name)])
 
         anchors, marks, ids = column("anchors", np.uint64), column("marks", np.uint64), column("ids", np.int64)
-        starts, strings, data = column("starts", np.uint32).astype(np.int64), column("strings", np.int32).astype(np.int64), column("texts", np.uint8)
+        texts = [
+            np.frombuffer(pa.decompress(x.as_buffer(), size, "zstd"), np.uint8) if size else np.zeros(0, np.uint8)
+            for x, size in zip(group.column("texts"), group.column("size").to_pylist(), strict=True)
+        ]
+        starts, strings, data = column("starts", np.uint32).astype(np.int64), column("strings", np.int32).astype(np.int64), np.concatenate(texts)
         done = strings < 0
         # A packet has the bytes of a distinct segment once, at the first of its rows.
         sizes = [len(x.as_buffer()) // 8 for x in group.column("anchors")]
