@@ -176,8 +176,9 @@ def occurrences(symbols: np.ndarray, phrases: Phrases) -> tuple[np.ndarray, np.n
     return which, places[index.locate(rows)]
 
 
-def _search(docs: DataFrame, text: str, items: list, window: int) -> DataFrame:
-    """docs with n_words, spans of words hit, spans of bytes, and items found, for one block of items."""
+def _search(docs: DataFrame, columns: list[str], text: str, items: list, window: int) -> DataFrame:
+    """The columns with what one block of items finds, joined to what earlier blocks have found."""
+    more = [c for c in docs.columns if c not in columns]
     sent = docs.sparkSession.sparkContext.broadcast(items)
     prepared: list[Phrases] = []
 
@@ -208,19 +209,25 @@ def _search(docs: DataFrame, text: str, items: list, window: int) -> DataFrame:
                 if covered[a]:
                     d = doc[a]
                     spans[d].append((a - first[d], b - first[d], starts[a] - offsets[d], ends[b - 1] - offsets[d]))
+            found = [[dict(zip(_SPAN, map(int, s), strict=True)) for s in x] for x in spans]
+            names = [set(map(str, items_of.get(d, ()))) for d in range(n)]
+            if more:
+                found = [_merged(x) for x in zip(found, rows.column("spans").to_pylist(), strict=True)]
+                names = [x.union(y) for x, y in zip(names, rows.column("items").to_pylist(), strict=True)]
+            hits = [sum(s["word_to"] - s["word_from"] for s in x) for x in found]
+            clean = [_without(v, s) for v, s in zip(rows.column(text).to_pylist(), found, strict=True)]
             made = [
-                pa.array(np.diff(first), pa.int64()),
-                pa.array([[dict(zip(_SPAN, map(int, s), strict=True)) for s in x] for x in spans], _SPANS),
-                pa.array([sorted(map(str, items_of.get(d, ()))) for d in range(n)], pa.list_(pa.string())),
+                pa.array(np.diff(first), pa.int64()), pa.array(found, _SPANS), pa.array([sorted(x) for x in names], pa.list_(pa.string())),
+                pa.array(hits, pa.int64()), pa.array(clean, pa.string()),
             ]
-            yield pa.RecordBatch.from_arrays([*rows.columns, *made], names=[*rows.schema.names, "n_words", "spans", "items"])
+            yield pa.RecordBatch.from_arrays([*(rows.column(c) for c in columns), *made], names=[*columns, *_NEW])
 
-    return docs.mapInArrow(run, common.extended(docs, _FOUND))
+    return docs.mapInArrow(run, common.extended(docs.select(*columns), _FOUND))
 
 
 _SPAN = ("word_from", "word_to", "byte_from", "byte_to")
 _SPANS = pa.list_(pa.struct([(n, pa.int64()) for n in _SPAN]))
-_FOUND = "n_words long, spans array<struct<word_from:long,word_to:long,byte_from:long,byte_to:long>>, items array<string>"
+_FOUND = "n_words long, spans array<struct<word_from:long,word_to:long,byte_from:long,byte_to:long>>, items array<string>, n_hit long, clean_text string"
 
 
 def _without(value: str | None, spans) -> str | None:
@@ -252,28 +259,11 @@ def decontaminate(docs: DataFrame, items: DataFrame, item_id: str = "item_id", t
     found = plain
     for block in range(blocks):
         own = items.where(F.pmod(F.xxhash64(item_id), F.lit(blocks)) == block).select(item_id, text)
-        rows = [(r[0], r[1]) for r in own.collect()]
-        found = _search(found.withColumnsRenamed({c: f"{c}_{block - 1}" for c in _NEW} if block else {}), text, rows, window)
-    columns = plain.columns
-    earlier = [[f"{c}_{b}" for b in range(blocks - 1)] + [c] for c in _NEW]
-
-    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            spans = [_merged(list(x)) for x in zip(*(batch.column(c).to_pylist() for c in earlier[1]), strict=True)]
-            found = [sorted({i for part in x for i in part}) for x in zip(*(batch.column(c).to_pylist() for c in earlier[2]), strict=True)]
-            made = [
-                batch.column("n_words"),
-                pa.array(spans, _SPANS),
-                pa.array(found, pa.list_(pa.string())),
-                pa.array([sum(s["word_to"] - s["word_from"] for s in x) for x in spans], pa.int64()),
-                pa.array([_without(v, s) for v, s in zip(batch.column(text).to_pylist(), spans, strict=True)], pa.string()),
-            ]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in columns), *made], names=[*columns, *_NEW, "n_hit", "clean_text"])
-
-    return found.mapInArrow(finish, common.extended(plain, f"{_FOUND}, n_hit long, clean_text string"))
+        found = _search(found, plain.columns, text, [(r[0], r[1]) for r in own.collect()], window)
+    return found
 
 
-_NEW = ("n_words", "spans", "items")
+_NEW = ("n_words", "spans", "items", "n_hit", "clean_text")
 
 
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
