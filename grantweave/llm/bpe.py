@@ -38,7 +38,7 @@ def read_ranks(lines: Iterable[bytes]) -> dict[bytes, int]:
 
 
 class Transducer:
-    MAX_STATES = 300_000
+    MAX_STATES = 80_000
     FEW = 6
 
     def __init__(self, ranks: dict[bytes, int]):
@@ -90,7 +90,7 @@ class Transducer:
         known = self.fit.get((left, right))
         if known is None:
             known = self._fits(left, right)
-            if len(self.fit) > 2_000_000:
+            if len(self.fit) > 400_000:
                 self.fit.clear()
             self.fit[left, right] = known
         return known
@@ -119,7 +119,7 @@ class Transducer:
             return True
         known = self.on.get((left, text))
         if known is None:
-            if len(self.on) > 2_000_000:
+            if len(self.on) > 400_000:
                 self.on.clear()
             known = self.on[left, text] = any(self._fits(left, token) for token in tokens)
         return known
@@ -178,7 +178,7 @@ class Transducer:
 class PieceIds(dict):
     """Encoded bytes of the pieces met so far; emptied when it grows beyond a fixed size."""
 
-    MAX_PIECES = 700_000
+    MAX_PIECES = 350_000
 
     def __init__(self, transducer: Transducer):
         super().__init__()
@@ -244,8 +244,14 @@ def tokenize(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text",
         find, known, tokens = _tools(source.value, pattern)
         split = find.findall
         gc.disable()  # the tables hold millions of tuples and no cycles; walking them costs a third of the time
+        try:
+            yield from coded(batches, known, tokens, split)
+        finally:
+            gc.enable()
+
+    def coded(batches, known, tokens, split) -> Iterator[pa.RecordBatch]:
         for rows, _, _ in common.pieces(batches, text):
-            counts, first, second, coded = [], [], [], []
+            counts, first, second, numbered = [], [], [], []
             for value in rows.column(text).to_pylist():
                 data = b"".join(map(known.__getitem__, split(value or "")))
                 numbers = np.frombuffer(data, "<u4")
@@ -256,10 +262,10 @@ def tokenize(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text",
                     sha.update(part)
                 second.append(sha.hexdigest())
                 if ids:
-                    coded.append(numbers.astype(np.int32))
+                    numbered.append(numbers.astype(np.int32))
             kept = [rows.column(c) for c in others]
             made = [pa.array(counts, pa.int64()), pa.array(first, pa.string()), pa.array(second, pa.string())]
-            made += [pa.array(coded, pa.list_(pa.int32()))] * ids
+            made += [pa.array(numbered, pa.list_(pa.int32()))] * ids
             yield pa.RecordBatch.from_arrays(kept + made, names=[*others, *new])
 
     new = ["n_tokens", "ids_sha256", "decoded_sha256", *["token_ids"] * ids]
