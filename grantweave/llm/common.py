@@ -36,12 +36,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+_unset: list[str] = []
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """A new folder below spark.checkpoint.dir, which executors and driver share."""
+    """A new folder below spark.checkpoint.dir, which executors and driver share.
+
+    Only where the session names none, as in tests, it is a temporary folder.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = tempfile.mkdtemp(prefix="checkpoints-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        if not _unset:
+            _unset.append(tempfile.mkdtemp(prefix="checkpoints-"))
+        root = _unset[0]
     return f"{root.rstrip('/')}/{uuid.uuid4().hex}"
 
 
