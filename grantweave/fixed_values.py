@@ -99,7 +99,7 @@ LEGAL_FORMS = [
 SPELLED_LEGAL_FORMS = ["s r l", "s a"]
 COMPANY_NOISE_TOKENS = ["sc", "s", "c"]
 
-# Rows that sit in a table without being a project (searched in the name).
+# Names with these words mark sums and footers.
 TOTAL_ROW_WORDS = (
     r"(total|subtotal|contributi|cheltuieli|valoare|suma|fonduri|nr\.? crt)"
 )
@@ -351,7 +351,7 @@ PROJECT_SEARCH = "https://kohesio.ec.europa.eu/en/projects?keywords={query}&coun
 FISCAL_PAGE = "https://mfinante.gov.ro/ro/web/site/info-fiscale?cui="
 CALL_SITE = "https://oportunitati-ue.gov.ro"
 
-# Fields one publication has and another lacks, filled between duplicates.
+# Columns whose gaps the other copies of a project close.
 MERGED_FIELDS = [
     "eu_amount", "payments_amount", "total_project_amount", "total_eligible_amount",
     "beneficiary_cui", "project_summary", "intervention_code", "county", "region",

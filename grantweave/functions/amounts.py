@@ -21,8 +21,7 @@ def with_eu_amount(
 ) -> DataFrame:
     """Adds ``eu_amount_derived`` and ``eu_amount_source`` (publicat / calculat).
 
-    The contribution is a share of the eligible amount and never exceeds it;
-    this holds for published amounts too.
+    Amounts above the eligible one are discarded, whether published or computed.
     """
     whole, given = F.col(eligible), F.col(published)
     product = F.round(whole * rate_as_fraction(F.col(rate)), 2)

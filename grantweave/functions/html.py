@@ -114,10 +114,11 @@ def value_after(text: Column, label: str, width: int = 260) -> Column:
 
 
 def list_after(
-    text: Column, label: str, stops: list[str], noise: list[str] | None = None, width: int = 1200
+    text: Column, label: str, stops: list[str], noise: list[str] | None = None, width: int = 1200,
+    most: int = 20,
 ) -> Column:
     """Items listed after a label, up to the next section: distinct in reading
-    order, longer than two characters, at most twenty."""
+    order, longer than two characters, the first ``most`` of them."""
     tail = _after_label(text, label, width)
     for stop in stops:
         # A stop marker at the very start does not cut.
@@ -127,7 +128,7 @@ def list_after(
     )
     dropped = fv.PAGE_LIST_NOISE if noise is None else noise
     kept = F.filter(items, lambda x: (F.length(x) > 2) & ~F.lower(x).isin(dropped))
-    listed = F.slice(F.array_distinct(kept), 1, 20)
+    listed = F.slice(F.array_distinct(kept), 1, most)
     return F.when(F.instr(text, label) > 0, listed).otherwise(
         F.array().cast("array<string>")
     )

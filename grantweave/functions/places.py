@@ -140,7 +140,7 @@ def with_status(
 
 
 def call_status(opens: Column, closes: Column, continuous: Column, as_of: Column) -> Column:
-    """Status from the calendar; a past deadline beats everything else."""
+    """Closed, upcoming or active by the two dates; without them, only an open-ended call is active."""
     return (
         F.when(closes < as_of, F.lit(fv.CALL_CLOSED))
         .when(opens > as_of, F.lit(fv.CALL_UPCOMING))

@@ -33,7 +33,7 @@ def _boost(df: DataFrame, when: Column, points: Column, first: Column | None, la
 def with_domain_boost(
     df: DataFrame, domains: str = "domains", domain: str = fv.DIGITAL_DOMAIN
 ) -> DataFrame:
-    """A portal's own tag adds a fixed weight, below the threshold on purpose."""
+    """Raises tagged calls by WEIGHT_DOMAIN, which alone makes no call software."""
     tagged = F.coalesce(F.array_contains(domains, domain), F.lit(False))
     return _boost(df, tagged, F.lit(fv.WEIGHT_DOMAIN), F.lit(f"domeniu: {domain}"), None)
 
@@ -82,7 +82,7 @@ def classify_projects(
 def classify_calls(
     df: DataFrame, dictionary: KeywordDictionary | None = None, meaning: str | None = None
 ) -> DataFrame:
-    """The same for calls: own text and the portal's tag, each counted once."""
+    """Calls, scored by title and objective and raised by their tag."""
     scored = with_keyword_score(df, "title", "specific_objective", dictionary=dictionary)
     boosted = with_domain_boost(scored)
     return _decide(with_meaning(boosted, meaning) if meaning else boosted)

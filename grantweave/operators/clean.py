@@ -45,11 +45,6 @@ def clean_rows(df: DataFrame, mode: str = "literal") -> DataFrame:
     return df.where(is_beneficiary(F.col("beneficiary_name"), mode))
 
 
-def blank_as_null(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Blank text becomes null, so that it counts as missing when merging."""
-    return df.withColumns({c: F.nullif(F.trim(F.col(c)), F.lit("")) for c in columns})
-
-
 def file_report(
     df: DataFrame,
     kept: Column,

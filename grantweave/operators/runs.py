@@ -78,8 +78,9 @@ def freshness(runs: DataFrame) -> DataFrame:
     )
 
 
-def completeness(runs: DataFrame, has_projects: bool = True, has_calls: bool = True) -> DataFrame:
-    """The first thing that is missing, as one row; null when all is in place."""
+def completeness(runs: DataFrame, has_projects: bool = True, has_calls: bool = True, shown: int = 200) -> DataFrame:
+    """The first thing that is missing, as one row; null when all is in place. Of
+    errors the first ``shown`` characters."""
     reason = (
         F.when(~F.lit(has_projects), F.lit("registry missing"))
         .when(~F.lit(has_calls), F.lit("calls missing"))
@@ -88,7 +89,7 @@ def completeness(runs: DataFrame, has_projects: bool = True, has_calls: bool = T
             ~F.coalesce("ok", F.lit(False)),
             F.concat(
                 F.lit("last run had errors: "),
-                F.substring(F.array_join(F.coalesce("errors", F.array().cast("array<string>")), "; "), 1, 200),
+                F.substring(F.array_join(F.coalesce("errors", F.array().cast("array<string>")), "; "), 1, shown),
             ),
         )
         .when(F.coalesce("calls", F.lit(0)) == 0, F.lit("last run found no calls"))
