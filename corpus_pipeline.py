@@ -46,7 +46,8 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids in place of the texts, and the digests of ids and decoded bytes."""
     import public_tokenizers
 
-    coded = bpe.tokenize(docs, public_tokenizers.path(bpe.DEFAULT_RANKS), public_tokenizers.PATTERN, ids=True)
+    # The executors' memory still holds what earlier stages left there, so the tables are small.
+    coded = bpe.tokenize(docs, public_tokenizers.path(bpe.DEFAULT_RANKS), public_tokenizers.PATTERN, ids=True, share=0.25)
     return coded.drop("text")
 
 

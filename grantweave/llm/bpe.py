@@ -38,7 +38,7 @@ def read_ranks(lines: Iterable[bytes]) -> dict[bytes, int]:
 
 
 class Transducer:
-    MAX_STATES = 80_000
+    MAX_STATES = 300_000
     FEW = 6
 
     def __init__(self, ranks: dict[bytes, int]):
@@ -90,7 +90,7 @@ class Transducer:
         known = self.fit.get((left, right))
         if known is None:
             known = self._fits(left, right)
-            if len(self.fit) > 400_000:
+            if len(self.fit) > 1_000_000:
                 self.fit.clear()
             self.fit[left, right] = known
         return known
@@ -119,7 +119,7 @@ class Transducer:
             return True
         known = self.on.get((left, text))
         if known is None:
-            if len(self.on) > 400_000:
+            if len(self.on) > 1_000_000:
                 self.on.clear()
             known = self.on[left, text] = any(self._fits(left, token) for token in tokens)
         return known
@@ -178,7 +178,7 @@ class Transducer:
 class PieceIds(dict):
     """Encoded bytes of the pieces met so far; emptied when it grows beyond a fixed size."""
 
-    MAX_PIECES = 350_000
+    MAX_PIECES = 700_000
 
     def __init__(self, transducer: Transducer):
         super().__init__()
@@ -221,27 +221,31 @@ def decode_stream(ids: Iterable[int], tokens: list[bytes], block: int = 4096) ->
 _loaded: dict[str, tuple] = {}
 
 
-def _tools(source: bytes, pattern: str) -> tuple:
-    key = hashlib.sha256(source + pattern.encode()).hexdigest()
+def _tools(source: bytes, pattern: str, share: float = 1.0) -> tuple:
+    key = f"{hashlib.sha256(source + pattern.encode()).hexdigest()} {share}"
     if key not in _loaded:
         ranks = read_ranks(source.splitlines())
         tokens = [b""] * (max(ranks.values(), default=-1) + 1)
         for token, rank in ranks.items():
             tokens[rank] = token
-        _loaded[key] = regex.compile(pattern), PieceIds(Transducer(ranks)), tokens
+        known = PieceIds(Transducer(ranks))
+        known.MAX_PIECES = int(share * known.MAX_PIECES)
+        known.transducer.MAX_STATES = int(share * known.transducer.MAX_STATES)
+        _loaded[key] = regex.compile(pattern), known, tokens
     return _loaded[key]
 
 
-def tokenize(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", ids: bool = False) -> DataFrame:
+def tokenize(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", ids: bool = False, share: float = 1.0) -> DataFrame:
     """Adds n_tokens, ids_sha256, decoded_sha256, and with ids=True token_ids; drops nothing.
 
-    The vocabulary is read by the driver; its size doesn't depend on the texts.
+    The vocabulary is read by the driver; its size doesn't depend on the texts. share: of the full size
+    of a worker's tables (about 500 MB); smaller ones are emptied more often, which costs time.
     """
     with open(ranks_path, "rb") as file:
         source = docs.sparkSession.sparkContext.broadcast(file.read())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        find, known, tokens = _tools(source.value, pattern)
+        find, known, tokens = _tools(source.value, pattern, share)
         split = find.findall
         gc.disable()  # the tables hold millions of tuples and no cycles; walking them costs a third of the time
         try:
