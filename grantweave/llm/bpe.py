@@ -239,7 +239,8 @@ def tokenize(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text",
     """Adds n_tokens, ids_sha256, decoded_sha256, and with ids=True token_ids; drops nothing.
 
     The vocabulary is read by the driver; its size doesn't depend on the texts. share: of the full size
-    of a worker's tables (about 500 MB); smaller ones are emptied more often, which costs time.
+    of a worker's tables (about 500 MB); smaller ones are emptied more often, which costs time, and
+    go with the task, so a worker that is used again doesn't hold them.
     """
     with open(ranks_path, "rb") as file:
         source = docs.sparkSession.sparkContext.broadcast(file.read())
@@ -252,6 +253,8 @@ def tokenize(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text",
             yield from coded(batches, known, tokens, split)
         finally:
             gc.enable()
+            if share < 1:
+                _loaded.clear()
 
     def coded(batches, known, tokens, split) -> Iterator[pa.RecordBatch]:
         for rows, _, _ in common.pieces(batches, text):
