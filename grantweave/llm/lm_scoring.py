@@ -2,15 +2,15 @@
 
 N-gram counts are quantised: level 1 + floor(log2 count). The filter holds an n-gram once for each
 level up to its own, so its level is found by probing level after level until one is missing. Counts
-of one- and two-token sequences of the whole training corpus meet by hash range; the filter's size has
-a fixed bound, kept by a rule alike at every size: n-grams below the lowest level at which all others
-fit are left out (never those of two occurrences or more while all fit). It is broadcast.
+of one- and two-token sequences of the whole training corpus meet by hash range. Every n-gram is held,
+those seen once too: the filter grows with the input, in parts of bounded size that no task holds together.
 
 The model interpolates: half the weight goes to the two-token estimate wherever the history was seen.
 
-The base score needs exact counts of every token, so tokens meet their counts by request: each block
-of documents sends its distinct hashes by bucket, the bucket answers with counts in the same order,
-and no token travels more than once for a block. A token in every document is one number a block.
+The base score needs exact counts of every token. Tokens meet their counts, and n-grams their part of
+the filter, by request: each block of documents sends its distinct hashes by bucket, the bucket answers
+with counts and levels in the same order, and nothing travels more than once for a block. A token in
+every document is one number a block.
 
 Null and empty texts are one end token. Rows without an id are scored and learned from. Repeated rows
 count as often as they come. Without training rows N and V are 0, the base probability is 1 for the
@@ -33,10 +33,11 @@ ADDED = 0.1
 WEIGHT = 0.5
 RANGES = 256
 BITS_PER_ENTRY = 12
-MAX_FILTER_BYTES = 64 << 20
 #: Distinct n-grams that a map task holds before it sends them on.
 FLUSH = 1 << 22
 BLOCK_BYTES = 8 << 20
+#: Text whose tokens and n-grams one bucket counts.
+BUCKET_BYTES = 32 << 20
 
 END = np.uint64(0x1F83D9ABFB41BD6B)
 _ONE, _TWO = np.uint64(0xA54FF53A5F1D36F1), np.uint64(0x510E527FADE682D1)
@@ -61,12 +62,12 @@ def pairs(tokens: np.ndarray) -> np.ndarray:
     return common.mix(before * _TWO ^ common.mix(tokens))
 
 
-def _range(h: np.ndarray) -> np.ndarray:
-    return (h >> np.uint64(56)).astype(np.int64)
+def _range(h: np.ndarray, ranges: int = RANGES) -> np.ndarray:
+    return (h >> np.uint64(32)).astype(np.int64) % ranges
 
 
 def _short(h: np.ndarray) -> np.ndarray:
-    return (h >> np.uint64(20)).astype(np.uint32)
+    return h.astype(np.uint32)
 
 
 def _words(short: np.ndarray, level: np.ndarray | int, count: int) -> tuple[np.ndarray, np.ndarray]:
@@ -80,46 +81,50 @@ def _words(short: np.ndarray, level: np.ndarray | int, count: int) -> tuple[np.n
 class LogFrequencyFilter:
     """Parts by hash range, from the lowest level that is held."""
 
-    def __init__(self, lowest: int, parts: dict[int, bytes]):
-        self.lowest = lowest
-        self.sizes, self.begins = np.zeros(RANGES, np.int64), np.zeros(RANGES, np.int64)
-        arrays = []
-        for r in range(RANGES):
-            part = np.frombuffer(parts.get(r, b""), np.uint64)
-            part = part if len(part) else np.zeros(1, np.uint64)
-            self.sizes[r], self.begins[r] = len(part), sum(map(len, arrays))
-            arrays.append(part)
+    def __init__(self, lowest: int, parts: dict[int, bytes], ranges: int = RANGES):
+        self.lowest, self.ranges = lowest, ranges
+        arrays = [np.frombuffer(parts.get(r) or bytes(8), np.uint64) for r in range(ranges)]
+        self.sizes = np.array([len(a) for a in arrays])
+        self.begins = np.cumsum(self.sizes) - self.sizes
         self.bits = np.concatenate(arrays)
 
-    def counts(self, h: np.ndarray) -> np.ndarray:
-        """Estimated counts; 0 for what isn't held."""
-        r, short = _range(h), _short(h)
+    def levels(self, r: np.ndarray, short: np.ndarray) -> np.ndarray:
+        """Levels by range and short hash; 0 for what isn't held."""
         size, begin = self.sizes[r], self.begins[r]
-        level, left, at = np.zeros(len(h), np.int64), np.arange(len(h)), self.lowest
+        level, left, at = np.zeros(len(short), np.uint8), np.arange(len(short)), self.lowest
         while len(left):
             word, mask = _words(short[left], at, 1 << 44)
             found = (self.bits[begin[left] + word % size[left]] & mask) == mask
             left = left[found]
             level[left] = at
             at += 1
-        # The middle of the counts that a level stands for.
-        return np.where(level > 0, 1.5 * 2.0 ** (level - 1) - 0.5, 0.0)
+        return level
+
+    def counts(self, h: np.ndarray) -> np.ndarray:
+        """Estimated counts; 0 for what isn't held."""
+        return counts_of(self.levels(_range(h, self.ranges), _short(h)))
 
     @staticmethod
-    def part(short: np.ndarray, levels: np.ndarray, lowest: int) -> bytes:
-        """A part's words, with BITS_PER_ENTRY for every level that it holds."""
+    def part(short: np.ndarray, levels: np.ndarray, lowest: int = 1, each: int = BITS_PER_ENTRY) -> bytes:
+        """A part's words, with so many bits for every level that it holds."""
         keep = levels >= lowest
         short, levels = short[keep], levels[keep].astype(np.int64)
         entries = int((levels - lowest + 1).sum())
-        bits = np.zeros(max(1, entries * BITS_PER_ENTRY // 64), np.uint64)
+        bits = np.zeros(max(1, entries * each // 64), np.uint64)
         for at in range(lowest, int(levels.max(initial=0)) + 1):
             word, mask = _words(short[levels >= at], at, 1 << 44)
             np.bitwise_or.at(bits, word % len(bits), mask)
         return bits.tobytes()
 
 
-def frequency_filter(training: DataFrame, text: str) -> LogFrequencyFilter:
-    """Counts all n-grams of the training rows and builds the filter."""
+def counts_of(levels: np.ndarray) -> np.ndarray:
+    """The middle of the counts that a level stands for."""
+    return np.where(levels > 0, 1.5 * 2.0 ** (levels.astype(np.int64) - 1) - 0.5, 0.0)
+
+
+def frequency_filter(training: DataFrame, text: str, ranges: int) -> DataFrame:
+    """(bucket, bits): counts all n-grams of the training rows; a part of the filter for each hash range."""
+    each = BITS_PER_ENTRY
 
     def sent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
@@ -127,13 +132,13 @@ def frequency_filter(training: DataFrame, text: str) -> LogFrequencyFilter:
         def flush():
             h, counts = np.unique(np.concatenate(held), return_counts=True)
             once = counts == 1
-            few = dict(common.packed(_range(h[once]), RANGES, _short(h[once])))
-            many = dict(common.packed(_range(h[~once]), RANGES, _short(h[~once]), counts[~once].astype(np.uint32)))
+            few = dict(common.packed(_range(h[once], ranges), ranges, _short(h[once])))
+            many = dict(common.packed(_range(h[~once], ranges), ranges, _short(h[~once]), counts[~once].astype(np.uint32)))
             parts, empty = sorted({*few, *many}), np.zeros(0, np.uint32)
             columns = [pa.array(parts, pa.int32())]
             for kind, k in ((few, 0), (many, 0), (many, 1)):
                 columns.append(pa.array([kind.get(p, [empty, empty])[k].tobytes() for p in parts], pa.binary()))
-            return pa.RecordBatch.from_arrays(columns, names=["part", "once", "many", "times"])
+            return pa.RecordBatch.from_arrays(columns, names=["bucket", "once", "many", "times"])
 
         for _, data, offsets in common.pieces(batches, text):
             tokens, _ = token_stream(data, offsets)
@@ -145,38 +150,18 @@ def frequency_filter(training: DataFrame, text: str) -> LogFrequencyFilter:
         if size:
             yield flush()
 
-    def levels(key: tuple, group: pa.Table) -> pa.Table:
+    def built(key: tuple, group: pa.Table) -> pa.Table:
         def column(name):
             return np.concatenate([np.frombuffer(x.as_buffer(), np.uint32) for x in group.column(name)])
 
         once, many, times = column("once"), column("many"), column("times")
         short, place = np.unique(np.concatenate([once, many]), return_inverse=True)
         counts = np.bincount(place, np.concatenate([np.ones(len(once)), times]), len(short))
-        short, counts = short[counts > 1], counts[counts > 1]
-        level = 1 + np.floor(np.log2(counts)).astype(np.uint8)
-        tally = np.bincount(level, minlength=64)[:64]
-        return pa.table([
-            pa.array([key[0].as_py()], pa.int32()), pa.array([short.tobytes()], pa.binary()), pa.array([level.tobytes()], pa.binary()),
-            pa.array([tally.tolist()], pa.list_(pa.int64())),
-        ], names=["part", "short", "level", "tally"])
-
-    counted = training.select(text).mapInArrow(sent, "part int, once binary, many binary, times binary")
-    counted = common.written(counted.groupBy("part").applyInArrow(levels, "part int, short binary, level binary, tally array<long>"))
-    tally = np.sum([r.tally for r in counted.select("tally").collect()] or [[0] * 64], axis=0)
-    lowest = 2
-    while BITS_PER_ENTRY * int(sum(tally[q] * (q - lowest + 1) for q in range(lowest, 64))) > 8 * MAX_FILTER_BYTES:
-        lowest += 1
-
-    def built(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            parts = [
-                LogFrequencyFilter.part(np.frombuffer(s.as_buffer(), np.uint32), np.frombuffer(q.as_buffer(), np.uint8), lowest)
-                for s, q in zip(batch.column("short"), batch.column("level"), strict=True)
-            ]
-            yield pa.RecordBatch.from_arrays([batch.column("part"), pa.array(parts, pa.binary())], names=["part", "bits"])
+        bits = LogFrequencyFilter.part(short, 1 + np.floor(np.log2(counts)).astype(np.uint8), each=each)
+        return pa.table([pa.array([key[0].as_py()], pa.int32()), pa.array([bits], pa.binary())], names=["bucket", "bits"])
 
-    rows = counted.select("part", "short", "level").mapInArrow(built, "part int, bits binary").collect()
-    return LogFrequencyFilter(lowest, {r.part: bytes(r.bits) for r in rows})
+    counted = training.select(text).mapInArrow(sent, "bucket int, once binary, many binary, times binary")
+    return counted.groupBy("bucket").applyInArrow(built, "bucket int, bits binary")
 
 
 def token_counts(training: DataFrame, text: str, buckets: int) -> DataFrame:
@@ -225,7 +210,7 @@ def score(docs: DataFrame, held_out, text: str = "text", doc_id: str = "doc_id")
     plain = docs.drop("held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "_block").withColumn("held_out", F.coalesce(held_out, F.lit(False)))
     training = plain.where(~F.col("held_out"))
     total = common.text_total(docs, text)
-    blocks, buckets = common.bucket_count(spark, total, BLOCK_BYTES), common.bucket_count(spark, total, 8 * BLOCK_BYTES)
+    blocks, buckets = common.bucket_count(spark, total, BLOCK_BYTES), common.bucket_count(spark, total, BUCKET_BYTES)
     known = common.written(token_counts(training, text, buckets))
     sizes = known.select(F.octet_length("hashes").alias("v"), F.col("counts").alias("c"))
 
@@ -236,49 +221,64 @@ def score(docs: DataFrame, held_out, text: str = "text", doc_id: str = "doc_id")
 
     sized = sizes.mapInArrow(sums, "v long, n long").agg(F.sum("v"), F.sum("n")).first()
     distinct, tokens_total = int(sized[0] or 0), int(sized[1] or 0)
-    sent = spark.sparkContext.broadcast(frequency_filter(training, text))
+    # A bucket has exact counts of its tokens and its part of the filter.
+    have = known.withColumn("bits", F.lit(b"")).unionByName(
+        common.written(frequency_filter(training, text, buckets)).select("bucket", F.lit(b"").alias("hashes"), F.lit(b"").alias("counts"), "bits")
+    )
 
     placed = plain.withColumn("_block", F.pmod(F.xxhash64(doc_id), F.lit(blocks)).cast("int"))
 
     def ask(key: tuple, group: pa.Table) -> pa.Table:
-        h = np.unique(np.concatenate([token_stream(d, o)[0] for _, d, o in common.pieces(group.select([text]).to_batches(), text)]))
-        rows = list(common.packed((h % np.uint64(buckets)).astype(np.int64), buckets, h))
+        tokens = np.concatenate([token_stream(d, o)[0] for _, d, o in common.pieces(group.select([text]).to_batches(), text)])
+        h = np.unique(tokens)
+        g = np.unique(np.concatenate([singles(h), pairs(tokens)]))
+        words = dict(common.packed((h % np.uint64(buckets)).astype(np.int64), buckets, h))
+        shorts = dict(common.packed(_range(g, buckets), buckets, _short(g)))
+        to = sorted({*words, *shorts})
         return pa.table([
-            pa.array([b for b, _ in rows], pa.int32()), pa.array([key[0].as_py()] * len(rows), pa.int32()), pa.array([p[0].tobytes() for _, p in rows], pa.binary()),
-        ], names=["bucket", "block", "hashes"])
+            pa.array(to, pa.int32()), pa.array([key[0].as_py()] * len(to), pa.int32()),
+            *(pa.array([kind[b][0].tobytes() if b in kind else b"" for b in to], pa.binary()) for kind in (words, shorts)),
+        ], names=["bucket", "block", "hashes", "grams"])
 
     def answer(key: tuple, asked: pa.Table, have: pa.Table) -> pa.Table:
         hashes, counts = _joined(have, "hashes"), _joined(have, "counts")
-        out = []
-        for x in asked.column("hashes"):
-            h = np.frombuffer(x.as_buffer(), np.uint64)
+        model = LogFrequencyFilter(1, {0: b"".join(have.column("bits").to_pylist())}, ranges=1)
+        out, levels = [], []
+        for x, y in zip(asked.column("hashes"), asked.column("grams"), strict=True):
+            h, short = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint32)
             found = np.zeros(len(h), np.uint64)
             if len(hashes):
                 at = np.minimum(np.searchsorted(hashes, h), len(hashes) - 1)
                 found = np.where(hashes[at] == h, counts[at], np.uint64(0))
             out.append(found.tobytes())
-        return pa.table([asked.column("block"), asked.column("bucket"), pa.array(out, pa.binary())], names=["block", "bucket", "counts"])
+            levels.append(model.levels(np.zeros(len(short), np.int64), short).tobytes())
+        return pa.table([asked.column("block"), asked.column("bucket"), pa.array(out, pa.binary()), pa.array(levels, pa.binary())], names=["block", "bucket", "counts", "levels"])
 
     names = [c for c in plain.columns if c != text]
     below = tokens_total + ADDED * (distinct + 1)
 
     def scored(key: tuple, group: pa.Table, answers: pa.Table) -> pa.Table:
-        model: LogFrequencyFilter = sent.value
         if not group.num_rows:
             return empty
         streams = [(rows, *token_stream(d, o)) for rows, d, o in common.pieces(group.to_batches(), text)]
-        h = np.unique(np.concatenate([t for _, t, _ in streams]))
-        order = np.argsort((h % np.uint64(buckets)).astype(np.int64), kind="stable")
+        answers = answers.sort_by("bucket")
+        all_tokens = np.concatenate([t for _, t, _ in streams])
+        h = np.unique(all_tokens)
         exact = np.zeros(len(h))
-        exact[order] = _joined(answers.sort_by("bucket"), "counts")
-        one = (model.counts(singles(h)) + ADDED) / below
-        parts = []
+        exact[np.argsort((h % np.uint64(buckets)).astype(np.int64), kind="stable")] = _joined(answers, "counts")
+        g, place = np.unique(np.concatenate([singles(h), pairs(all_tokens)]), return_inverse=True)
+        levels = np.zeros(len(g), np.uint8)
+        levels[np.argsort(_range(g, buckets), kind="stable")] = np.frombuffer(b"".join(answers.column("levels").to_pylist()), np.uint8)
+        estimate = counts_of(levels)
+        alone, together = estimate[place[: len(h)]], estimate[place[len(h) :]]
+        one = (alone + ADDED) / below
+        parts, done = [], 0
         for rows, tokens, first in streams:
             at = np.searchsorted(h, tokens)
-            before = np.concatenate([[END], tokens[:-1]])
             own = one[at]
-            history = model.counts(singles(before))
-            both = np.minimum(model.counts(pairs(tokens)), history)
+            history = alone[np.searchsorted(h, np.concatenate([[END], tokens[:-1]]))]
+            both = np.minimum(together[done : done + len(tokens)], history)
+            done += len(tokens)
             p = np.where(history > 0, (1 - WEIGHT) * own + WEIGHT * both / np.maximum(history, 1), own)
             begin = first[:-1]
             parts.append(pa.RecordBatch.from_arrays([
@@ -290,8 +290,8 @@ def score(docs: DataFrame, held_out, text: str = "text", doc_id: str = "doc_id")
 
     out = common.extended(plain.drop(text), "n_tokens long, n_known long, train_tokens long, base_score double, score double")
     empty = pa.Table.from_pylist([], _arrow(out))
-    asked = placed.groupBy("_block").applyInArrow(ask, "bucket int, block int, hashes binary")
-    answers = asked.groupBy("bucket").cogroup(known.groupBy("bucket")).applyInArrow(answer, "block int, bucket int, counts binary")
+    asked = placed.groupBy("_block").applyInArrow(ask, "bucket int, block int, hashes binary, grams binary")
+    answers = asked.groupBy("bucket").cogroup(have.groupBy("bucket")).applyInArrow(answer, "block int, bucket int, counts binary, levels binary")
     return placed.groupBy("_block").cogroup(answers.groupBy("block")).applyInArrow(scored, out)
 
 

@@ -196,6 +196,33 @@ def test_log_frequency_filter_keeps_levels():
     assert (model.counts(common.mix(np.arange(10**6, 10**6 + 5000, dtype=np.uint64))) > 0).mean() < 0.1
 
 
+def test_every_count_from_one_is_held(make, monkeypatch):
+    """Scores equal those of quantised counts, also of n-grams seen once and with many buckets."""
+    monkeypatch.setattr(lm_scoring, "BITS_PER_ENTRY", 400)  # no false hits
+    monkeypatch.setattr(lm_scoring, "BUCKET_BYTES", 50)
+    rng = random.Random(9)
+    rows = [(i, " ".join(f"w{int(rng.paretovariate(0.6)) % 500}" for _ in range(40))) for i in range(60)] + [(60, "once in a lifetime"), (61, "once in a lifetime"), (62, "never seen words")]
+    held = {3, 61, 62}
+    scored = lm_scoring.score(make(rows), F.col("doc_id").isin(held)).collect()
+    single, double = collections.Counter(), collections.Counter()
+    for i, t in rows:
+        if i not in held:
+            words = [None, *t.split(), None]
+            single.update(words[1:])
+            double.update(zip(words, words[1:]))
+    below = sum(single.values()) + 0.1 * (len(single) + 1)
+
+    def level(c):
+        return 1.5 * 2 ** (c.bit_length() - 1) - 0.5 if c else 0.0
+
+    def prob(a, b):
+        own, history = (level(single[b]) + 0.1) / below, level(single[a])
+        return min(1.0, 0.5 * own + 0.5 * min(level(double[a, b]), history) / max(history, 1) if history else own)
+
+    want = {i: sum(math.log10(prob(a, b)) for a, b in zip([None, *t.split()], [*t.split(), None])) for i, t in rows}
+    assert {r.doc_id: round(r.score, 6) for r in scored} == {i: round(x, 6) for i, x in want.items()}
+
+
 # ----------------------------------------------------------------- URL filter
 
 
