@@ -30,8 +30,8 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The first document of each group of near copies; rows without an id stay."""
-    groups = near_dedup.near_groups(docs.select("doc_id", "text"))
+    """The first document of each group of near copies, by shingles of five words; rows without an id stay."""
+    groups = near_dedup.near_groups(docs.select("doc_id", "text"), size=5)
     gone = groups.where("not kept").select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
 

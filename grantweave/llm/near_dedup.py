@@ -193,4 +193,4 @@ def near_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", siz
 
 def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.table(spark, sf_dir, "documents").select("doc_id", "text")
-    return near_groups(docs).select("doc_id", "n_shingles", "component_id", "kept")
+    return near_groups(docs, size=4).select("doc_id", "n_shingles", "component_id", "kept")

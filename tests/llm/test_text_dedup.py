@@ -165,6 +165,23 @@ def test_near_copies_form_the_groups_of_brute_force(make, monkeypatch, cell):
     assert {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in found} == groups(shingle_sets(rows))
 
 
+def test_stage_of_the_pipeline_takes_five_words(spark, make):
+    """Against brute force, with copies that only sets of four words would link."""
+    import corpus_pipeline
+
+    rng = random.Random(6)
+    rows = near_rows() + [(2000, " ".join(words := [f"v{rng.randrange(10**6)}" for _ in range(400)]))]
+    rows.append((2001, " ".join("changed" + w if k % 40 == 20 else w for k, w in enumerate(words))))
+    five = {}
+    for i, text in rows:
+        w = re.findall(rb"[^\x20\x09-\x0D]+", (text or "").encode().translate(SMALL))
+        five[i] = {tuple(w[k : k + 5]) for k in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} if w else set()
+    four = shingle_sets(rows)
+    assert groups(four)[2001][1:] == (2000, False) and groups(five)[2001][1:] == (2001, True)
+    found = corpus_pipeline.drop_near_copies(spark, make(shuffled(rows)).repartition(3), "").collect()
+    assert {r.doc_id for r in found} == {i for i, (_, _, kept) in groups(five).items() if kept}
+
+
 def test_near_copies_odd_rows(make):
     text = "one two three four five six"
     rows = near_dedup.near_groups(make([(4, text), (4, text), (9, text.upper()), (None, text), (1, None), (2, " \t")])).collect()
