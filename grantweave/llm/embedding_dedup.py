@@ -2,9 +2,11 @@
 
 A filter is a direction: one codeword of each of four random codes over blocks of the turned vector.
 A vector passes the filters whose inner product exceeds a bound; list decoding finds them from the
-blocks' sorted scores without trying all products, and each vector passes its LEAST best ones in any
-case. Vectors near each other pass many filters together. The bound and the number of filters follow
-from the number of vectors, so that a filter gets about LOAD vectors at every size.
+blocks' sorted scores without trying all products, and each vector passes a number of its best ones in
+any case. Vectors near each other pass many filters together. The bound follows from the number of
+vectors of a width, so that a filter gets about LOAD of them at every size. So does the number of
+filters: random pairs at the least cosine are tried, and it grows until fewer than MOST_LOST of them
+share no filter, at every size and width.
 
 Equal vectors are one class first. Classes that share a filter meet there, and all their cosines are
 computed in double precision. A pair counts only in the smallest filter that both pass, so sums over
@@ -19,6 +21,7 @@ with each other if their ids differ; rows of one id count once as its links' end
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 from statistics import NormalDist
 
 import numpy as np
@@ -30,19 +33,24 @@ from pyspark.sql import functions as F
 from grantweave.llm import common
 
 LEAST_COSINE = 0.95
-#: Filters that a vector passes on average, and at least; classes that a filter gets on average.
-FILTERS, LEAST, LOAD = 24, 16, 32
+#: Classes that a filter gets on average.
+LOAD = 32
+#: Share of pairs at the least cosine that may be lost, and the random pairs that are tried.
+MOST_LOST, TRIALS = 0.005, 2000
+#: Blocks, of two components at least: in one dimension all codewords of a side are the same.
 BLOCKS = 4
 #: Classes of a filter that one cell compares.
 CELL = 1500
 
 
 class ProductCode:
-    def __init__(self, width: int, vectors: int, seed: int = 5):
+    """Filters that get such a share of the vectors; each vector passes at least so many filters."""
+
+    def __init__(self, width: int, filters: int, share: float, seed: int = 5):
+        self.filters = filters
         rng = np.random.default_rng([seed, width])
-        self.blocks = np.array_split(np.arange(width), min(BLOCKS, width))
-        share = min(0.2, LOAD / max(vectors, 1))
-        self.size = max(2, int(np.ceil((FILTERS / share) ** (1 / len(self.blocks)))))
+        self.blocks = np.array_split(np.arange(width), min(BLOCKS, max(1, width // 2)))
+        self.size = max(2, int(np.ceil((filters / share) ** (1 / len(self.blocks)))))
         # Components of a turned unit vector are about normal with variance 1 / width.
         self.bound = NormalDist().inv_cdf(1 - share) / np.sqrt(width)
         self.turn = np.linalg.qr(rng.normal(size=(width, width)))[0]
@@ -62,13 +70,13 @@ class ProductCode:
         while True:
             # For each left part, the right parts that lift it over the bound are a beginning of the list.
             counts = np.searchsorted(-high, left - bound, "right")
-            if counts.sum() >= min(LEAST, len(left) * len(right)):
+            if counts.sum() >= min(self.filters, len(left) * len(right)):
                 break
             bound -= 0.05 * abs(self.bound) + 1e-3
         a = np.repeat(np.arange(len(left)), counts)
         b = order[np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)]
         if bound < self.bound:
-            best = np.argsort(-(left[a] + right[b]), kind="stable")[: max(LEAST, int((left[a] + right[b] >= self.bound).sum()))]
+            best = np.argsort(-(left[a] + right[b]), kind="stable")[: max(self.filters, int((left[a] + right[b] >= self.bound).sum()))]
             a, b = a[best], b[best]
         return np.sort(a * len(right) + b)
 
@@ -80,6 +88,35 @@ class ProductCode:
         return total
 
 
+@lru_cache(None)
+def filters_needed(width: int, vectors: int, least: float) -> tuple[int, float]:
+    """Filters a vector must pass so that pairs at the least cosine are lost less often than MOST_LOST, and their share.
+
+    Where vectors are so narrow that caps of the share hardly meet, more filters don't help; the share doubles.
+    """
+    share = min(0.2, LOAD / max(vectors, 1))
+    if vectors < 2:
+        return 1, share
+    rng = np.random.default_rng([11, width])
+    a, other = _units(rng.normal(size=(TRIALS, width))), rng.normal(size=(TRIALS, width))
+    other -= (a * other).sum(axis=1, keepdims=True) * a
+    # In one dimension two vectors are alike or opposite.
+    b = least * a + np.sqrt(max(0.0, 1 - least * least)) * _units(other) if width > 1 else a
+    filters = 16
+    while True:
+        code, lost = ProductCode(width, filters, share), 0
+        for x, y in zip(a, b, strict=True):
+            lost += not np.isin(code.decode(x), code.decode(y), assume_unique=True).any()
+            # Two deviations above what was seen.
+            if lost + 2 * np.sqrt(lost + 1) > MOST_LOST * TRIALS:
+                break
+        else:
+            return filters, share
+        filters = -(-filters * 5 // 4)
+        if filters > 512 and share < 0.5:
+            filters, share = 16, min(0.5, 2 * share)
+
+
 def _unit(values) -> np.ndarray | None:
     """The vector at length 1, or None if it can't link."""
     if values is None or len(values) == 0 or any(x is None for x in values):
@@ -99,17 +136,24 @@ def _units(raw: np.ndarray) -> np.ndarray:
     return raw / np.linalg.norm(raw, axis=1, keepdims=True)
 
 
-def _kinds(vectors: DataFrame, embedding: str, count: int) -> tuple[type, type]:
-    """Number types of vectors and of filters in postings: no wider than needed."""
-    single = vectors.schema[embedding].dataType.elementType.typeName() == "float"
-    share = min(0.2, LOAD / max(count, 1))
-    return (np.float32 if single else np.float64), (np.uint32 if 2 * FILTERS / share < 2**31 else np.int64)
+def _kind(vectors: DataFrame, embedding: str) -> type:
+    """Number type of vectors in postings: no wider than needed."""
+    return np.float32 if vectors.schema[embedding].dataType.elementType.typeName() == "float" else np.float64
+
+
+def _plan(reps: DataFrame, kind: type, least: float) -> tuple[dict[int, tuple[int, float]], type]:
+    """(filters, share) for each width, and the number type of filters in postings."""
+    counts = reps.groupBy(F.octet_length("raw").alias("bytes")).count().collect()
+    sizes = {r["bytes"] // np.dtype(kind).itemsize: r["count"] for r in counts}
+    plan = {w: filters_needed(w, n, least) for w, n in sizes.items()}
+    most = max((code.size ** len(code.blocks) for w, p in plan.items() for code in [ProductCode(w, *p)]), default=0)
+    return plan, (np.uint32 if most < 2**31 else np.int64)
 
 
 def classes(vectors: DataFrame, vec_id: str, embedding: str) -> DataFrame:
     """The rows without the vector, and digest and raw (the vector's bytes), null where it can't link."""
     names = [c for c in vectors.columns if c != embedding]
-    kind = _kinds(vectors, embedding, 0)[0]
+    kind = _kind(vectors, embedding)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -121,7 +165,7 @@ def classes(vectors: DataFrame, vec_id: str, embedding: str) -> DataFrame:
     return vectors.mapInArrow(run, common.extended(vectors.drop(embedding), "digest binary, raw binary"))
 
 
-def postings(reps: DataFrame, count: int, kinds: tuple[type, type]) -> DataFrame:
+def postings(reps: DataFrame, plan: dict[int, tuple[int, float]], kinds: tuple[type, type]) -> DataFrame:
     """(filter, rep, copies, raw, filters) for each filter that a class passes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -131,7 +175,7 @@ def postings(reps: DataFrame, count: int, kinds: tuple[type, type]) -> DataFrame
             for i, raw in enumerate(batch.column("raw")):
                 v = _units(np.frombuffer(raw.as_buffer(), kinds[0])[None, :])[0]
                 if len(v) not in codes:
-                    codes[len(v)] = ProductCode(len(v), count)
+                    codes[len(v)] = ProductCode(len(v), *plan[len(v)])
                 filters.append(codes[len(v)].decode(v))
                 # The vector's length keeps filters of different lengths apart.
                 keys.append(filters[-1] + (len(v) << 40))
@@ -212,9 +256,10 @@ def near_vectors(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "e
     reps = common.written(
         usable.groupBy("digest").agg(F.min(vec_id).alias("rep"), F.countDistinct(vec_id).alias("copies"), F.min("raw").alias("raw"))
     )
-    count = reps.count()
-    kinds = _kinds(plain, embedding, count)
-    found = common.written(links(postings(reps.select("rep", "copies", "raw"), count, kinds), least, kinds))
+    kind = _kind(plain, embedding)
+    plan, number = _plan(reps, kind, least)
+    kinds = kind, number
+    found = common.written(links(postings(reps.select("rep", "copies", "raw"), plan, kinds), least, kinds))
     groups = common.components(found.select(F.col("rep").alias("a"), F.col("partner").alias("b")))
     sums = found.groupBy("rep").agg(F.sum("links").alias("n"))
     of = reps.select("digest", "rep", "copies").join(sums, "rep", "left").join(groups, F.col("rep") == F.col("node"), "left")

@@ -164,6 +164,17 @@ def test_embedding_links_equal_brute_force(spark, monkeypatch, cell):
     assert embedding_dedup.near_vectors(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
 
 
+@pytest.mark.parametrize("count", [10_000, 3_000_000])
+def test_few_links_are_lost_at_every_size(count):
+    """Pairs at the least cosine share a filter, however many vectors there are."""
+    rng = np.random.default_rng(77)
+    a, b = (embedding_dedup._units(rng.normal(size=(1000, 64))) for _ in range(2))
+    b = embedding_dedup._units(b - (a * b).sum(axis=1, keepdims=True) * a)
+    b = 0.95 * a + np.sqrt(1 - 0.95**2) * b
+    code = embedding_dedup.ProductCode(64, *embedding_dedup.filters_needed(64, count, 0.95))
+    assert sum(not np.intersect1d(code.decode(x), code.decode(y)).size for x, y in zip(a, b)) <= 10
+
+
 # ------------------------------------------------------------- language model
 
 
