@@ -42,10 +42,12 @@ _unset: list[str] = []
 def shared_folder(spark: SparkSession) -> str:
     """A new folder below spark.checkpoint.dir, which executors and driver share.
 
-    Only where the session names none, as in tests, it is a temporary folder.
+    Only where a local session names none, as in tests, it is a temporary folder.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         if not _unset:
             _unset.append(tempfile.mkdtemp(prefix="checkpoints-"))
         root = _unset[0]

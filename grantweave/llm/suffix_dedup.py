@@ -8,7 +8,7 @@ theirs and travel as one segment (about 60 bytes for each 14 bytes of text).
    goes into a Bloom filter of bounded size, which is broadcast: a false hit costs work only.
 2. Segments of repeated anchors are sent by anchor, packed; a task sends each distinct segment only for
    its smallest document, and covers the others on the spot.
-3. In each bucket equal segments are settled by their smallest document. Where an anchor has segments
+3. In each bucket equal segments (by a hash of all their bytes) are settled by their smallest document. Where an anchor has segments
    that differ (at the borders of copies), the strings that two of them share are cut out, and a suffix
    array of these pieces, built in linear grouping steps, puts equal 50-byte beginnings side by side:
    each such run of suffixes is one string, and all its documents but the first are covered.
@@ -75,6 +75,14 @@ def segments(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     return common.mix(low[at]), row[at], whole[at], np.diff(np.append(at, len(low)))
 
 
+def _marks(data: np.ndarray, place: np.ndarray, strings: np.ndarray) -> np.ndarray:
+    """A hash of each whole segment: of all its bytes in their order, and of all its strings."""
+    sums = np.zeros(len(data) - LENGTH + 2, np.uint64)
+    np.cumsum(common.mix(_window_hashes(data, LENGTH)), out=sums[1:])
+    in_order = common.RangeHash(data).of(place, place + strings + LENGTH - 1)
+    return common.mix(in_order ^ common.mix(sums[place + strings] - sums[place]))
+
+
 def _range(anchors: np.ndarray) -> np.ndarray:
     return (anchors >> np.uint64(56)).astype(np.int64) % RANGES
 
@@ -195,8 +203,7 @@ def _posts(docs: DataFrame, doc_id: str, text: str, filters, buckets: int) -> Da
             if not len(use):
                 continue
             anchors, row, place, strings = anchors[use], row[use], place[use], strings[use]
-            h = _window_hashes(data, LENGTH)
-            marks = common.mix(h[place] ^ common.mix(h[place + strings - 1] + strings.astype(np.uint64)))
+            marks = _marks(data, place, strings)
             cut = common.runs(place, strings + LENGTH - 1)
             lengths = strings + LENGTH - 1
             held.append((anchors, marks, ids[row].astype(np.int64), place - offsets[row], strings, data[cut], np.cumsum(lengths) - lengths))

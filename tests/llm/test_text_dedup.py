@@ -85,6 +85,26 @@ def test_repeated_bytes_odd_rows(make):
     assert suffix_dedup.remove_repeats(make([])).count() == 0
 
 
+def broken_runs(seed, count=60):
+    """Texts of long runs of one byte, broken by two or three others."""
+    rng, rows = random.Random(seed), []
+    for i in range(count):
+        fill = rng.choice(["|", "\n", "0", "ab"])
+        parts = [fill * rng.randrange(40, 90) + "".join(rng.choice("0123") for _ in range(rng.choice([2, 3]))) for _ in range(rng.randrange(1, 5))]
+        rows.append((i, "".join(parts) + fill * rng.randrange(30, 80)))
+    return rows
+
+
+@pytest.mark.parametrize("rows", [
+    [(1, "|" * 60 + "00" + "|" * 60), (2, "|" * 60 + "02" + "|" * 60)],
+    [(1, "\n" * 60 + "00" + "\n" * 60), (2, "\n" * 60 + "13" + "\n" * 60)],
+    broken_runs(1), broken_runs(2), broken_runs(3),
+])
+def test_segments_that_differ_inside_are_not_equal(make, rows):
+    found = suffix_dedup.remove_repeats(make(shuffled(rows)).repartition(3)).withColumn("sha", F.sha2("kept", 256))
+    assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.sha) for r in found.collect()} == repeats(rows)
+
+
 def lines(rows):
     first, holders = {}, {}
     for i, text in rows:
