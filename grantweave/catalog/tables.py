@@ -64,14 +64,18 @@ def raw_grid(spark, sf):
 
 _ALIAS_ROWS = ", ".join(f"('{a}', '{f}')" for a, f in headers._spellings(None))
 
-GRID_CTES = f"""
-  grid AS (
+_GRID_SQL = f"""
     SELECT {_LIST} AS file_path, 0 AS row_no, ['LISTA PROIECTELOR ' || c_name] AS cells FROM customer
     UNION ALL SELECT {_LIST}, 1, {pick('c_custkey', *[_list_sql(_quoted(h)) for h in _HEADERS])} FROM customer
     UNION ALL SELECT {_LIST}, 2, {_list_sql(_quoted(_ENGLISH))} FROM customer WHERE c_custkey % 2 = 0
     UNION ALL SELECT 'list-' || o_custkey, o_orderkey + 3,
       CASE WHEN o_orderkey % 17 = 0 THEN {_list_sql(_quoted(_AGAIN))}
-        WHEN o_orderkey % 13 = 0 THEN {_list_sql(_CELLS[:2])} ELSE {_list_sql(_CELLS)} END FROM orders),
+        WHEN o_orderkey % 13 = 0 THEN {_list_sql(_CELLS[:2])} ELSE {_list_sql(_CELLS)} END FROM orders"""
+
+
+def _grid_ctes(grid: str) -> str:
+    return f"""
+  grid AS ({grid}),
   aliases(alias, field) AS (VALUES {_ALIAS_ROWS}),
   cell AS (SELECT file_path, row_no, unnest(cells) AS c, generate_subscripts(cells, 1) - 1 AS pos FROM grid),
   keyed AS (SELECT file_path, row_no, pos, {squeeze_sql('c')} AS c, {slug_sql('c')} AS key FROM cell),
@@ -93,6 +97,9 @@ GRID_CTES = f"""
 """
 
 
+GRID_CTES = _grid_ctes(_GRID_SQL)
+
+
 _SHOWN = ["project_code", "beneficiary_name", "project_title", "total_eligible_amount", "county"]
 
 
@@ -174,6 +181,62 @@ def extract_report(spark, sf):
     return build.extract_report(raw_grid(spark, sf)).select("file_path", "n_lines", "n_rows", "n_kept", "reason")
 
 
+# Two readings of each list: the first lost every third order. Orders come in four tables (blocks) a
+# list, and every fourth one has a cell too many.
+_READ = "variant = 'second' OR row_no < 3 OR row_no % 3 > 0"
+_BLOCK_NO = "CASE WHEN row_no < 1 THEN 0 WHEN row_no < 3 THEN 1 ELSE 2 + row_no % 4 END"
+
+
+def archive_grid(spark, sf):
+    rows = raw_grid(spark, sf).selectExpr("*", "explode(array('first', 'second')) AS variant").where(_READ)
+    more = "IF(row_no >= 3 AND row_no % 4 = 3, array_append(cells, 'x'), cells) AS cells"
+    return rows.selectExpr("file_path", "variant", f"cast({_BLOCK_NO} as int) AS block_no", "row_no", more)
+
+
+_ARCHIVE_GRID = f"""SELECT file_path || '#' || variant AS file_path, row_no,
+      CASE WHEN row_no >= 3 AND row_no % 4 = 3 THEN list_append(cells, 'x') ELSE cells END AS cells
+    FROM ({_GRID_SQL}), (VALUES ('first'), ('second')) v(variant) WHERE {_READ}"""
+_ARCHIVE_CTES = f"""{_grid_ctes(_ARCHIVE_GRID)},
+  widths AS (SELECT file_path, {_BLOCK_NO} AS block_no, arg_min(len(cells), row_no) AS width FROM grid GROUP BY ALL),
+  wanted AS (SELECT h.file_path, {_BLOCK_NO.replace('row_no', 'header_row')} AS header_block, w.width
+    FROM head h JOIN widths w ON h.file_path = w.file_path AND w.block_no = {_BLOCK_NO.replace('row_no', 'header_row')}),
+  fitting AS (SELECT file_path, block_no FROM widths w JOIN wanted USING (file_path)
+    WHERE block_no >= header_block AND w.width = wanted.width),
+  table_body AS (SELECT file_path, cells, row_number() OVER (PARTITION BY file_path ORDER BY row_no) - 1 AS source_row
+    FROM (SELECT *, {_BLOCK_NO} AS block_no FROM body) JOIN fitting USING (file_path, block_no)),
+  cell_of AS (SELECT b.file_path, b.source_row, field, coalesce({squeeze_sql('b.cells[pos + 1]')}, '') AS v
+    FROM table_body b JOIN cols USING (file_path)),
+  flat AS (SELECT file_path, source_row, """ + ", ".join(
+    f"max(v) FILTER (field = '{f}') AS {f}" for f in _SHOWN
+) + f""" FROM cell_of GROUP BY file_path, source_row),
+  judged AS (SELECT *, coalesce(regexp_matches(beneficiary_name, '[A-Za-zÀ-ž]{{3}}')
+      AND NOT regexp_matches(beneficiary_name, '{fv.TOTAL_ROW_WORDS}'), false) AS kept,
+    coalesce(regexp_matches(project_code, '^\\s*\\d{{4,7}}\\s*$'), false) AS coded FROM flat),
+  mapped_fields AS (SELECT file_path, count(*) FILTER (field = 'beneficiary_name') AS has_name,
+    count(*) FILTER (field = 'project_code') AS has_code FROM cols GROUP BY 1),
+  reading AS (SELECT f.file_path, has_name > 0 AND has_code > 0 AS usable, count(kept) AS n_rows,
+      count(*) FILTER (kept) AS n_kept, count(*) FILTER (kept AND coded) AS n_coded
+    FROM mapped_fields f LEFT JOIN judged USING (file_path) GROUP BY ALL),
+  best AS (SELECT file_path, usable AND n_kept > 0 AND n_coded >= n_kept * {fv.MIN_CODE_SHARE} AND n_kept >= n_rows * {fv.MIN_KEPT_SHARE} AS passes
+    FROM reading QUALIFY row_number() OVER (PARTITION BY split_part(file_path, '#', 1)
+      ORDER BY CASE WHEN usable THEN n_kept ELSE 0 END DESC, file_path) = 1)"""
+
+
+@query(
+    "extract_archive",
+    f"""WITH {_ARCHIVE_CTES} SELECT split_part(file_path, '#', 1) AS source_file, split_part(file_path, '#', 2) AS variant,
+      cast(source_row AS bigint) AS source_row, project_code, beneficiary_name, {money_sql('total_eligible_amount')} AS total_eligible_amount
+    FROM judged JOIN best USING (file_path) WHERE kept AND passes""",
+)
+def extract_archive(spark, sf):
+    staged = build.stage_tables(archive_grid(spark, sf), archive=True)
+    rows = build.extract_tables(staged, _manifest(spark, sf), archive=True)
+    chosen = staged.files.select(F.col("file_path").alias("source_file"), "variant")
+    return rows.join(chosen, "source_file").select(
+        "source_file", "variant", "source_row", "project_code", "beneficiary_name", "total_eligible_amount"
+    )
+
+
 @query(
     "header_names",
     f"""WITH {GRID_CTES}, base AS (SELECT file_path, row_no, pos, CASE WHEN c = '' THEN 'col_' || pos ELSE c END AS name FROM keyed),

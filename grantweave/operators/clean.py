@@ -60,6 +60,13 @@ def file_report(
         F.count_if(kept).alias("n_kept"),
         F.count_if(kept & coded).alias("n_coded"),
     )
+    return judge_counts(counts, min_code_share, min_kept_share)
+
+
+def judge_counts(
+    counts: DataFrame, min_code_share: float = fv.MIN_CODE_SHARE, min_kept_share: float = fv.MIN_KEPT_SHARE
+) -> DataFrame:
+    """Counts per file (``n_rows``, ``n_kept``, ``n_coded``) with the first reason to reject it."""
     reason = (
         F.when(F.col("n_kept") == 0, F.lit("no usable rows"))
         .when(F.col("n_coded") < F.col("n_kept") * min_code_share, F.lit("few project codes"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,6 +15,7 @@ from grantweave.operators.classify import classify_calls, classify_projects
 from grantweave.operators.dedup import add_identity, deduplicate, keep_top
 from grantweave.operators.selection import archive_program, program_in
 from grantweave.sources import sinks
+from grantweave.sources.staging import written
 
 
 def _has(field: str) -> Column:
@@ -20,8 +23,66 @@ def _has(field: str) -> Column:
     return F.array_position("fields", F.lit(field)) > 0
 
 
+@dataclass(frozen=True)
+class Extract:
+    """A grid read once: its parsed rows as written, and what is known of each file.
+
+    rows: below the headers, parsed, with ``_kept``. counts: by file and chunk. files: ``n_lines``,
+    ``n_rows``, ``n_kept``, ``n_coded``, ``blocks_skipped`` and why a file is left out.
+    """
+
+    rows: DataFrame
+    counts: DataFrame
+    files: DataFrame
+    by: list[str]
+
+
+def stage_tables(
+    grid: DataFrame, archive: bool = False, mode: str = "literal", aliases: headers.Aliases | None = None
+) -> Extract:
+    """Reads a grid of published tables once and writes its parsed rows.
+
+    A grid may have two more columns. ``variant`` tells several readings of a file apart: the one with
+    most usable rows counts, the first of them on a tie. ``block_no`` numbers the tables of a file:
+    those that are not as wide as the header's are skipped and counted.
+    """
+    by = ["file_path", *[c for c in ("variant",) if c in grid.columns]]
+    marked = written(headers.with_marks(grid, aliases))
+    found = written(headers.headers_of(marked, by))
+    lines = marked.groupBy(*by).agg(F.count(F.lit(1)).alias("n_lines"))
+    body, skipped = marked, None
+    if "block_no" in grid.columns:
+        at = found.select(*by, F.col("header_row").alias("row_no"))
+        body, skipped = clean.check_widths(marked, marked.join(at, [*by, "row_no"]).select(*by, "block_no"), by)
+    needed = _has("beneficiary_name") & (_has("project_code") if archive else F.lit(True))
+    parsed = clean.parse_fields(headers.table_rows(body, found.where(needed), by, aliases))
+    parsed = parsed.withColumn("_kept", clean.is_beneficiary(F.col("beneficiary_name"), mode))
+    coded = clean.has_code(F.col("project_code"))
+    rows = written(headers.with_chunks(parsed.withColumn("_coded", F.col("_kept") & coded)))
+    counts = headers.chunk_counts(rows, by, F.count_if("_kept").alias("n_kept"), F.count_if("_coded").alias("n_coded"))
+
+    numbers = ["n_rows", "n_kept", "n_coded"]
+    totals = clean.judge_counts(counts.groupBy(*by).agg(*[F.sum(c).alias(c) for c in numbers]))
+    files = lines.join(found.select(*by, "fields"), by, "left").join(totals, by, "left")
+    if skipped is not None:
+        files = files.join(skipped.select(*by, "blocks_skipped"), by, "left")
+    reason = (
+        F.when(F.col("fields").isNull(), F.lit("no header row"))
+        .when(~_has("beneficiary_name"), F.lit("no beneficiary column"))
+        .when(~_has("project_code") if archive else F.lit(False), F.lit("no code column"))
+        .when(F.coalesce("n_kept", F.lit(0)) == 0, F.lit("no usable rows"))
+    )
+    if archive:
+        reason = F.coalesce(reason, F.col("reason"))
+    more = ["blocks_skipped"] if skipped is not None else []
+    files = files.select(*by, "n_lines", *[F.coalesce(c, F.lit(0)).alias(c) for c in [*numbers, *more]], reason.alias("reason"))
+    if len(by) > 1:
+        files = keep_top(files, ["file_path"], [F.desc("n_kept"), F.asc("variant")])
+    return Extract(rows, counts, written(files), by)
+
+
 def extract_tables(
-    grid: DataFrame,
+    grid: DataFrame | Extract,
     manifest: DataFrame,
     archive: bool = False,
     mode: str = "literal",
@@ -29,22 +90,16 @@ def extract_tables(
 ) -> DataFrame:
     """Published tables as interim project rows with full provenance.
 
-    ``grid`` holds raw rows (``file_path`` as in the manifest's ``path``).
-    Archived lists also pass the file gates, and are dated by their snapshot.
+    ``grid`` holds raw rows (``file_path`` as in the manifest's ``path``; see ``stage_tables`` for
+    several readings and blocks). Archived lists also pass the file gates, and are dated by their snapshot.
     """
-    found = headers.detect_headers(grid, aliases=aliases)
-    needed = _has("beneficiary_name")
-    if archive:
-        needed = needed & _has("project_code")
-    # One header row per file. Without a hint, Spark broadcasts it only below
+    staged = grid if isinstance(grid, Extract) else stage_tables(grid, archive, mode, aliases)
+    # One row per file. Without a hint, Spark broadcasts it only below
     # its size limit and splits skewed files otherwise.
-    table = headers.grid_to_table(grid, aliases=aliases, headers=found.where(needed))
-    parsed = clean.parse_fields(table)
-    kept = clean.is_beneficiary(F.col("beneficiary_name"), mode)
-    if archive:
-        report = clean.file_report(parsed, kept, clean.has_code(F.col("project_code")))
-        parsed = clean.keep_passing(parsed, report)
-    sourced = parsed.where(kept).join(manifest.withColumnRenamed("path", "file_path"), "file_path")
+    passing = staged.files.where("reason IS NULL").select(*staged.by)
+    rows = staged.rows.join(passing, staged.by, "left_semi")
+    kept = headers.place_rows(rows, staged.counts, staged.by).where("_kept")
+    sourced = kept.join(manifest.withColumnRenamed("path", "file_path"), "file_path")
     meta = F.col("meta")
     named = (
         archive_program(F.col("dataset"), F.try_element_at(meta, F.lit("original_url")), F.col("file_path"))
@@ -80,35 +135,27 @@ def extract_tables(
 
 
 def extract_report(
-    grid: DataFrame, archive: bool = False, mode: str = "literal", aliases: headers.Aliases | None = None,
-    manifest: DataFrame | None = None,
+    grid: DataFrame | Extract, archive: bool = False, mode: str = "literal", aliases: headers.Aliases | None = None,
+    manifest: DataFrame | None = None, states: DataFrame | None = None,
 ) -> DataFrame:
     """Per file: rows read and kept, and why it was left out (null when it was
-    not). No file stops the others; this is where it shows. With the manifest,
-    files of which no line could be read show too."""
-    seen = grid.groupBy("file_path").agg(F.count(F.lit(1)).alias("n_lines"))
-    found = headers.detect_headers(grid, aliases=aliases)
-    parsed = clean.parse_fields(headers.grid_to_table(grid, aliases=aliases, headers=found))
-    kept = clean.is_beneficiary(F.col("beneficiary_name"), mode)
-    report = clean.file_report(parsed, kept, clean.has_code(F.col("project_code")))
-    joined = seen.join(found.select("file_path", "fields"), "file_path", "left").join(
-        report, "file_path", "left"
-    )
-    lacks_code = ~_has("project_code") if archive else F.lit(False)
+    not). No file stops the others; this is where it shows. With the reader's
+    ``states`` files that weren't read to their end show, with the manifest those
+    of which no line could be read."""
+    staged = grid if isinstance(grid, Extract) else stage_tables(grid, archive, mode, aliases)
+    report, reason = staged.files, F.col("reason")
+    numbers = [c for c in report.columns if c not in ("file_path", "reason")]
+    if states is not None:
+        broken = states.where("reason IS NOT NULL").select("file_path", F.col("reason").alias("_broken"))
+        report, reason = report.join(broken, "file_path", "full"), F.coalesce("_broken", reason)
     if manifest is not None:
         listed = manifest.select(F.col("path").alias("file_path")).distinct()
-        joined = joined.join(listed, "file_path", "full").fillna(0, ["n_lines"])
-    reason = (
-        F.when(F.col("n_lines") == 0, F.lit("unreadable"))
-        .when(F.col("fields").isNull(), F.lit("no header row"))
-        .when(~_has("beneficiary_name"), F.lit("no beneficiary column"))
-        .when(lacks_code, F.lit("no code column"))
-        .when(F.coalesce("n_kept", F.lit(0)) == 0, F.lit("no usable rows"))
-    )
-    if archive:
-        reason = F.coalesce(reason, F.col("reason"))
-    numbers = [F.coalesce(c, F.lit(0)).alias(c) for c in ("n_rows", "n_kept", "n_coded")]
-    return joined.select("file_path", "n_lines", *numbers, reason.alias("reason"))
+        report = report.join(listed, "file_path", "full")
+    unread = F.when(F.coalesce("n_lines", F.lit(0)) == 0, F.lit("unreadable"))
+    if states is not None:
+        unread = F.when(F.col("_broken").isNull(), unread)
+    filled = [F.coalesce(c, F.lit(0)).alias(c) if c != "variant" else F.col(c) for c in numbers]
+    return report.select("file_path", *filled, F.coalesce(unread, reason).alias("reason"))
 
 
 def build_projects(
@@ -148,9 +195,9 @@ def publish(
     """Writes both registries and publishes views over the written tables."""
     sinks.write_table(projects, f"{folder}/projects")
     sinks.write_table(calls, f"{folder}/calls")
-    written = spark.read.parquet(f"{folder}/projects"), spark.read.parquet(f"{folder}/calls")
-    sinks.publish_views(*written)
-    return written
+    tables = spark.read.parquet(f"{folder}/projects"), spark.read.parquet(f"{folder}/calls")
+    sinks.publish_views(*tables)
+    return tables
 
 
-__all__ = ["build_calls", "build_projects", "extract_report", "extract_tables", "publish"]
+__all__ = ["Extract", "build_calls", "build_projects", "extract_report", "extract_tables", "publish", "stage_tables"]

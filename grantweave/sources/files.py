@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from grantweave import fixed_values as fv
 from grantweave.functions import html, parse
 from grantweave.functions.text import strip_space
+from grantweave.sources.records import read_records
 
 
 def _path() -> Column:
@@ -35,43 +36,10 @@ def file_inventory(spark: SparkSession, root: str, glob: str | None = None) -> D
     )
 
 
-def _numbered(scan: DataFrame) -> DataFrame:
-    """Adds the 0-based ``row_no`` in its file to rows as scanned.
-
-    Files are read split by split. A split's rows are numbered by the order they
-    are read in; the row counts of the splits before it in the file shift them.
-    Only those counts, one row per split, meet the rows in a join, whose kind
-    Spark chooses by their size.
-    """
-    rows = scan.withColumns(
-        {
-            "file_path": _path(),
-            "_start": F.col("_metadata.file_block_start"),
-            "_id": F.monotonically_increasing_id(),
-        }
-    )
-    counts = rows.groupBy("file_path", "_start").agg(
-        F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_n")
-    )
-    before = F.sum("_n").over(
-        Window.partitionBy("file_path").orderBy("_start").rowsBetween(Window.unboundedPreceding, -1)
-    )
-    shifts = counts.select(
-        "file_path", "_start", (F.coalesce(before, F.lit(0)) - F.col("_first")).alias("_shift")
-    )
-    return (
-        rows.join(shifts, ["file_path", "_start"])
-        .withColumn("row_no", F.col("_id") + F.col("_shift"))
-        .drop("_start", "_id", "_shift")
-    )
-
-
 def lines_with_numbers(spark: SparkSession, paths: str | Sequence[str], glob: str | None = None) -> DataFrame:
-    """Lines of text files with their 0-based number in the file."""
-    reader = spark.read.option("recursiveFileLookup", "true")
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    return _numbered(reader.text(paths)).select("file_path", "row_no", "value")
+    """Lines of text files with their 0-based number in the file. Files that weren't read to their end are left out."""
+    lines = read_records(spark, paths, glob, quoted=False).placed()
+    return lines.select("file_path", F.col("line_no").alias("row_no"), F.col("line").alias("value"))
 
 
 def markdown_cells(line: Column) -> Column:
@@ -105,33 +73,25 @@ def csv_cells(record: Column) -> Column:
     )
 
 
-def csv_grid(
+def csv_tables(
     spark: SparkSession, paths: str | Sequence[str], glob: str | None = None, multiline: bool = True
-) -> DataFrame:
-    """CSV records as grids: no header, all text, any number of cells.
+) -> tuple[DataFrame, DataFrame]:
+    """CSV records as grids (no header, all text, any number of cells), and the state of each file.
 
-    The reader only finds where records end: asked for one column, it hands over
-    every wider record whole. Files without line breaks inside quotes can be read
-    with ``multiline=False``, which lets Spark split them. A file that can't be
-    read (or has a record of over a million cells, the parser's limit) is left out here; ``extract_report`` names it when it gets the manifest.
+    Files are split, also where cells hold line breaks; the raw text is scanned once. A file that breaks
+    off anywhere gives no row at all, and its state says "incomplete" (see ``records``). Without
+    ``multiline`` every line is a record, whatever its quotes.
     """
-    reader = (
-        spark.read.schema("_only STRING, _whole STRING")
-        .option("header", "false")
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", "_whole")
-        .option("multiLine", str(multiline).lower())
-        .option("escape", '"')
-        .option("maxCharsPerColumn", "-1")
-        .option("maxColumns", "1000000")
-        .option("ignoreCorruptFiles", "true")
-        .option("recursiveFileLookup", "true")
-    )
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    only = F.when(F.col("_only").isNotNull(), F.array("_only")).otherwise(F.array().cast("array<string>"))
-    cells = F.when(F.col("_whole").isNotNull(), csv_cells(F.col("_whole"))).otherwise(only)
-    return _numbered(reader.csv(paths)).select("file_path", "row_no", cells.alias("cells"))
+    found = read_records(spark, paths, glob, quoted=multiline)
+    grid = found.records().select("file_path", "row_no", csv_cells(F.col("record")).alias("cells"))
+    return grid, found.files
+
+
+def csv_grid(
+    spark: SparkSession, paths: str | Sequence[str], glob: str | None = None, multiline: bool = True
+) -> DataFrame:
+    """The grids of ``csv_tables``; ``extract_report`` names the files left out when it gets their states."""
+    return csv_tables(spark, paths, glob, multiline)[0]
 
 
 def project_pages(spark: SparkSession, root: str, manifest: DataFrame) -> DataFrame:
