@@ -12,7 +12,7 @@ from grantweave.catalog.base import (
 )
 from grantweave.functions import amounts, places
 from grantweave.functions.keywords import KeywordDictionary, activity_bucket, is_digital_intervention, with_keyword_score
-from grantweave.functions.vectors import contrastive_score
+from grantweave.functions.vectors import contrastive_scores
 from grantweave.operators import calls as calls_ops
 from grantweave.operators import classify
 from grantweave.plans import build
@@ -162,15 +162,13 @@ def domain_boost(spark, sf):
     return done.select("doc_id", "software_score", "software_label", "software_evidence", "is_software")
 
 
-def _centroids(spark, sf) -> tuple[list, list]:
-    """Mean vectors of the labels: six labels are wanted, the rest are not. One
-    small row per label, however large the table."""
+def _centroids(spark, sf) -> DataFrame:
+    """Mean vectors of the labels (label, vec, wanted): every third label is wanted, the rest are not."""
     embeddings = table(spark, sf, "embeddings")
     dims = embeddings.select("label", F.posexplode("embedding").alias("place", "x"))
     means = dims.groupBy("label", "place").agg(F.avg(F.col("x").cast("double")).alias("m"))
-    rows = means.groupBy("label").agg(F.array_sort(F.collect_list(F.struct("place", "m"))).alias("v")).orderBy("label").collect()
-    vectors = {r.label: [p.m for p in r.v] for r in rows}
-    return [v for k, v in vectors.items() if k % 3 == 0], [v for k, v in vectors.items() if k % 3 > 0]
+    vectors = means.groupBy("label").agg(F.array_sort(F.collect_list(F.struct("place", "m"))).alias("v"))
+    return vectors.select("label", F.col("v.m").alias("vec"), (F.col("label") % 3 == 0).alias("wanted"))
 
 
 _CONTRAST = """
@@ -186,9 +184,7 @@ _CONTRAST = """
 
 @query("contrastive_score", f"WITH {_CONTRAST} SELECT * FROM meaning")
 def contrastive(spark, sf):
-    wanted, other = _centroids(spark, sf)
-    score = contrastive_score(F.col("embedding"), wanted, other)
-    return table(spark, sf, "embeddings").select("vec_id", score.alias("score"))
+    return contrastive_scores(table(spark, sf, "embeddings"), _centroids(spark, sf), "vec_id", "embedding")
 
 
 @query(

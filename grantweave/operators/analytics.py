@@ -243,6 +243,24 @@ def page_of_projects(
     return projects.orderBy(F.desc_nulls_last(sort), F.asc(tie)).offset(page * size).limit(size)
 
 
+def page_after(
+    df: DataFrame, last: tuple | None = None, sort: str = PROJECT_SORTS[0], size: int = fv.PAGE_SIZE, tie: str = "record_id"
+) -> DataFrame:
+    """The page after a row, given by its (sort value, tie), largest first, nulls last; the first page without one.
+
+    Earlier pages are filtered away, by a condition that reaches the scan, and not sorted again.
+    """
+    if last is not None:
+        value, key = last
+        own, name = F.col(sort), F.col(tie)
+        after = own.isNull() & (name > key) if value is None else (own < value) | own.isNull() | ((own == value) & (name > key))
+        if value is not None:
+            # The same once more in a form that Parquet's statistics can judge.
+            after = ((own <= value) | own.isNull()) & after
+        df = df.where(after)
+    return df.orderBy(F.desc_nulls_last(sort), F.asc(tie)).limit(size)
+
+
 def page_of_calls(
     calls: DataFrame, page: int = 0, size: int = fv.PAGE_SIZE, closes: str = "closes_at",
     tie: Sequence[str] = ("call_id", "source"),

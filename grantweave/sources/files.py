@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import hashlib
+from collections.abc import Iterator, Sequence
+from urllib.parse import quote
 
+import pyarrow as pa
+from pyarrow.fs import FileSystem, LocalFileSystem
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,14 +27,42 @@ def relative_path(path: Column, root: str) -> Column:
     return F.regexp_replace(path, rf"^[a-z0-9]*:?/*\Q{bare}\E/", "")
 
 
+#: Bytes that are hashed at once of a file too large for a cell.
+HASH_BLOCK = 8 << 20
+
+
+def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The content hash of each file, read block by block."""
+    for batch in batches:
+        hashes = []
+        for path in batch.column("path").to_pylist():
+            scheme, _, rest = path.partition(":")
+            local = scheme == "file"
+            system, name = (LocalFileSystem(), "/" + rest.lstrip("/")) if local else FileSystem.from_uri(quote(path, safe="/:@"))
+            found = hashlib.sha256()
+            with system.open_input_stream(name, compression=None) as stream:
+                while block := stream.read(HASH_BLOCK):
+                    found.update(block)
+            hashes.append(found.hexdigest())
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(hashes, pa.string())], names=[*batch.schema.names, "sha256"])
+
+
 def file_inventory(spark: SparkSession, root: str, glob: str | None = None) -> DataFrame:
-    """Each raw file with path, size, content hash and time."""
+    """Each raw file with path, size, content hash and time.
+
+    A file that fits a cell (spark.sql.sources.binaryFile.maxLength, 2 GiB at most) is hashed as one; larger
+    ones are streamed in blocks, each by the task that lists it. Spark lists no files without a byte.
+    """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    return reader.load(root).select(
+    files, most = reader.load(root), int(spark.conf.get("spark.sql.sources.binaryFile.maxLength"))
+    fits = files.where(F.col("length") <= most).select("path", "length", "modificationTime", F.sha2("content", 256).alias("sha256"))
+    large = files.where(F.col("length") > most).select("path", "length", "modificationTime")
+    large = large.mapInArrow(_hashed, "path string, length long, modificationTime timestamp, sha256 string")
+    return fits.unionByName(large).select(
         relative_path(F.col("path"), root).alias("path"),
-        F.sha2("content", 256).alias("sha256"),
+        "sha256",
         F.col("length").alias("bytes"),
         F.date_format("modificationTime", "yyyy-MM-dd'T'HH:mm:ssXXX").alias("fetched_at"),
     )
