@@ -6,7 +6,7 @@ import importlib
 
 from grantweave.catalog.base import QUERIES, SQL, Query
 
-_MODULES = ("texts", "tables", "registry", "reports", "changes")
+_MODULES = ("texts", "tables", "registry", "reports", "changes", "published")
 
 
 def _load() -> None:

@@ -27,7 +27,7 @@ def published(spark):
     projects = spark.read.parquet(folder + "/p")
     calls = spark.createDataFrame([("s", "1", "Activ"), ("s", "2", "Închis")], "source string, call_id string, status string")
     calls = schema.conform(calls, schema.CALLS)
-    names = sinks.publish_catalog(spark, projects, calls, "registry_test", buckets=8)
+    names = sinks.publish_catalog(spark, projects, calls, "registry_test", buckets=8, location=folder + "/db")
     yield projects, names
     spark.sql("DROP DATABASE registry_test CASCADE")
 
