@@ -1,14 +1,19 @@
 """URL filter: rules first, then a tree of path templates for each host.
 
 A rule fits its host and all subdomains where the path starts with the rule's; the longest wins. What
-no rule fits is judged by its template: per host, path segments hang in a tree, level by level. The
-children of a node become one wildcard where their values vary too much to be names. Pages that rules
-decide are the labelled ones. A labelled branch whose share of blocked pages doesn't differ
-significantly from its parent's is merged with it; another gets its own share, smoothed by the
-parent's. A host's share is smoothed by PRIOR, and a template without a labelled page has PRIOR, so it
-gets the benefit of the doubt. Templates with a share of THRESHOLD or more are rejected.
-
-All is aggregation and joins by host and template; a host with a third of the pages is counted by
+no rule fits is judged by the share of blocked pages of its template, smoothed level by level. Pages
+that rules decide are the labelled ones.
+
+Domains come first: all pages, smoothed by PRIOR, then the last label of the host's name, the last two, and so on
+to the host, each smoothed by the one before. Then the host's path segments, as a tree. Children of a node become one
+wildcard where their values vary too much to be names. Children whose share differs significantly from
+the node's are merged with their siblings on the same side, and the merged branch gets its own share, smoothed by
+the node's; the other children, and those without a labelled page, keep the node's. So a branch that
+nobody labelled is judged by the nearest part of its host or domain that somebody did. Evidence counts once: a
+domain or host with the same labelled pages as the one above it keeps its share. Templates with a share of
+THRESHOLD or more are rejected. A branch is followed down until it has no labelled page, or a single path.
+
+All is aggregation and joins by host and template, level by level; a host with a third of the pages is counted by
 child first. Null urls and urls without "://" have empty host and path. Pages with null ids are judged
 too. Repeated rows count and are judged as often as they come. Without labelled pages nothing is
 rejected. Extra columns stay.
@@ -28,13 +33,13 @@ RULES = (
     ("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"),
     ("block", "net", "/es/"), ("block", "net", "/fr/"),
 )
-#: Levels of the tree; what lies deeper counts with its last node.
-DEPTH = 4
 #: Children are a wildcard if so many differ, and for so many pages of the node there is one.
 VARIED, PAGES_EACH = 8, 20
 #: Strength of the parent's share in a template's, in pages; deviations that count as similar.
 STRENGTH, SIMILAR = 5.0, 1.96
 PRIOR, THRESHOLD = 0.2, 0.5
+#: Longer hosts aren't names and have no domain above them.
+HOST_CHARS = 253
 
 
 def parts(url: Column) -> tuple[Column, Column]:
@@ -55,19 +60,55 @@ def rule_of(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
     return names, verdicts
 
 
-def _level(paths: DataFrame, level: int) -> DataFrame:
-    """paths with their node's next step: the segment or a wildcard. One row for each distinct path so far."""
-    step = F.get("segments", F.lit(level))
-    at = paths.withColumn("_segment", step)
-    # Counted by child first, so no node's pages meet in one task.
-    by_child = at.where(F.col("_segment").isNotNull()).groupBy("host", "template", "_segment").agg(F.sum("pages").alias("pages"))
-    nodes = by_child.groupBy("host", "template").agg(F.count("*").alias("children"), F.sum("pages").alias("below"))
-    varied = nodes.where((F.col("children") >= VARIED) & (F.col("children") * PAGES_EACH >= F.col("below"))).select("host", "template", F.lit(True).alias("_varied"))
-    joined = at.join(varied, ["host", "template"], "left")
-    shown = F.when(F.col("_varied"), "*").otherwise(F.col("_segment"))
-    return joined.withColumn("template", F.when(F.col("_segment").isNull(), F.col("template")).otherwise(F.concat("template", F.lit("/"), shown))).withColumn(
-        "above", F.array_append("above", F.col("template"))
-    ).drop("_segment", "_varied")
+def _smoothed(blocked: Column, labelled: Column, above: Column) -> Column:
+    return (blocked + STRENGTH * above) / (labelled + STRENGTH)
+
+
+def host_shares(hosts: DataFrame) -> DataFrame:
+    """(host, labelled, share) from each host's labelled and blocked pages, by way of its domains."""
+    total = hosts.agg(F.sum("labelled").alias("labelled"), F.sum("blocked").alias("blocked")).first()
+    labelled, blocked = int(total.labelled or 0), int(total.blocked or 0)
+    whole = (blocked + STRENGTH * PRIOR) / (labelled + STRENGTH)
+    names = F.split("host", r"\.")
+    ends = F.transform(F.sequence(F.lit(1), F.size(names)), lambda i: F.array_join(F.slice(names, F.size(names) - i + 1, i), "."))
+    ends = F.when(F.length("host") <= HOST_CHARS, ends).otherwise(F.array("host"))
+    steps = hosts.select("host", "labelled", "blocked", F.posexplode(ends).alias("at", "domain"))
+    domains = steps.where("labelled > 0").groupBy("domain").agg(F.sum("labelled").alias("n"), F.sum("blocked").alias("b"))
+    met = steps.select("host", "at", "domain").join(domains, "domain")
+    ways = met.groupBy("host").agg(F.array_sort(F.collect_list(F.struct("at", "n", "b"))).alias("way"))
+    start = F.struct(F.lit(whole).alias("share"), F.lit(labelled).cast("long").alias("n"))
+
+    def down(above, domain):
+        own = F.struct(_smoothed(domain["b"], domain["n"], above["share"]).alias("share"), domain["n"].alias("n"))
+        return F.when(domain["n"] == above["n"], above).otherwise(own)
+
+    share = F.when(F.col("way").isNotNull(), F.aggregate("way", start, down)["share"]).otherwise(F.lit(whole))
+    return hosts.join(ways, "host", "left").select("host", "labelled", share.alias("share"))
+
+
+def _moves(growing: DataFrame) -> DataFrame:
+    """(host, node, segment) to its step (the segment or a wildcard), the share below it, and whether it goes on."""
+    by_child = growing.groupBy("host", "node", F.get("rest", F.lit(0)).alias("segment")).agg(
+        F.sum("pages").alias("pages"), F.sum("labelled").alias("labelled"), F.sum("blocked").alias("blocked"),
+        F.count("*").alias("paths"), F.max("share").alias("share"),
+    )
+    by_child = common.written(by_child)
+    nodes = by_child.groupBy("host", "node").agg(F.count("*").alias("children"), F.sum("pages").alias("below"))
+    varied = nodes.where((F.col("children") >= VARIED) & (F.col("children") * PAGES_EACH >= F.col("below"))).select("host", "node", F.lit(True).alias("varied"))
+    named = by_child.join(varied, ["host", "node"], "left").withColumn("step", F.when(F.col("varied"), F.lit("*")).otherwise(F.col("segment")))
+    steps = named.groupBy("host", "node", "step").agg(
+        F.sum("labelled").alias("labelled"), F.sum("blocked").alias("blocked"), F.sum("paths").alias("paths"), F.max("share").alias("share")
+    )
+    own = F.col("blocked") / F.col("labelled")
+    spread = F.sqrt(F.greatest(F.col("share") * (1 - F.col("share")), F.lit(1e-6)) / F.col("labelled"))
+    differs = (F.col("labelled") > 0) & (F.abs(F.try_subtract(own, F.col("share"))) > SIMILAR * spread)
+    steps = common.written(steps.withColumn("side", F.when(F.coalesce(differs, F.lit(False)), F.signum(own - F.col("share"))).otherwise(0.0)))
+    merged = steps.where("side <> 0").groupBy("host", "node", "side").agg(F.sum("labelled").alias("n"), F.sum("blocked").alias("b"))
+    share = F.coalesce(_smoothed(F.col("b"), F.col("n"), F.col("share")), F.col("share"))
+    shares = steps.join(merged, ["host", "node", "side"], "left").select(
+        "host", "node", "step", share.alias("below"), ((F.col("labelled") > 0) & (F.col("paths") > 1)).alias("goes_on")
+    )
+    return common.written(named.select("host", "node", "segment", "step").join(shares, ["host", "node", "step"]))
 
 
 def templates(pages: DataFrame) -> DataFrame:
@@ -75,27 +116,27 @@ def templates(pages: DataFrame) -> DataFrame:
 
     pages: host, path, verdict (of a rule, or null).
     """
-    paths = pages.groupBy("host", "path").agg(
+    paths = common.written(pages.groupBy("host", "path").agg(
         F.count("*").alias("pages"), F.count_if(F.col("verdict").isNotNull()).alias("labelled"), F.count_if(F.col("verdict") == "block").alias("blocked")
-    )
-    paths = paths.withColumn("segments", F.slice(F.split(F.regexp_replace("path", "^/", ""), "/"), 1, DEPTH))
-    paths = common.written(paths.withColumn("template", F.lit("")).withColumn("above", F.array(F.lit(""))))
-    tree = common.written(reduce(_level, range(DEPTH), paths))
-
-    counts = tree.select("host", F.explode(F.array_distinct("above")).alias("node"), "labelled", "blocked")
-    counts = common.written(counts.groupBy("host", "node").agg(F.sum("labelled").alias("labelled"), F.sum("blocked").alias("blocked")))
-    # From the host down: a node's share from its parent's, for all hosts at once.
-    way = tree.select("host", "path", F.array_distinct("above").alias("way"), F.lit(PRIOR).alias("share"))
-    for level in range(DEPTH + 1):
-        node = counts.select("host", F.col("node").alias("_node"), "labelled", "blocked")
-        at = way.withColumn("_node", F.get("way", F.lit(level))).join(node, ["host", "_node"], "left")
-        own = F.col("blocked") / F.col("labelled")
-        spread = F.sqrt(F.greatest(F.col("share") * (1 - F.col("share")), F.lit(1e-6)) / F.col("labelled"))
-        differs = (F.abs(own - F.col("share")) > SIMILAR * spread) | (F.lit(level) == 0)
-        smoothed = (F.col("blocked") + STRENGTH * F.col("share")) / (F.col("labelled") + STRENGTH)
-        share = F.when(F.col("_node").isNull(), F.col("share")).when(F.coalesce("labelled", F.lit(0)) == 0, PRIOR)
-        way = at.withColumn("share", share.when(differs, smoothed).otherwise(F.col("share"))).select("host", "path", "way", "share")
-    return way.select("host", "path", "share")
+    ))
+    hosts = paths.groupBy("host").agg(F.sum("labelled").alias("labelled"), F.sum("blocked").alias("blocked"))
+    shares = host_shares(common.written(hosts)).select("host", "share", (F.col("labelled") > 0).alias("goes_on"))
+    rest = F.split(F.regexp_replace("path", "^/", ""), "/")
+    state = common.written(paths.join(common.written(shares), "host").select(
+        "host", "path", "pages", "labelled", "blocked", F.lit("").alias("node"), rest.alias("rest"), "share", "goes_on"
+    ))
+    done = []
+    while True:
+        goes_on = F.col("goes_on") & (F.size("rest") > 0)
+        done.append(state.where(~goes_on).select("host", "path", "share"))
+        growing = state.where(goes_on)
+        if growing.isEmpty():
+            return reduce(DataFrame.union, done)
+        moved = growing.drop("goes_on").withColumn("segment", F.get("rest", F.lit(0))).join(_moves(growing), ["host", "node", "segment"])
+        state = common.written(moved.select(
+            "host", "path", "pages", "labelled", "blocked", F.concat("node", F.lit("/"), "step").alias("node"),
+            F.slice("rest", F.lit(2), F.size("rest")).alias("rest"), F.col("below").alias("share"), "goes_on",
+        ))
 
 
 def judged(pages: DataFrame, url: str = "url", rules=RULES) -> DataFrame:

@@ -259,6 +259,73 @@ def test_templates_reject_by_purity(spark):
     assert by == {("ads", "block"): 60, ("news", "allow"): 60, ("other", "allow"): 1}
 
 
+def shares_by_hand(pages):
+    """Shares of (host, path) from [(host, path, verdict)], one node after another."""
+    strength, prior = url_filter.STRENGTH, url_filter.PRIOR
+
+    def counts(rows):
+        return sum(v is not None for *_, v in rows), sum(v == "block" for *_, v in rows)
+
+    def below(rows, depth, share, out):
+        """rows: (host, path, segments, verdict) of one node."""
+        if not counts(rows)[0] or depth and len({r[1] for r in rows}) == 1:
+            return out.update({(h, p): share for h, p, *_ in rows})
+        out.update({(h, p): share for h, p, s, _ in rows if len(s) <= depth})
+        rows = [r for r in rows if len(r[2]) > depth]
+        names = {r[2][depth] for r in rows}
+        varied = len(names) >= url_filter.VARIED and len(names) * url_filter.PAGES_EACH >= len(rows)
+        steps = collections.defaultdict(list)
+        for r in rows:
+            steps["*" if varied else r[2][depth]].append(r)
+        sides = {}
+        for step, own in steps.items():
+            n, b = counts(own)
+            spread = (max(share * (1 - share), 1e-6) / n) ** 0.5 if n else 0
+            sides[step] = 0 if not n or abs(b / n - share) <= url_filter.SIMILAR * spread else 1 if b / n > share else -1
+        for step, own in steps.items():
+            n, b = (sum(x) for x in zip(*[counts(steps[o]) for o in steps if sides[o] == sides[step]]))
+            below(own, depth + 1, (b + strength * share) / (n + strength) if sides[step] else share, out)
+
+    n, b = counts(pages)
+    out, start = {}, ((b + strength * prior) / (n + strength), n)
+    for host in {h for h, *_ in pages}:
+        share, last = start
+        names = host.split(".")
+        for i in range(1, len(names) + 1):
+            end = ".".join(names[-i:])
+            n, b = counts([r for r in pages if r[0] == end or r[0].endswith("." + end)])
+            if n and n != last:
+                share, last = (b + strength * share) / (n + strength), n
+        below([(h, p, p.removeprefix("/").split("/"), v) for h, p, v in pages if h == host], 0, share, out)
+    return out
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_templates_equal_brute_force(spark, seed):
+    rng = random.Random(seed)
+    hosts, words = ["a.net", "b.a.net", "c.org", "net", "d.net", "e.com", ""], ["x", "y", "z", "en", ""]
+    bad = {(h, w): rng.random() for h in hosts for w in words}
+    pages = []
+    for _ in range(900):
+        host = rng.choice(hosts + ["a.net"] * 6)
+        parts = [rng.choice([*words, str(rng.randrange(40))]) for _ in range(rng.randrange(8))]
+        path = "".join("/" + p for p in parts)
+        labelled = rng.random() < 0.4 and not host.startswith("d")
+        pages.append((host, path, ("block" if rng.random() < bad[host, parts[0] if parts and parts[0] in words else ""] else "allow") if labelled else None))
+    deep = "/k" * 5
+    pages += [("a.net", deep + "/1", "block"), ("a.net", deep + "/2", None)]
+    got = {(r.host, r.path): r.share for r in url_filter.templates(spark.createDataFrame(pages, "host string, path string, verdict string")).collect()}
+    want = shares_by_hand(pages)
+    assert got.keys() == want.keys() and max(abs(got[k] - want[k]) for k in want) < 1e-9
+    assert len({round(v, 6) for v in got.values()}) > 5
+
+
+def test_a_host_with_blocked_labels_only_blocks_its_other_branches(spark):
+    pages = [f"http://n{i % 3}.net/{p}/{i}" for i in range(60) for p in ("es", "en")] + [f"http://y{i}.com/{i}" for i in range(60)] + ["http://z.org/1", "http://new.net/q"]
+    found = {r.url: r.verdict for r in url_filter.judged(spark.createDataFrame([(u,) for u in pages], "url string")).collect()}
+    assert all(v == ("allow" if ".com/" in u or ".org/" in u else "block") for u, v in found.items())
+
+
 # ----------------------------------------------------------------------- BPE
 
 
