@@ -4,8 +4,8 @@ A rule fits its host and all subdomains where the path starts with the rule's; t
 no rule fits is judged by the share of blocked pages of its template, smoothed level by level. Pages
 that rules decide are the labelled ones.
 
-Domains come first: all pages, smoothed by PRIOR, then the last label of the host's name, the last two, and so on
-to the host, each smoothed by the one before. Then the host's path segments, as a tree. Children of a node become one
+Domains come first: the last label of the host's name, smoothed by PRIOR, the last two, and so on
+to the host, each smoothed by the one before; a host in whose domains no page is labelled has PRIOR. Then the host's path segments, as a tree. Children of a node become one
 wildcard where their values vary too much to be names. Children whose share differs significantly from
 the node's are merged with their siblings on the same side, and the merged branch gets its own share, smoothed by
 the node's; the other children, and those without a labelled page, keep the node's. So a branch that
@@ -66,9 +66,6 @@ def _smoothed(blocked: Column, labelled: Column, above: Column) -> Column:
 
 def host_shares(hosts: DataFrame) -> DataFrame:
     """(host, labelled, share) from each host's labelled and blocked pages, by way of its domains."""
-    total = hosts.agg(F.sum("labelled").alias("labelled"), F.sum("blocked").alias("blocked")).first()
-    labelled, blocked = int(total.labelled or 0), int(total.blocked or 0)
-    whole = (blocked + STRENGTH * PRIOR) / (labelled + STRENGTH)
     names = F.split("host", r"\.")
     ends = F.transform(F.sequence(F.lit(1), F.size(names)), lambda i: F.array_join(F.slice(names, F.size(names) - i + 1, i), "."))
     ends = F.when(F.length("host") <= HOST_CHARS, ends).otherwise(F.array("host"))
@@ -76,13 +73,13 @@ def host_shares(hosts: DataFrame) -> DataFrame:
     domains = steps.where("labelled > 0").groupBy("domain").agg(F.sum("labelled").alias("n"), F.sum("blocked").alias("b"))
     met = steps.select("host", "at", "domain").join(domains, "domain")
     ways = met.groupBy("host").agg(F.array_sort(F.collect_list(F.struct("at", "n", "b"))).alias("way"))
-    start = F.struct(F.lit(whole).alias("share"), F.lit(labelled).cast("long").alias("n"))
+    start = F.struct(F.lit(PRIOR).alias("share"), F.lit(0).cast("long").alias("n"))
 
     def down(above, domain):
         own = F.struct(_smoothed(domain["b"], domain["n"], above["share"]).alias("share"), domain["n"].alias("n"))
         return F.when(domain["n"] == above["n"], above).otherwise(own)
 
-    share = F.when(F.col("way").isNotNull(), F.aggregate("way", start, down)["share"]).otherwise(F.lit(whole))
+    share = F.when(F.col("way").isNotNull(), F.aggregate("way", start, down)["share"]).otherwise(F.lit(PRIOR))
     return hosts.join(ways, "host", "left").select("host", "labelled", share.alias("share"))
 
 

@@ -286,8 +286,7 @@ def shares_by_hand(pages):
             n, b = (sum(x) for x in zip(*[counts(steps[o]) for o in steps if sides[o] == sides[step]]))
             below(own, depth + 1, (b + strength * share) / (n + strength) if sides[step] else share, out)
 
-    n, b = counts(pages)
-    out, start = {}, ((b + strength * prior) / (n + strength), n)
+    out, start = {}, (prior, 0)
     for host in {h for h, *_ in pages}:
         share, last = start
         names = host.split(".")
