@@ -10,7 +10,8 @@ The model interpolates: half the weight goes to the two-token estimate wherever
 The base score needs exact counts of every token. Tokens meet their counts, and n-grams their part of
 the filter, by request: each block of documents sends its distinct hashes by bucket, the bucket answers
 with counts and levels in the same order, and nothing travels more than once for a block. A token in
-every document is one number a block.
+every document is one number a block. Hashes travel in rising order as differences, compressed. Rows
+with null ids are dealt by their texts.
 
 Null and empty texts are one end token. Rows without an id are scored and learned from. Repeated rows
 count as often as they come. Without training rows N and V are 0, the base probability is 1 for the
@@ -70,6 +71,30 @@ def _short(h: np.ndarray) -> np.ndarray:
     return h.astype(np.uint32)
 
 
+def coded(values: np.ndarray, rising: bool = False) -> bytes:
+    """Numbers as they travel: differences where they rise, byte by byte, compressed."""
+    if rising and len(values):
+        values = np.diff(values, prepend=values.dtype.type(0))
+    planes = np.ascontiguousarray(values).view(np.uint8).reshape(len(values), -1).T if len(values) else values
+    return len(values).to_bytes(8, "little") + pa.compress(np.ascontiguousarray(planes).tobytes(), "zstd", asbytes=True)
+
+
+def plain(data, kind, rising: bool = False) -> np.ndarray:
+    """The numbers of coded()."""
+    data = memoryview(data)
+    count, size = int.from_bytes(data[:8], "little") if len(data) else 0, np.dtype(kind).itemsize
+    if not count:
+        return np.zeros(0, kind)
+    planes = np.frombuffer(pa.decompress(data[8:], count * size, "zstd", asbytes=True), np.uint8).reshape(size, count)
+    values = np.ascontiguousarray(planes.T).view(kind).ravel()
+    return np.cumsum(values, dtype=kind) if rising else values
+
+
+def _in_order(g: np.ndarray, buckets: int) -> np.ndarray:
+    """The order in which n-grams are asked for: by bucket, then rising."""
+    return np.lexsort((_short(g), _range(g, buckets)))
+
+
 def _words(short: np.ndarray, level: np.ndarray | int, count: int) -> tuple[np.ndarray, np.ndarray]:
     """Which 64-bit word of a part, and the three bits in it, for an n-gram at a level."""
     h = common.mix(short.astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15) * np.asarray(level, np.uint64))
@@ -132,12 +157,14 @@ def frequency_filter(training: DataFrame, text: str, ranges: int) -> DataFrame:
         def flush():
             h, counts = np.unique(np.concatenate(held), return_counts=True)
             once = counts == 1
+            order = np.argsort(_short(h), kind="stable")
+            h, counts, once = h[order], counts[order], once[order]
             few = dict(common.packed(_range(h[once], ranges), ranges, _short(h[once])))
             many = dict(common.packed(_range(h[~once], ranges), ranges, _short(h[~once]), counts[~once].astype(np.uint32)))
             parts, empty = sorted({*few, *many}), np.zeros(0, np.uint32)
             columns = [pa.array(parts, pa.int32())]
             for kind, k in ((few, 0), (many, 0), (many, 1)):
-                columns.append(pa.array([kind.get(p, [empty, empty])[k].tobytes() for p in parts], pa.binary()))
+                columns.append(pa.array([coded(kind.get(p, [empty, empty])[k], rising=not k) for p in parts], pa.binary()))
             return pa.RecordBatch.from_arrays(columns, names=["bucket", "once", "many", "times"])
 
         for _, data, offsets in common.pieces(batches, text):
@@ -151,10 +178,10 @@ def frequency_filter(training: DataFrame, text: str, ranges: int) -> DataFrame:
             yield flush()
 
     def built(key: tuple, group: pa.Table) -> pa.Table:
-        def column(name):
-            return np.concatenate([np.frombuffer(x.as_buffer(), np.uint32) for x in group.column(name)])
+        def column(name, rising=True):
+            return np.concatenate([plain(x.as_buffer(), np.uint32, rising) for x in group.column(name)])
 
-        once, many, times = column("once"), column("many"), column("times")
+        once, many, times = column("once"), column("many"), column("times", rising=False)
         short, place = np.unique(np.concatenate([once, many]), return_inverse=True)
         counts = np.bincount(place, np.concatenate([np.ones(len(once)), times]), len(short))
         bits = LogFrequencyFilter.part(short, 1 + np.floor(np.log2(counts)).astype(np.uint8), each=each)
@@ -196,6 +223,10 @@ def _joined(table: pa.Table, name: str) -> np.ndarray:
     return np.concatenate([np.zeros(0, np.uint64), *(np.frombuffer(x.as_buffer(), np.uint64) for x in table.column(name))])
 
 
+def _answered(table: pa.Table, name: str, kind) -> np.ndarray:
+    return np.concatenate([np.zeros(0, kind), *(plain(x.as_buffer(), kind) for x in table.column(name))])
+
+
 def _batch(buckets: int, h: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
     rows = list(common.packed((h % np.uint64(buckets)).astype(np.int64), buckets, h, counts))
     return pa.RecordBatch.from_arrays(
@@ -207,8 +238,8 @@ def _batch(buckets: int, h: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
 def score(docs: DataFrame, held_out, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """docs without the text, and held_out, n_tokens, n_known, train_tokens, base_score and score."""
     spark = docs.sparkSession
-    plain = docs.drop("held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "_block").withColumn("held_out", F.coalesce(held_out, F.lit(False)))
-    training = plain.where(~F.col("held_out"))
+    rows = docs.drop("held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "_block").withColumn("held_out", F.coalesce(held_out, F.lit(False)))
+    training = rows.where(~F.col("held_out"))
     total = common.text_total(docs, text)
     blocks, buckets = common.bucket_count(spark, total, BLOCK_BYTES), common.bucket_count(spark, total, BUCKET_BYTES)
     known = common.written(token_counts(training, text, buckets))
@@ -226,18 +257,19 @@ def score(docs: DataFrame, held_out, text: str = "text", doc_id: str = "doc_id")
         common.written(frequency_filter(training, text, buckets)).select("bucket", F.lit(b"").alias("hashes"), F.lit(b"").alias("counts"), "bits")
     )
 
-    placed = plain.withColumn("_block", F.pmod(F.xxhash64(doc_id), F.lit(blocks)).cast("int"))
+    placed = rows.withColumn("_block", F.pmod(F.xxhash64(doc_id, F.when(F.col(doc_id).isNull(), F.col(text))), F.lit(blocks)).cast("int"))
 
     def ask(key: tuple, group: pa.Table) -> pa.Table:
         tokens = np.concatenate([token_stream(d, o)[0] for _, d, o in common.pieces(group.select([text]).to_batches(), text)])
         h = np.unique(tokens)
         g = np.unique(np.concatenate([singles(h), pairs(tokens)]))
         words = dict(common.packed((h % np.uint64(buckets)).astype(np.int64), buckets, h))
+        g = g[_in_order(g, buckets)]
         shorts = dict(common.packed(_range(g, buckets), buckets, _short(g)))
         to = sorted({*words, *shorts})
         return pa.table([
             pa.array(to, pa.int32()), pa.array([key[0].as_py()] * len(to), pa.int32()),
-            *(pa.array([kind[b][0].tobytes() if b in kind else b"" for b in to], pa.binary()) for kind in (words, shorts)),
+            *(pa.array([coded(kind[b][0], rising=True) if b in kind else b"" for b in to], pa.binary()) for kind in (words, shorts)),
         ], names=["bucket", "block", "hashes", "grams"])
 
     def answer(key: tuple, asked: pa.Table, have: pa.Table) -> pa.Table:
@@ -245,16 +277,16 @@ def score(docs: DataFrame, held_out, text: str = "text", doc_id: str = "doc_id")
         model = LogFrequencyFilter(1, {0: b"".join(have.column("bits").to_pylist())}, ranges=1)
         out, levels = [], []
         for x, y in zip(asked.column("hashes"), asked.column("grams"), strict=True):
-            h, short = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint32)
+            h, short = plain(x.as_buffer(), np.uint64, rising=True), plain(y.as_buffer(), np.uint32, rising=True)
             found = np.zeros(len(h), np.uint64)
             if len(hashes):
                 at = np.minimum(np.searchsorted(hashes, h), len(hashes) - 1)
                 found = np.where(hashes[at] == h, counts[at], np.uint64(0))
-            out.append(found.tobytes())
-            levels.append(model.levels(np.zeros(len(short), np.int64), short).tobytes())
+            out.append(coded(found))
+            levels.append(coded(model.levels(np.zeros(len(short), np.int64), short)))
         return pa.table([asked.column("block"), asked.column("bucket"), pa.array(out, pa.binary()), pa.array(levels, pa.binary())], names=["block", "bucket", "counts", "levels"])
 
-    names = [c for c in plain.columns if c != text]
+    names = [c for c in rows.columns if c != text]
     below = tokens_total + ADDED * (distinct + 1)
 
     def scored(key: tuple, group: pa.Table, answers: pa.Table) -> pa.Table:
@@ -265,10 +297,10 @@ def score(docs: DataFrame, held_out, text: str = "text", doc_id: str = "doc_id")
         all_tokens = np.concatenate([t for _, t, _ in streams])
         h = np.unique(all_tokens)
         exact = np.zeros(len(h))
-        exact[np.argsort((h % np.uint64(buckets)).astype(np.int64), kind="stable")] = _joined(answers, "counts")
+        exact[np.argsort((h % np.uint64(buckets)).astype(np.int64), kind="stable")] = _answered(answers, "counts", np.uint64)
         g, place = np.unique(np.concatenate([singles(h), pairs(all_tokens)]), return_inverse=True)
         levels = np.zeros(len(g), np.uint8)
-        levels[np.argsort(_range(g, buckets), kind="stable")] = np.frombuffer(b"".join(answers.column("levels").to_pylist()), np.uint8)
+        levels[_in_order(g, buckets)] = _answered(answers, "levels", np.uint8)
         estimate = counts_of(levels)
         alone, together = estimate[place[: len(h)]], estimate[place[len(h) :]]
         one = (alone + ADDED) / below
@@ -288,7 +320,7 @@ def score(docs: DataFrame, held_out, text: str = "text", doc_id: str = "doc_id")
             ], names=[*names, *_NEW]))
         return pa.Table.from_batches(parts)
 
-    out = common.extended(plain.drop(text), "n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    out = common.extended(rows.drop(text), "n_tokens long, n_known long, train_tokens long, base_score double, score double")
     empty = pa.Table.from_pylist([], _arrow(out))
     asked = placed.groupBy("_block").applyInArrow(ask, "bucket int, block int, hashes binary, grams binary")
     answers = asked.groupBy("bucket").cogroup(have.groupBy("bucket")).applyInArrow(answer, "block int, bucket int, counts binary, levels binary")
