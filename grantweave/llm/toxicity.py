@@ -5,9 +5,8 @@ the clause's words as symbols (insult, threat, target, negation, reporting verb,
 insult or threat by what it stands under. A document's score is a logistic function of the weights
 that its marked words gather by kind, so a word alone counts as its clause lets it.
 
-Insults are learned: words and word beginnings that labelled toxic documents hold and clean ones
-don't, chosen by how many toxic documents each explains that the chosen ones don't yet. Their weights
-are log odds; the kinds' weights come from a logistic fit. Learning takes at most SAMPLE labelled rows
+Insults are learned: all words and word beginnings that more labelled toxic documents hold than chance
+allows, and clean ones don't. Their weights are log odds; the kinds' weights come from a logistic fit. Learning takes at most SAMPLE labelled rows
 of either class, those with the smallest hashes of their ids; scoring takes every row's whole text.
 
 Null, empty and wordless texts score like texts without a match. Without labelled rows of both
@@ -17,6 +16,7 @@ give repeated results. Extra columns stay.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,8 +29,8 @@ from grantweave.llm import common
 #: Labelled rows of class 0 and 1 that are learned from, at most.
 SAMPLE = (16_000, 4_000)
 #: A form must be in so many toxic documents and in such a share of the sample's, and in few clean
-#: ones for each of them. Of these it must explain half beyond those of the forms before it.
-LEAST_DOCUMENTS, LEAST_SHARE, CLEAN_SHARE = 4, 0.002, 0.02
+#: ones for each of them; and in so many that fewer than BY_CHANCE forms would be in toxic ones alone if labels were drawn.
+LEAST_DOCUMENTS, LEAST_SHARE, CLEAN_SHARE, BY_CHANCE = 4, 0.002, 0.02, 0.01
 #: Lengths in bytes of the word beginnings that may be forms, besides whole words (0).
 LENGTHS = (0, 4, 5, 6, 7)
 
@@ -199,14 +199,16 @@ def learn(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     chosen = [rows.where(F.col("toxic") == k).orderBy(order, "_id").limit(sample[k]) for k in (0, 1)]
     chosen = common.written(chosen[0].union(chosen[1]))
     # Equal texts count once, so a group of copies can't make a form.
-    used = docs.join(F.broadcast(chosen), F.col(doc_id) == F.col("_id")).select(F.col(text).alias("text"), "toxic").dropDuplicates()
+    named = docs.select(F.col(doc_id).alias("_doc"), F.col(text).alias("text"))
+    used = named.join(F.broadcast(chosen), F.col("_doc") == F.col("_id")).select("text", "toxic").dropDuplicates()
     used = common.written(used)
     counted = used.mapInArrow(lambda b: _counts(b, "text"), "form long, toxic long, clean long")
     counted = counted.groupBy("form").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
     sizes = {r.toxic: r["count"] for r in used.groupBy("toxic").count().collect()}
     if not sizes.get(0) or not sizes.get(1):
         return None
-    least = max(LEAST_DOCUMENTS, int(LEAST_SHARE * sizes[1]))
+    share, forms = sizes[1] / (sizes[0] + sizes[1]), counted.where("toxic > 0").count()
+    least = max(LEAST_DOCUMENTS, int(LEAST_SHARE * sizes[1]), math.ceil(math.log(BY_CHANCE / max(forms, 1)) / math.log(share)))
     counted = counted.where((F.col("toxic") >= least) & (F.col("clean") <= CLEAN_SHARE * F.col("toxic")))
     candidates = {r.form: (r.toxic, r.clean) for r in counted.collect()}
     sent = spark.sparkContext.broadcast(np.sort(np.array(list(candidates), np.int64).view(np.uint64)))
@@ -229,23 +231,25 @@ def learn(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
 
     # Of toxic documents only, and no more than the sample's rows.
     hits = used.where("toxic = 1").mapInArrow(held, "doc binary, form long, length int, word binary")
-    hits = hits.groupBy("form", "length", "word").agg(F.collect_set(F.xxhash64("doc")).alias("docs")).collect()
-    forms = sorted(hits, key=lambda r: (-len(r.docs) + 20 * candidates[r.form][1], r.length != 0, -r.length, r.word))
-    explained: set[int] = set()
+    hits = hits.select("form", "length", "word").distinct().collect()
     insults = []
-    for r in forms:
-        new = set(r.docs) - explained
-        if 2 * len(new) >= least:
-            explained |= new
-            t, c = candidates[r.form]
-            insults.append((r.length, bytes(r.word), float(np.log((t + 0.5) / (sizes[1] + 1)) - np.log((c + 0.5) / (sizes[0] + 1)))))
+    for r in sorted(hits, key=lambda r: (r.length, r.word)):
+        t, c = candidates[r.form]
+        insults.append((r.length, bytes(r.word), float(np.log((t + 0.5) / (sizes[1] + 1)) - np.log((c + 0.5) / (sizes[0] + 1)))))
     lexicon = Lexicon(insults)
     sums = used.select("toxic", "text").mapInArrow(lambda b: _kinds(b, "text", lexicon, ["toxic"]), "toxic int, sums array<double>").collect()
-    x, y = np.log1p(np.array([r.sums for r in sums])), np.array([r.toxic for r in sums], float)
+    x, y = features([r.sums for r in sums]), np.array([r.toxic for r in sums], float)
     weights, bias = fit(x, y)
     return lexicon, weights, bias
 
 
+def features(sums: np.ndarray) -> np.ndarray:
+    """What the logistic function sees: targeted insults count as plain ones too, so a target never weakens one."""
+    both = np.array(sums, float).reshape(-1, len(KINDS))
+    both[:, 0] += both[:, 1]
+    return np.log1p(both)
+
+
 def _kinds(batches: Iterator[pa.RecordBatch], text: str, lexicon: Lexicon, kept: list[str]) -> Iterator[pa.RecordBatch]:
     for rows, data, offsets in common.pieces(batches, text):
         sums = clause_sums(data, offsets, lexicon)
@@ -272,7 +276,7 @@ def score(docs: DataFrame, model, text: str = "text", column: str = "score") ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lexicon, weights, bias = sent.value
         for rows, data, offsets in common.pieces(batches, text):
-            logit = np.log1p(clause_sums(data, offsets, lexicon)) @ weights + bias
+            logit = features(clause_sums(data, offsets, lexicon)) @ weights + bias
             yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(1 / (1 + np.exp(-logit)))], names=[*names, column])
 
     return plain.mapInArrow(run, common.extended(plain, f"{column} double"))
