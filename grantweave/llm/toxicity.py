@@ -203,11 +203,11 @@ def learn(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     used = named.join(F.broadcast(chosen), F.col("_doc") == F.col("_id")).select("text", "toxic").dropDuplicates()
     used = common.written(used)
     counted = used.mapInArrow(lambda b: _counts(b, "text"), "form long, toxic long, clean long")
-    counted = counted.groupBy("form").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+    counted = common.written(counted.groupBy("form").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")).where("toxic > 0"))
     sizes = {r.toxic: r["count"] for r in used.groupBy("toxic").count().collect()}
     if not sizes.get(0) or not sizes.get(1):
         return None
-    share, forms = sizes[1] / (sizes[0] + sizes[1]), counted.where("toxic > 0").count()
+    share, forms = sizes[1] / (sizes[0] + sizes[1]), counted.count()
     least = max(LEAST_DOCUMENTS, int(LEAST_SHARE * sizes[1]), math.ceil(math.log(BY_CHANCE / max(forms, 1)) / math.log(share)))
     counted = counted.where((F.col("toxic") >= least) & (F.col("clean") <= CLEAN_SHARE * F.col("toxic")))
     candidates = {r.form: (r.toxic, r.clean) for r in counted.collect()}
