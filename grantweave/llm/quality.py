@@ -1,10 +1,16 @@
-"""Quality classifier: random-indexing vectors pooled by document, and a small calibrated network.
+"""Quality classifier: random-indexing word vectors pooled by document, and a small calibrated network.
 
-A token is read as three units: the token in lower case, its last bytes and its shape (runs of letter
-cases, digits and signs). Units fall into UNITS hash classes, a bound that no corpus moves. Every unit
-has a sparse random index vector; its context vector gathers the index vectors of the units next to it
-over the whole corpus, so units that occur alike point alike. A document's vector pools index and
-context vectors of its units.
+A token is a word in lower case; its last bytes and its shape (runs of letter cases, digits and signs)
+are read beside it. Each of the three has a sparse random index vector that follows from its own hash.
+A word's context vector is the sum of the index vectors of the words next to it over the whole corpus,
+so words that occur alike point alike; every word has its own, however many there are. A document's
+vector pools the index vectors of its words, endings and shapes and the context vectors of its words.
+
+1. Each task reads blocks of texts. A block sends each distinct word once, with the sums of its
+   neighbours in the block, to the word's bucket, and packs which words its documents hold.
+2. A bucket adds the blocks' sums, whole numbers, and answers each block with its words' vectors.
+3. Answers and packed documents meet by block and become pooled vectors, written once: the network
+   learns from the labelled ones, and scores are read off all of them.
 
 A network with one hidden layer learns labels from the pooled vectors of at most SAMPLE labelled rows
 (those with the smallest hashes of their ids); a part of them is held back to choose the temperature
@@ -12,12 +18,14 @@ that calibrates its probabilities. Statistics and scores cover all rows and whol
 
 Null, empty and wordless texts have zero vectors and get the network's answer to those. Without
 labelled rows of both classes every score is the share of ones, or 0.5 without any. Rows with null ids
-are scored. Repeated rows give repeated results. Extra columns stay.
+are scored. Repeated rows give repeated results, whatever block they are in. Extra columns stay.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -28,19 +36,20 @@ from grantweave.llm import common
 
 #: Labelled rows that are learned from, at most.
 SAMPLE = 20_000
-UNITS = 1 << 13
+#: Entries of a vector.
 WIDTH = 32
 #: Entries of an index vector that aren't 0.
 NONZERO = 2
 ENDING = 3
-PIECE = 1 << 18
+PIECE = 1 << 20
+#: Bytes of text in a block, and of a corpus for each bucket of words.
+BLOCK = 32 << 20
+BUCKET = 32 << 20
+#: Bytes of a word's hash that travel; its bucket tells it apart further.
+SENT = 6
 HIDDEN = 32
-
-_rng = np.random.default_rng(11)
-_PLACES = np.argsort(_rng.random((UNITS, WIDTH)), axis=1)[:, :NONZERO]
-_SIGNS = _rng.choice([-1.0, 1.0], (UNITS, NONZERO))
-INDEX = np.zeros((UNITS, WIDTH), np.float32)
-np.put_along_axis(INDEX, _PLACES, _SIGNS.astype(np.float32), axis=1)
+#: Length of a context vector, whose entries are rounded to whole numbers.
+UNIT = 127
 
 #: Classes of bytes in shapes: capital, small, digit, beyond ASCII, and each sign for itself.
 SHAPE = np.arange(256, dtype=np.uint8)
@@ -48,11 +57,11 @@ SHAPE[65:91], SHAPE[97:123], SHAPE[48:58], SHAPE[128:] = 65, 97, 48, 97
 
 
 def units(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Three unit numbers for each token, and each text's first token."""
+    """Hashes of each token's word, ending and shape, and each text's first token."""
     low = common.LOWER[data]
     starts, ends, first = common.word_bounds(low, offsets, common.SPACED)
     if not len(starts):
-        return np.zeros((0, 3), np.int64), first
+        return np.zeros((0, 3), np.uint64), first
     hashes = common.RangeHash(low)
     shape = SHAPE[data]
     # The shape without repeats: only bytes that differ from the one before, or begin a token.
@@ -62,67 +71,217 @@ def units(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     runs = common.RangeHash(shape[at])
     place = np.searchsorted(at, starts), np.searchsorted(at, ends)
     three = np.stack([hashes.of(starts, ends), hashes.of(np.maximum(starts, ends - ENDING), ends) ^ np.uint64(0xABCDEF), runs.of(*place) ^ np.uint64(0x123456789)], axis=1)
-    return (common.mix(three) % np.uint64(UNITS)).astype(np.int64), first
-
-
-def context_sums(docs: DataFrame, text: str) -> np.ndarray:
-    """The context vectors: summed index vectors of left and right neighbours, by unit."""
+    return common.mix(three), first
+
+
+def index_entries(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places and signs of the NONZERO entries of each hash's index vector."""
+    places, signs = np.zeros((2, len(hashes), NONZERO), np.int64)
+    for z in range(NONZERO):
+        h = common.mix(hashes ^ np.uint64(0x9E3779B97F4A7C15 >> z))
+        places[:, z] = h % np.uint64(WIDTH)
+        signs[:, z] = (h >> np.uint64(40) & np.uint64(1)).astype(np.int64) * 2 - 1
+    return places, signs
+
+
+def index_sums(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """For each text the sum of its tokens' index vectors."""
+    places, signs = index_entries(hashes)
+    row = np.repeat(np.arange(len(first) - 1), np.diff(first))
+    cell = (row[:, None] * WIDTH + places).ravel()
+    return np.bincount(cell, signs.ravel(), (len(first) - 1) * WIDTH).reshape(-1, WIDTH)
+
+
+def context_sums(words: np.ndarray, hashes: np.ndarray, row: np.ndarray, count: int) -> np.ndarray:
+    """For each of count words the summed index vectors of its left and right neighbours in a text."""
+    places, signs = index_entries(hashes)
+    sums = np.zeros(count * WIDTH, np.int32)
+    near = np.flatnonzero(row[1:] == row[:-1])
+    for own, other in ((near, near + 1), (near + 1, near)):
+        for z in range(NONZERO):
+            np.add.at(sums, words[own] * WIDTH + places[other, z], signs[other, z].astype(np.int32))
+    return sums.reshape(count, WIDTH)
+
+
+def context_vectors(sums: np.ndarray) -> np.ndarray:
+    """Sums as whole numbers at length UNIT; none where there are no neighbours."""
+    length = np.sqrt((sums.astype(np.float64) ** 2).sum(axis=1, keepdims=True))
+    return np.rint(sums * (UNIT / np.where(length, length, 1))).astype(np.int8)
+
+
+def _squeezed(values: np.ndarray) -> bytes:
+    """Whole numbers as planes of their bytes, small ones first, compressed."""
+    if not values.size:
+        return b""
+    planes = np.ascontiguousarray(values.reshape(-1, 1)).view(np.uint8).reshape(values.size, -1).T
+    return pa.compress(np.ascontiguousarray(planes).tobytes(), "zstd", asbytes=True)
+
+
+def _restored(data: pa.Scalar, kind: str, size: int) -> np.ndarray:
+    if not size:
+        return np.zeros(0, kind)
+    width = np.dtype(kind).itemsize
+    planes = np.frombuffer(pa.decompress(data.as_buffer(), size * width, "zstd"), np.uint8).reshape(width, size)
+    return np.ascontiguousarray(planes.T).view(kind).ravel()
+
+
+def _zigzag(x: np.ndarray) -> np.ndarray:
+    return ((x << 1) ^ (x >> 31)).astype(np.uint32)
+
+
+def _unzigzag(x: np.ndarray) -> np.ndarray:
+    return (x >> 1).astype(np.int32) ^ -(x & 1).astype(np.int32)
+
+
+_X = "_pooled_vector"
+#: target: a bucket of words, or below 0 where a block's own documents only pass.
+_SENT = "target long, bucket int, block long, size long, words binary, sums binary, bag binary, rows binary"
+_MET = "block long, bucket int, size long, vectors binary, words binary, bag binary, rows binary"
+
+
+def _row(ddl: str, **values) -> pa.RecordBatch:
+    """One row; columns without a value are null."""
+    kinds = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary()}
+    names = [c.split() for c in ddl.split(", ")]
+    return pa.RecordBatch.from_arrays([pa.array([values.get(n)], kinds[k]) for n, k in names], names=[n for n, _ in names])
+
+
+def _blocks(text: str, keep: list[str], buckets: int, sums: bool, bags: bool):
+    """What the blocks of a frame send: their words by bucket and, with bags, their documents."""
+
+    def block(held: list) -> Iterator[pa.RecordBatch]:
+        hashes = np.concatenate([h[0] for h in held])
+        sizes = np.concatenate([h[1] for h in held])
+        row = np.repeat(np.arange(len(sizes)), sizes)
+        _, at, words = np.unique(hashes, return_index=True, return_inverse=True)
+        # Words are numbered as they come first, so frequent ones have small numbers.
+        order = np.argsort(at)
+        number = np.empty(len(at), np.int64)
+        number[order] = np.arange(len(at))
+        words, own = number[words], hashes[at[order]]
+        bucket = common.mix(own) % np.uint64(buckets)
+        near = context_sums(words, hashes, row, len(own)) if sums else None
+        name = -1
+        if bags:
+            text_rows = pa.Table.from_batches([h[2] for h in held]).combine_chunks()
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, text_rows.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+                out.write_table(text_rows)
+            kept = sink.getvalue().to_pybytes()
+            # A block's number follows from what it holds; equal blocks may share it and their vectors.
+            name = int(common.mix(np.array([zlib.crc32(kept) << 32 ^ len(own)], np.uint64) + hashes.sum(dtype=np.uint64))[0] >> np.uint64(2))
+            held_words, times = np.unique(row * max(len(own), 1) + words, return_counts=True)
+            doc, word = np.divmod(held_words, max(len(own), 1))
+            step = np.diff(word, prepend=0)
+            step[np.diff(doc, prepend=-1) > 0] = word[np.diff(doc, prepend=-1) > 0]
+            index = _zigzag(np.concatenate([h[3] for h in held]).astype(np.int32))
+            parts = [np.bincount(doc, minlength=len(sizes)).astype(np.uint32), step.astype(np.uint32), times.astype(np.uint32), index]
+            packed = [_squeezed(x) for x in parts]
+            lengths = np.array([len(sizes), len(step), *map(len, packed)], np.int64).tobytes()
+            yield _row(_SENT, target=-1 - name, block=name, size=len(own), words=_squeezed(bucket.astype(np.uint32)), bag=lengths + b"".join(packed), rows=kept)
+        for b, (mine,) in common.packed(bucket.astype(np.int64), buckets, np.arange(len(own))):
+            sent = _squeezed(_zigzag(near[mine]).ravel()) if sums else None
+            cut = own[mine].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :SENT]
+            yield _row(_SENT, target=b, bucket=b, block=name, size=len(mine), words=np.ascontiguousarray(cut).tobytes(), sums=sent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(UNITS * WIDTH)
-        for _, data, offsets in common.pieces(batches, text, 4 * PIECE):
+        held, size = [], 0
+        for rows, data, offsets in common.pieces(batches, text, PIECE):
             found, first = units(data, offsets)
-            row = np.searchsorted(first, np.arange(len(found)), "right") - 1
-            for k in range(3):
-                own = found[:, k]
-                for a, b in ((own[:-1], own[1:]), (own[1:], own[:-1])):
-                    same = row[1:] == row[:-1]
-                    for z in range(NONZERO):
-                        total += np.bincount(a[same] * WIDTH + _PLACES[b[same], z], _SIGNS[b[same], z], UNITS * WIDTH)
-        yield pa.RecordBatch.from_arrays([pa.array([0], pa.int32()), pa.array([total.astype(np.float32).tobytes()], pa.binary())], names=["part", "sums"])
-
-    # Tasks' sums have one size whatever they have read; they meet in parts and in two steps.
-    parts, width = 16, 256
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in run(batches):
-            sums = np.frombuffer(batch.column("sums")[0].as_buffer(), np.float32).reshape(parts, -1)
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(parts, dtype=np.int32)), pa.array([s.tobytes() for s in sums], pa.binary())], names=["part", "sums"])
-
-    def added(key: tuple, group: pa.Table) -> pa.Table:
-        total = np.zeros(UNITS * WIDTH // parts)
-        for x in group.column("sums"):
-            total += np.frombuffer(x.as_buffer(), np.float32)
-        return pa.table([pa.array([key[0].as_py()], pa.int32()), pa.array([total.astype(np.float32).tobytes()], pa.binary())], names=["part", "sums"])
-
-    kind = "part int, sums binary"
-    halves = docs.select(text).mapInArrow(cut, kind)
-    halves = halves.groupBy("part", (F.spark_partition_id() % width).alias("_")).applyInArrow(added, kind)
-    rows = halves.groupBy("part").applyInArrow(added, kind).orderBy("part").collect()
-    if not rows:
-        return np.zeros((UNITS, WIDTH), np.float32)
-    return np.concatenate([np.frombuffer(r.sums, np.float32) for r in rows]).reshape(UNITS, WIDTH)
-
-
-def unit_vectors(docs: DataFrame, text: str) -> np.ndarray:
-    """Index and context vector of each unit, the context of length 1."""
-    context = context_sums(docs, text)
-    length = np.linalg.norm(context, axis=1, keepdims=True)
-    return np.concatenate([INDEX, context / np.where(length, length, 1)], axis=1).astype(np.float32)
-
-
-def pooled(data: np.ndarray, offsets: np.ndarray, vectors: np.ndarray) -> np.ndarray:
-    """For each text the mean vectors of its tokens' three units, and the logarithm of its length."""
-    found, first = units(data, offsets)
-    counts = np.diff(first)
-    out = np.zeros((len(counts), 3 * vectors.shape[1] + 1), np.float32)
-    full = np.flatnonzero(counts)
-    if len(full):
-        for k in range(3):
-            sums = np.add.reduceat(vectors[found[:, k]], first[full], axis=0)
-            out[full, k * vectors.shape[1] : (k + 1) * vectors.shape[1]] = sums / counts[full, None]
-        out[full, -1] = np.log1p(counts[full])
-    return out
+            index = np.concatenate([index_sums(found[:, k], first) for k in range(3)], axis=1) if bags else None
+            held.append((found[:, 0].copy(), np.diff(first), rows.select(keep) if bags else None, index))
+            size += len(data)
+            if size >= BLOCK:
+                yield from block(held)
+                held, size = [], 0
+        if held:
+            yield from block(held)
+
+    return run
+
+
+def _answers(key: tuple, group: pa.Table) -> pa.Table:
+    """The vectors of a bucket's words for every block that asks; documents pass."""
+    if key[0].as_py() < 0:
+        return group.append_column("vectors", pa.nulls(len(group), pa.binary())).select([c.split()[0] for c in _MET.split(", ")])
+    sizes = group.column("size").to_pylist()
+    asked = []
+    for data in group.column("words"):
+        wide = np.zeros((len(data.as_buffer()) // SENT, 8), np.uint8)
+        wide[:, :SENT] = np.frombuffer(data.as_buffer(), np.uint8).reshape(-1, SENT)
+        asked.append(wide.view("<u8").ravel())
+    known = np.unique(np.concatenate(asked))
+    total = np.zeros((len(known), WIDTH), np.int64)
+    for words, sums, size in zip(asked, group.column("sums"), sizes, strict=True):
+        if sums.is_valid:
+            # Two words of a block may share the bytes of their hash that are sent.
+            np.add.at(total, np.searchsorted(known, words), _unzigzag(_restored(sums, "<u4", size * WIDTH)).reshape(size, WIDTH))
+    vectors = context_vectors(total)
+    out = [
+        _row(_MET, block=block, bucket=key[0].as_py(), size=size, vectors=pa.compress(np.ascontiguousarray(vectors[np.searchsorted(known, words)]).tobytes(), "zstd", asbytes=True))
+        for words, block, size in zip(asked, group.column("block").to_pylist(), sizes, strict=True) if block >= 0
+    ]
+    return pa.Table.from_batches(out, _row(_MET).schema)
+
+
+def _pooled(keep: list[str]):
+    """The kept columns and pooled vectors of a block's documents."""
+
+    def run(key: tuple, group: pa.Table) -> pa.Table:
+        vectors, tables = {}, []
+        holds = group.column("bag").is_valid().to_pylist()
+        for k in np.flatnonzero(~np.array(holds)):
+            size = group.column("size")[int(k)].as_py()
+            data = pa.decompress(group.column("vectors")[int(k)].as_buffer(), size * WIDTH, "zstd")
+            vectors[group.column("bucket")[int(k)].as_py()] = np.frombuffer(data, np.int8).reshape(size, WIDTH)
+        for k in np.flatnonzero(holds):
+            count = group.column("size")[int(k)].as_py()
+            bucket = _restored(group.column("words")[int(k)], "<u4", count)
+            context = np.zeros((count, WIDTH), np.int8)
+            for b, found in vectors.items():
+                context[bucket == b] = found
+            bag = memoryview(group.column("bag")[int(k)].as_buffer())
+            docs, entries, *lengths = np.frombuffer(bag[:48], np.int64).tolist()
+            ends = np.cumsum([48, *lengths]).tolist()
+            parts = [pa.scalar(bytes(bag[a:b]), pa.binary()) for a, b in zip(ends[:-1], ends[1:], strict=True)]
+            sizes = _restored(parts[0], "<u4", docs).astype(np.int64)
+            steps, times = (_restored(p, "<u4", entries).astype(np.int64) for p in parts[1:3])
+            first = np.cumsum(sizes) - sizes
+            full = np.flatnonzero(sizes)
+            words = np.cumsum(steps)
+            # Steps begin anew in each document.
+            words -= np.repeat((words - steps)[first[full]], sizes[full])
+            rows = pa.ipc.open_stream(group.column("rows")[int(k)].as_buffer()).read_all().combine_chunks()
+            index = _unzigzag(_restored(parts[3], "<u4", docs * 3 * WIDTH)).reshape(docs, 3 * WIDTH)
+            x = np.concatenate([index, np.zeros((docs, WIDTH + 1))], axis=1)
+            owner = np.repeat(np.arange(docs), sizes)
+            for a in range(0, entries, PIECE // 16):
+                some = slice(a, a + PIECE // 16)
+                begin = np.flatnonzero(np.diff(owner[some], prepend=-1))
+                x[owner[some][begin], 3 * WIDTH : -1] += np.add.reduceat(context[words[some]] * times[some, None], begin, axis=0)
+            x[:, 3 * WIDTH : -1] /= UNIT
+            tokens = np.zeros(docs)
+            tokens[full] = np.add.reduceat(times, first[full]) if len(full) else 0
+            x[:, :-1] /= np.maximum(tokens, 1)[:, None]
+            x[:, -1] = np.log1p(tokens)
+            made = pa.array([v.tobytes() for v in x.astype(np.float16)], pa.binary())
+            tables.append(rows.select(keep).append_column(_X, made))
+        return pa.concat_tables(tables)
+
+    return run
+
+
+def pooled(docs: DataFrame, corpus: DataFrame, text: str, keep: list[str], corpus_text: str | None = None) -> DataFrame:
+    """The kept columns of docs and the pooled vector of each text, by word vectors of the corpus."""
+    same = docs is corpus
+    buckets = common.bucket_count(docs.sparkSession, common.text_total(corpus, corpus_text or text), BUCKET)
+    sent = docs.select(*dict.fromkeys([*keep, text])).mapInArrow(_blocks(text, keep, buckets, same, True), _SENT)
+    if not same:
+        others = corpus.select(corpus_text or text)
+        sent = sent.union(others.mapInArrow(_blocks(corpus_text or text, [], buckets, True, False), _SENT))
+    met = sent.groupBy("target").applyInArrow(_answers, _MET)
+    kind = common.extended(docs.select(*keep), f"{_X} binary")
+    return common.written(met.groupBy("block").applyInArrow(_pooled(keep), kind))
 
 
 class Network:
@@ -171,46 +330,58 @@ def _loss(logits: np.ndarray, y: np.ndarray) -> float:
     return float(-(y * np.log(p) + (1 - y) * np.log(1 - p)).mean())
 
 
-def learn(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "quality", sample: int = SAMPLE):
-    """(unit vectors, network), or a constant where one class is missing."""
-    rows = labels.where(F.col(label).isin(0, 1) & F.col(doc_id).isNotNull()).select(F.col(doc_id).alias("_id"), F.col(label).cast("int").alias("_label")).distinct()
-    chosen = common.written(rows.orderBy(F.xxhash64("_id"), "_id").limit(sample))
-    vectors = unit_vectors(docs, text)
-    sent = docs.sparkSession.sparkContext.broadcast(vectors)
+@dataclass
+class Model:
+    """A network, the corpus of its word vectors, and that corpus's pooled vectors."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, data, offsets in common.pieces(batches, "_text", PIECE):
-            x = pooled(data, offsets, sent.value)
-            yield pa.RecordBatch.from_arrays([rows.column("_id"), rows.column("_label"), pa.array([v.tobytes() for v in x], pa.binary())], names=["id", "label", "x"])
-
-    used = docs.join(F.broadcast(chosen), F.col(doc_id) == F.col("_id")).select("_id", "_label", F.col(text).alias("_text"))
-    kind = chosen.schema["_id"].dataType.simpleString()
-    found = sorted(used.mapInArrow(run, f"id {kind}, label int, x binary").collect(), key=lambda r: (hash(r.id), r.x))
-    y = np.array([r.label for r in found], float)
+    network: Network
+    corpus: DataFrame
+    text: str
+    vectors: DataFrame
+
+
+def _matrix(values: list[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(values), np.float16).reshape(len(values), -1).astype(float)
+
+
+def learn(
+    docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "quality",
+    sample: int = SAMPLE, keep: list[str] | None = None,
+) -> Model | float:
+    """A model, or a constant where one class is missing. Scores of docs themselves have the columns of keep (all)."""
+    keep = list(dict.fromkeys([doc_id, *(keep if keep is not None else docs.columns)]))
+    rows = labels.where(F.col(label).isin(0, 1) & F.col(doc_id).isNotNull()).select(F.col(doc_id).alias("_id"), F.col(label).cast("int").alias("_label")).distinct()
+    chosen = common.written(rows.orderBy(F.xxhash64("_id"), "_id", "_label").limit(sample))
+    vectors = pooled(docs, docs, text, [c for c in keep if c != _X])
+    used = vectors.select(F.col(doc_id).alias("_own"), F.col(_X).alias("_x")).join(F.broadcast(chosen), F.col("_own") == F.col("_id"))
+    found = sorted(used.select("_id", "_label", "_x").collect(), key=lambda r: (zlib.crc32(str(r["_id"]).encode()), bytes(r["_x"]), r["_label"]))
+    y = np.array([r["_label"] for r in found], float)
     if len(set(y.tolist())) < 2:
         return float(y.mean()) if len(y) else 0.5
-    return vectors, Network(np.array([np.frombuffer(r.x, np.float32) for r in found], float), y)
+    return Model(Network(_matrix([bytes(r["_x"]) for r in found]), y), docs, text, vectors)
 
 
-def score(docs: DataFrame, model, text: str = "text", column: str = "score") -> DataFrame:
+def score(docs: DataFrame, model: Model | float, text: str = "text", column: str = "score") -> DataFrame:
     """Adds the probability of label 1; model comes from learn()."""
-    plain = docs.drop(column)
     if isinstance(model, float):
-        return plain.withColumn(column, F.lit(model))
-    sent, names = docs.sparkSession.sparkContext.broadcast(model), plain.columns
+        return docs.drop(column).withColumn(column, F.lit(model))
+    if docs is model.corpus:
+        vectors = model.vectors.drop(column)
+    else:
+        vectors = pooled(docs, model.corpus, text, [c for c in docs.columns if c not in (column, _X)], model.text)
+    sent, names = docs.sparkSession.sparkContext.broadcast(model.network), [c for c in vectors.columns if c != _X]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vectors, network = sent.value
-        for rows, data, offsets in common.pieces(batches, text, PIECE):
-            p = network.probability(pooled(data, offsets, vectors).astype(float))
-            yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(p)], names=[*names, column])
+        for rows in batches:
+            p = sent.value.probability(_matrix(rows.column(_X).to_pylist())) if rows.num_rows else np.zeros(0)
+            yield pa.RecordBatch.from_arrays([*(rows.column(c) for c in names), pa.array(p, pa.float64())], names=[*names, column])
 
-    return plain.mapInArrow(run, common.extended(plain, f"{column} double"))
+    return vectors.mapInArrow(run, common.extended(vectors.select(*names), f"{column} double"))
 
 
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = common.table(spark, sf_dir, "labels").where(common.in_fold("doc_id", 5) != 0)
-    return score(docs, learn(docs, labels)).select(
+    return score(docs, learn(docs, labels, keep=["doc_id"])).select(
         "doc_id", (common.in_fold("doc_id", 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted")
     )
