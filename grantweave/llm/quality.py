@@ -4,7 +4,9 @@ A token is a word in lower case; its last bytes and its shape (runs of letter ca
 are read beside it. Each of the three has a sparse random index vector that follows from its own hash.
 A word's context vector is the sum of the index vectors of the words next to it over the whole corpus,
 so words that occur alike point alike; every word has its own, however many there are. A document's
-vector pools the index vectors of its words, endings and shapes and the context vectors of its words.
+vector pools the index vectors of its words, endings and shapes and the context vectors of its words, and
+has, as repeats don't show in a mean, the share of words that repeat the one before and the logarithms
+of its numbers of words and of distinct words.
 
 1. Each task reads blocks of texts. A block sends each distinct word once, with the sums of its
    neighbours in the block, to the word's bucket, and packs which words its documents hold.
@@ -13,8 +15,8 @@ vector pools the index vectors of its words, endings and shapes and the context
    learns from the labelled ones, and scores are read off all of them.
 
 A network with one hidden layer learns labels from the pooled vectors of at most SAMPLE labelled rows
-(those with the smallest hashes of their ids); a part of them is held back to choose the temperature
-that calibrates its probabilities. Statistics and scores cover all rows and whole texts.
+(those with the smallest hashes of their ids); a part of them is held back to choose the weight
+decay and the temperature that calibrates its probabilities. Statistics and scores cover all rows and whole texts.
 
 Null, empty and wordless texts have zero vectors and get the network's answer to those. Without
 labelled rows of both classes every score is the share of ones, or 0.5 without any. Rows with null ids
@@ -38,6 +40,8 @@ from grantweave.llm import common
 SAMPLE = 20_000
 #: Entries of a vector.
 WIDTH = 32
+#: Sums that a text gives by itself: index vectors of words, endings and shapes, and repeats.
+OWN = 3 * WIDTH + 1
 #: Entries of an index vector that aren't 0.
 NONZERO = 2
 ENDING = 3
@@ -48,8 +52,9 @@ BUCKET = 32 << 20
 #: Bytes of a word's hash that travel; its bucket tells it apart further.
 SENT = 6
 HIDDEN = 32
+DECAYS = (1e-4, 1e-3, 3e-3, 1e-2, 3e-2)
 #: Length of a context vector, whose entries are rounded to whole numbers.
-UNIT = 127
+UNIT = 31
 
 #: Classes of bytes in shapes: capital, small, digit, beyond ASCII, and each sign for itself.
 SHAPE = np.arange(256, dtype=np.uint8)
@@ -92,21 +97,34 @@ def index_sums(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
     return np.bincount(cell, signs.ravel(), (len(first) - 1) * WIDTH).reshape(-1, WIDTH)
 
 
-def context_sums(words: np.ndarray, hashes: np.ndarray, row: np.ndarray, count: int) -> np.ndarray:
-    """For each of count words the summed index vectors of its left and right neighbours in a text."""
-    places, signs = index_entries(hashes)
-    sums = np.zeros(count * WIDTH, np.int32)
+def repeat_counts(words: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """For each text the number of tokens that repeat the one before, as a column."""
+    same = np.zeros(len(words), np.int64)
+    same[1:] = words[1:] == words[:-1]
+    same[first[:-1][np.diff(first) > 0]] = 0
+    sums = np.concatenate([[0], np.cumsum(same)])
+    return np.diff(sums[first])[:, None]
+
+
+def add_neighbours(sums: np.ndarray, words: np.ndarray, row: np.ndarray, places: np.ndarray, signs: np.ndarray) -> None:
+    """Adds to each word's sums the index vectors of its left and right neighbours in a text."""
     near = np.flatnonzero(row[1:] == row[:-1])
     for own, other in ((near, near + 1), (near + 1, near)):
         for z in range(NONZERO):
-            np.add.at(sums, words[own] * WIDTH + places[other, z], signs[other, z].astype(np.int32))
-    return sums.reshape(count, WIDTH)
+            np.add.at(sums, (words[own], places[words[other], z]), signs[words[other], z].astype(np.int32))
 
 
 def context_vectors(sums: np.ndarray) -> np.ndarray:
     """Sums as whole numbers at length UNIT; none where there are no neighbours."""
-    length = np.sqrt((sums.astype(np.float64) ** 2).sum(axis=1, keepdims=True))
-    return np.rint(sums * (UNIT / np.where(length, length, 1))).astype(np.int8)
+    out = np.zeros(sums.shape, np.int8)
+    for a in range(0, len(sums), 1 << 14):
+        some = sums[a : a + (1 << 14)].astype(np.float64)
+        length = np.sqrt((some**2).sum(axis=1, keepdims=True))
+        out[a : a + (1 << 14)] = np.rint(some * (UNIT / np.where(length, length, 1)))
+    return out
+
+
+_CODEC = pa.Codec("zstd", compression_level=9)
 
 
 def _squeezed(values: np.ndarray) -> bytes:
@@ -114,7 +132,7 @@ def _squeezed(values: np.ndarray) -> bytes:
     if not values.size:
         return b""
     planes = np.ascontiguousarray(values.reshape(-1, 1)).view(np.uint8).reshape(values.size, -1).T
-    return pa.compress(np.ascontiguousarray(planes).tobytes(), "zstd", asbytes=True)
+    return _CODEC.compress(np.ascontiguousarray(planes).tobytes(), asbytes=True)
 
 
 def _restored(data: pa.Scalar, kind: str, size: int) -> np.ndarray:
@@ -150,35 +168,44 @@ def _blocks(text: str, keep: list[str], buckets: int, sums: bool, bags: bool):
     """What the blocks of a frame send: their words by bucket and, with bags, their documents."""
 
     def block(held: list) -> Iterator[pa.RecordBatch]:
-        hashes = np.concatenate([h[0] for h in held])
-        sizes = np.concatenate([h[1] for h in held])
-        row = np.repeat(np.arange(len(sizes)), sizes)
-        _, at, words = np.unique(hashes, return_index=True, return_inverse=True)
+        sizes = np.concatenate([h[2] for h in held])
         # Words are numbered as they come first, so frequent ones have small numbers.
+        found, at, number = np.unique(np.concatenate([h[0] for h in held]), return_index=True, return_inverse=True)
         order = np.argsort(at)
-        number = np.empty(len(at), np.int64)
-        number[order] = np.arange(len(at))
-        words, own = number[words], hashes[at[order]]
+        own, rank = found[order], np.empty(len(at), np.int32)
+        rank[order] = np.arange(len(at), dtype=np.int32)
+        cuts = np.cumsum([len(h[0]) for h in held])[:-1]
+        # A piece's words by their numbers, and the row of each token.
+        pieces = [(n[h[1]], np.repeat(np.arange(len(h[2]), dtype=np.int32), h[2])) for n, h in zip(np.split(rank[number], cuts), held, strict=True)] if len(own) else []
         bucket = common.mix(own) % np.uint64(buckets)
-        near = context_sums(words, hashes, row, len(own)) if sums else None
+        near = np.zeros((len(own), WIDTH), np.int32)
+        if sums:
+            entries = index_entries(own)
+            for words, row in pieces:
+                add_neighbours(near, words, row, *entries)
         name = -1
         if bags:
-            text_rows = pa.Table.from_batches([h[2] for h in held]).combine_chunks()
+            text_rows = pa.Table.from_batches([h[3] for h in held]).combine_chunks()
             sink = pa.BufferOutputStream()
             with pa.ipc.new_stream(sink, text_rows.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
                 out.write_table(text_rows)
             kept = sink.getvalue().to_pybytes()
+            cells = [(*np.unique(row * np.int64(len(own)) + words, return_counts=True), len(h[2])) for (words, row), h in zip(pieces, held, strict=False)]
+            steps, lengths = [], []
+            for cell, _, rows in cells:
+                doc, word = np.divmod(cell, len(own))
+                begins = np.diff(doc, prepend=-1) > 0
+                steps.append(np.where(begins, word, np.diff(word, prepend=0)).astype(np.uint32))
+                lengths.append(np.bincount(doc, minlength=rows).astype(np.uint32))
+            none = [np.zeros(0, np.uint32)]
+            step, times = np.concatenate(none + steps), np.concatenate(none + [t.astype(np.uint32) for _, t, _ in cells])
+            lengths = np.concatenate(lengths) if cells else np.zeros(len(sizes), np.uint32)
             # A block's number follows from what it holds; equal blocks may share it and their vectors.
-            name = int(common.mix(np.array([zlib.crc32(kept) << 32 ^ len(own)], np.uint64) + hashes.sum(dtype=np.uint64))[0] >> np.uint64(2))
-            held_words, times = np.unique(row * max(len(own), 1) + words, return_counts=True)
-            doc, word = np.divmod(held_words, max(len(own), 1))
-            step = np.diff(word, prepend=0)
-            step[np.diff(doc, prepend=-1) > 0] = word[np.diff(doc, prepend=-1) > 0]
-            index = _zigzag(np.concatenate([h[3] for h in held]).astype(np.int32))
-            parts = [np.bincount(doc, minlength=len(sizes)).astype(np.uint32), step.astype(np.uint32), times.astype(np.uint32), index]
-            packed = [_squeezed(x) for x in parts]
-            lengths = np.array([len(sizes), len(step), *map(len, packed)], np.int64).tobytes()
-            yield _row(_SENT, target=-1 - name, block=name, size=len(own), words=_squeezed(bucket.astype(np.uint32)), bag=lengths + b"".join(packed), rows=kept)
+            name = int(common.mix(np.array([zlib.crc32(step.tobytes()) << 32 ^ zlib.crc32(kept)], np.uint64) + own.sum(dtype=np.uint64))[0] >> np.uint64(2))
+            index = _zigzag(np.concatenate([h[4] for h in held]).astype(np.int32))
+            packed = [_squeezed(x) for x in (lengths, step, times, index)]
+            head = np.array([len(sizes), len(step), *map(len, packed)], np.int64).tobytes()
+            yield _row(_SENT, target=-1 - name, block=name, size=len(own), words=_squeezed(bucket.astype(np.uint32)), bag=head + b"".join(packed), rows=kept)
         for b, (mine,) in common.packed(bucket.astype(np.int64), buckets, np.arange(len(own))):
             sent = _squeezed(_zigzag(near[mine]).ravel()) if sums else None
             cut = own[mine].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :SENT]
@@ -188,8 +215,13 @@ def _blocks(text: str, keep: list[str], buckets: int, sums: bool, bags: bool):
         held, size = [], 0
         for rows, data, offsets in common.pieces(batches, text, PIECE):
             found, first = units(data, offsets)
-            index = np.concatenate([index_sums(found[:, k], first) for k in range(3)], axis=1) if bags else None
-            held.append((found[:, 0].copy(), np.diff(first), rows.select(keep) if bags else None, index))
+            index = np.concatenate([*(index_sums(found[:, k], first) for k in range(3)), repeat_counts(found[:, 0], first)], axis=1).astype(np.int32) if bags else None
+            # Words in the order of their first places.
+            words, at, number = np.unique(found[:, 0], return_index=True, return_inverse=True)
+            order = np.argsort(at)
+            rank = np.empty(len(at), np.int32)
+            rank[order] = np.arange(len(at), dtype=np.int32)
+            held.append((words[order], rank[number], np.diff(first), rows.select(keep) if bags else None, index))
             size += len(data)
             if size >= BLOCK:
                 yield from block(held)
@@ -218,7 +250,7 @@ def _answers(key: tuple, group: pa.Table) -> pa.Table:
             np.add.at(total, np.searchsorted(known, words), _unzigzag(_restored(sums, "<u4", size * WIDTH)).reshape(size, WIDTH))
     vectors = context_vectors(total)
     out = [
-        _row(_MET, block=block, bucket=key[0].as_py(), size=size, vectors=pa.compress(np.ascontiguousarray(vectors[np.searchsorted(known, words)]).tobytes(), "zstd", asbytes=True))
+        _row(_MET, block=block, bucket=key[0].as_py(), size=size, vectors=_CODEC.compress(np.ascontiguousarray(vectors[np.searchsorted(known, words)]).tobytes(), asbytes=True))
         for words, block, size in zip(asked, group.column("block").to_pylist(), sizes, strict=True) if block >= 0
     ]
     return pa.Table.from_batches(out, _row(_MET).schema)
@@ -252,18 +284,18 @@ def _pooled(keep: list[str]):
             # Steps begin anew in each document.
             words -= np.repeat((words - steps)[first[full]], sizes[full])
             rows = pa.ipc.open_stream(group.column("rows")[int(k)].as_buffer()).read_all().combine_chunks()
-            index = _unzigzag(_restored(parts[3], "<u4", docs * 3 * WIDTH)).reshape(docs, 3 * WIDTH)
-            x = np.concatenate([index, np.zeros((docs, WIDTH + 1))], axis=1)
+            index = _unzigzag(_restored(parts[3], "<u4", docs * OWN)).reshape(docs, OWN)
+            x = np.concatenate([index, np.zeros((docs, WIDTH + 2))], axis=1)
             owner = np.repeat(np.arange(docs), sizes)
             for a in range(0, entries, PIECE // 16):
                 some = slice(a, a + PIECE // 16)
                 begin = np.flatnonzero(np.diff(owner[some], prepend=-1))
-                x[owner[some][begin], 3 * WIDTH : -1] += np.add.reduceat(context[words[some]] * times[some, None], begin, axis=0)
-            x[:, 3 * WIDTH : -1] /= UNIT
+                x[owner[some][begin], OWN:-2] += np.add.reduceat(context[words[some]] * times[some, None], begin, axis=0)
+            x[:, OWN:-2] /= UNIT
             tokens = np.zeros(docs)
             tokens[full] = np.add.reduceat(times, first[full]) if len(full) else 0
-            x[:, :-1] /= np.maximum(tokens, 1)[:, None]
-            x[:, -1] = np.log1p(tokens)
+            x[:, :-2] /= np.maximum(tokens, 1)[:, None]
+            x[:, -2], x[:, -1] = np.log1p(tokens), np.log1p(sizes)
             made = pa.array([v.tobytes() for v in x.astype(np.float16)], pa.binary())
             tables.append(rows.select(keep).append_column(_X, made))
         return pa.concat_tables(tables)
@@ -285,9 +317,9 @@ def pooled(docs: DataFrame, corpus: DataFrame, text: str, keep: list[str], corpu
 
 
 class Network:
-    """Two layers; inputs are standardised, logits divided by the temperature."""
+    """Two layers; inputs are standardised, logits divided by the temperature. loss: on the rows held back."""
 
-    def __init__(self, x: np.ndarray, y: np.ndarray, steps: int = 1500, seed: int = 3):
+    def __init__(self, x: np.ndarray, y: np.ndarray, decay: float, steps: int = 1500, seed: int = 3):
         rng = np.random.default_rng(seed)
         self.mean, self.scale = x.mean(axis=0), x.std(axis=0) + 1e-6
         back = np.arange(len(x)) % 5 == 4
@@ -303,16 +335,18 @@ class Network:
             h = np.tanh(a @ self.w1 + self.b1)
             error = (_sigmoid(h @ self.w2 + self.b2) - t) / len(a)
             back_h = np.outer(error, self.w2) * (1 - h * h)
-            slopes = {"w1": a.T @ back_h + 1e-4 * self.w1, "b1": back_h.sum(axis=0), "w2": h.T @ error + 1e-4 * self.w2, "b2": error.sum()}
+            slopes = {"w1": a.T @ back_h + decay * self.w1, "b1": back_h.sum(axis=0), "w2": h.T @ error + decay * self.w2, "b2": error.sum()}
             for n, g in slopes.items():
                 first[n] = 0.9 * first[n] + 0.1 * g
                 second[n] = 0.999 * second[n] + 0.001 * g * g
                 rate = 3e-3 * (1 - step / (steps + 1))
                 setattr(self, n, getattr(self, n) - rate * (first[n] / (1 - 0.9**step)) / (np.sqrt(second[n] / (1 - 0.999**step)) + 1e-8))
+        self.loss = 0.0
         if back.any():
             logits, truth = self.logits(x[back]), y[back]
             tried = np.geomspace(0.25, 8, 60)
             self.temperature = float(min(tried, key=lambda t: _loss(logits / t, truth)))
+            self.loss = _loss(logits / self.temperature, truth)
 
     def logits(self, x: np.ndarray) -> np.ndarray:
         return np.tanh((x - self.mean) / self.scale @ self.w1 + self.b1) @ self.w2 + self.b2
@@ -321,6 +355,11 @@ class Network:
         return _sigmoid(self.logits(x) / self.temperature)
 
 
+def fitted(x: np.ndarray, y: np.ndarray) -> Network:
+    """The network whose weight decay does best on the rows held back."""
+    return min((Network(x, y, decay) for decay in DECAYS), key=lambda n: n.loss)
+
+
 def _sigmoid(x):
     return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
 
@@ -358,7 +397,7 @@ def learn(
     y = np.array([r["_label"] for r in found], float)
     if len(set(y.tolist())) < 2:
         return float(y.mean()) if len(y) else 0.5
-    return Model(Network(_matrix([bytes(r["_x"]) for r in found]), y), docs, text, vectors)
+    return Model(fitted(_matrix([bytes(r["_x"]) for r in found]), y), docs, text, vectors)
 
 
 def score(docs: DataFrame, model: Model | float, text: str = "text", column: str = "score") -> DataFrame:

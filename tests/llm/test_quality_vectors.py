@@ -34,14 +34,15 @@ def _plain_vectors(texts: list, corpus: list) -> np.ndarray:
     out = []
     for text in texts:
         three = _hashes(text)
-        x = np.zeros(4 * quality.WIDTH + 1)
+        x = np.zeros(quality.OWN + quality.WIDTH + 2)
         for token in three:
             for k in range(3):
                 x[k * quality.WIDTH : (k + 1) * quality.WIDTH] += _index(token[k])
             c = context.get(int(token[0]), np.zeros(quality.WIDTH))
-            x[3 * quality.WIDTH : -1] += np.rint(c * (quality.UNIT / (np.sqrt((c**2).sum()) or 1))) / quality.UNIT
-        x[:-1] /= max(len(three), 1)
-        x[-1] = np.log1p(len(three))
+            x[quality.OWN : -2] += np.rint(c * (quality.UNIT / (np.sqrt((c**2).sum()) or 1))) / quality.UNIT
+        x[quality.OWN - 1] = sum(a[0] == b[0] for a, b in zip(three[1:], three[:-1], strict=True))
+        x[:-2] /= max(len(three), 1)
+        x[-2:] = np.log1p(len(three)), np.log1p(len({int(t[0]) for t in three}))
         out.append(x)
     return np.array(out)
 
