@@ -28,14 +28,14 @@ def folded(text: Column) -> Column:
 
 
 def postings(df: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
-    """(trigram, key): what occurs in any of the columns, once for each row."""
+    """(trigram, key): what occurs in any of the columns, once for each row; rows that share a key repeat it."""
 
     def grams(column: str) -> Column:
         text = F.coalesce(folded(F.col(column)), F.lit(""))
         return F.when(F.length(text) > 2, F.transform(F.sequence(F.lit(1), F.length(text) - 2), lambda i: F.substring(text, i, F.lit(3))))
 
     every = F.flatten(F.array(*[F.coalesce(grams(c), F.array().cast("array<string>")) for c in columns]))
-    return df.where(F.col(key).isNotNull()).select(F.explode(F.array_distinct(every)).alias("trigram"), F.col(key).alias("key")).distinct()
+    return df.where(F.col(key).isNotNull()).select(F.explode(F.array_distinct(every)).alias("trigram"), F.col(key).alias("key"))
 
 
 def write_index(df: DataFrame, key: str, columns: Sequence[str], folder: str) -> None:
@@ -137,8 +137,10 @@ def candidates(folder: str, spark, needle: str, quote: bool = False) -> DataFram
     parts = []
     for grams in wanted:
         rarest = sorted(grams, key=lambda g: n.get(g, 0))[:LOOKUPS]
-        hits = stored.where(F.col("trigram").isin(rarest)).groupBy("key").agg(F.count(F.lit(1)).alias("_n"))
-        parts.append(hits.where(F.col("_n") == len(rarest)).select("key"))
+        # A bit for each trigram, so that a repeated posting counts once.
+        bit = reduce(lambda c, i: c.when(F.col("trigram") == rarest[i], F.lit(1 << i)), range(1, len(rarest)), F.when(F.col("trigram") == rarest[0], F.lit(1)))
+        hits = stored.where(F.col("trigram").isin(rarest)).groupBy("key").agg(F.bit_or(bit).alias("_bits"))
+        parts.append(hits.where(F.col("_bits") == (1 << len(rarest)) - 1).select("key"))
     return reduce(DataFrame.union, parts).distinct()
 
 

@@ -67,3 +67,17 @@ def test_candidates_prune(spark, indexed):
     assert text_index.candidates(folder, spark, "ar") is None and text_index.candidates(folder, spark, "erp|s") is None
     plan = text_index.indexed_search(df, folder, "erp-42", "id", ["name"])._jdf.queryExecution().executedPlan().toString()
     assert "In(trigram" in plan
+
+
+def test_postings_of_repeated_rows(spark):
+    rows = [("r1", "erp soft"), ("r1", "erp soft"), ("r1", "acme"), ("r2", "soft"), (None, "erp soft")]
+    df = spark.createDataFrame(rows, "id string, name string").repartition(3)
+    # No task holds a table of its postings: they go straight to their ranges.
+    plan = text_index.postings(df, "id", ["name"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" not in plan
+    folder = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    text_index.write_index(df, "id", ["name"], folder)
+    for needle, want in (("erp soft", ["r1"]), ("soft", ["r1", "r2"]), ("erp|acme", ["r1"]), ("zzz", [])):
+        assert sorted(r.key for r in text_index.candidates(folder, spark, needle).collect()) == want
+    found = text_index.indexed_search(df.where("id IS NOT NULL"), folder, "soft", "id", ["name"])
+    assert sorted(map(tuple, found.collect())) == [("r1", "erp soft"), ("r1", "erp soft"), ("r2", "soft")]
