@@ -31,6 +31,8 @@ SAMPLE = (16_000, 4_000)
 #: A form must be in so many toxic documents and in such a share of the sample's, and in few clean
 #: ones for each of them; and in so many that fewer than BY_CHANCE forms would be in toxic ones alone if labels were drawn.
 LEAST_DOCUMENTS, LEAST_SHARE, CLEAN_SHARE, BY_CHANCE = 4, 0.002, 0.02, 0.01
+#: Forms that a task counts apart before it sums them.
+FOLD = 1 << 18
 #: Lengths in bytes of the word beginnings that may be forms, besides whole words (0).
 LENGTHS = (0, 4, 5, 6, 7)
 
@@ -170,21 +172,35 @@ def clause_sums(data: np.ndarray, offsets: np.ndarray, lexicon: Lexicon) -> np.n
     return sums
 
 
+def _summed(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The parts' (form, toxic, documents) with each form once."""
+    forms, place = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
+    return forms, *(np.bincount(place, np.concatenate([p[k] for p in parts]), len(forms)).astype(np.int32) for k in (1, 2))
+
+
 def _counts(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[pa.RecordBatch]:
-    """(form, toxic, clean): how many documents of either class hold a form, summed by task."""
-    held: list[tuple] = []
+    """(form, toxic, clean): how many documents of either class hold a form, summed by task.
+
+    Sums are taken as the texts come, so a task holds its distinct forms and at most as many again.
+    """
+    held, waiting, most = [], 0, FOLD
     for rows, data, offsets in common.pieces(batches, text):
         words, toxic = RangeWords(data, offsets), rows.column("toxic").to_numpy(zero_copy_only=False)
         doc = np.searchsorted(words.first, np.arange(len(words.starts)), "right") - 1
         for n in LENGTHS:
             h, usable = words.of(n)
             pairs = np.unique(np.rec.fromarrays([_form(h, n)[usable], doc[usable]]))
-            held.append((pairs["f0"], toxic[pairs["f1"]]))
+            part = _summed([(pairs["f0"], toxic[pairs["f1"]], np.ones(len(pairs), np.int32))])
+            held.append(part)
+            waiting += len(part[0])
+            if waiting > most:
+                held = [_summed(held)]
+                waiting = len(held[0][0])
+                most = max(FOLD, 2 * waiting)
     if held:
-        forms, place = np.unique(np.concatenate([h for h, _ in held]), return_inverse=True)
-        toxic = np.bincount(place, np.concatenate([t for _, t in held])).astype(np.int64)
-        clean = np.bincount(place) - toxic
-        yield pa.RecordBatch.from_arrays([pa.array(forms.view(np.int64)), pa.array(toxic), pa.array(clean)], names=["form", "toxic", "clean"])
+        forms, toxic, every = _summed(held)
+        sums = [pa.array(c.astype(np.int64)) for c in (toxic, every - toxic)]
+        yield pa.RecordBatch.from_arrays([pa.array(forms.view(np.int64)), *sums], names=["form", "toxic", "clean"])
 
 
 def _form(h: np.ndarray, length: int) -> np.ndarray:

@@ -5,11 +5,13 @@ import hashlib
 import math
 import random
 import re
+import tracemalloc
 import zlib
 
 import duckdb
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
@@ -132,6 +134,27 @@ def test_toxicity_learns_words_and_stems(spark, make):
     assert toxicity.score(make([]), toxicity.learn(docs, train)).count() == 0
 
 
+def test_form_counts_hold_each_form_once(monkeypatch):
+    rng = random.Random(7)
+    words = [f"w{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(300)]
+    texts = [" ".join(rng.choices(words, k=200)) for _ in range(3000)]
+    batch = pa.RecordBatch.from_pydict({"text": texts, "toxic": pa.array([int(i % 4 == 0) for i in range(3000)], pa.int32())})
+    want = collections.defaultdict(lambda: [0, 0])
+    for i, text in enumerate(texts):
+        for form in {(n, w[:n] if n else w) for w in text.split() for n in toxicity.LENGTHS if len(w) >= n}:
+            want[form][i % 4 > 0] += 1
+    batches = [batch.slice(at, 50) for at in range(0, 3000, 50)]
+    monkeypatch.setattr(toxicity, "FOLD", 2000)
+    tracemalloc.start()
+    got, = toxicity._counts(iter(batches), "text")
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    forms = {int(toxicity._form(np.array([toxicity.hash_of(w.encode())], np.uint64), n)[0]): c for (n, w), c in want.items()}
+    pairs = zip(got["form"].to_numpy().view(np.uint64).tolist(), got["toxic"].to_pylist(), got["clean"].to_pylist(), strict=True)
+    assert {f: [t, c] for f, t, c in pairs} == forms
+    assert most < 4e6  # 31.7 MB when all texts' forms were held to the end
+
+
 # ---------------------------------------------------------------- embeddings
 
 
