@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import os
 import re
 import sys
 import unicodedata
@@ -66,8 +67,20 @@ def let(value: Column, use: Callable[[Column], Column]) -> Column:
 
 
 def one_of(texts: Iterable[str]) -> str:
-    """A pattern for any of some literal texts, the longest that fits first."""
-    return "|".join(re.sub(r"([^A-Za-z0-9 ])", r"\\\1", t) for t in sorted(texts, key=lambda t: (-len(t), t)))
+    """A pattern for any of some literal texts, the longest that fits first; texts are told apart by their first characters."""
+    groups: dict[str, list[str]] = {}
+    for t in sorted(set(texts), key=lambda t: (-len(t), t)):
+        groups.setdefault(t[:1], []).append(t)
+
+    def quoted(t: str) -> str:
+        return re.sub(r"([^A-Za-z0-9 ])", r"\\\1", t)
+
+    def some_of(group: list[str]) -> str:
+        shared = os.path.commonprefix(group)
+        return quoted(shared) + (f"(?:{one_of(t[len(shared):] for t in group)})" if len(group) > 1 else "")
+
+    # The empty text fits everywhere, so it comes last.
+    return "|".join(some_of(groups[c]) for c in sorted(groups, key=lambda c: (not c, c)))
 
 
 def literal_map(values: Mapping[str, str | list]) -> Column:

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from grantweave import fixed_values as fv
-from grantweave.functions.keywords import KeywordDictionary, with_keyword_score
+from grantweave.functions.keywords import PARTS, KeywordDictionary, with_keyword_score
 
 
 def _joined(*parts: Column) -> Column:
@@ -66,8 +68,10 @@ def classify_projects(
     meaning: str | None = None,
     title: str = "project_title",
     body: str = "project_summary",
+    parts: Sequence[str] = PARTS,
 ) -> DataFrame:
-    """Score, label, evidence and decision from text and codes of a project."""
+    """Score, label, evidence and decision from text and codes of a project, or without a meaning
+    those in ``parts``; the decision comes with the score."""
     scored = with_keyword_score(
         df,
         title,
@@ -75,7 +79,10 @@ def classify_projects(
         activity="caen" if "caen" in df.columns else None,
         intervention="intervention_code" if "intervention_code" in df.columns else None,
         dictionary=dictionary,
+        parts=PARTS if meaning else parts,
     )
+    if not meaning and "score" not in parts:
+        return scored
     return _decide(with_meaning(scored, meaning) if meaning else scored)
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from grantweave import schema
 from grantweave.functions.amounts import with_eu_amount
+from grantweave.functions.keywords import PARTS
 from grantweave.functions.places import with_places, with_status
 from grantweave.functions.text import record_id
 from grantweave.operators import clean, headers
@@ -197,6 +198,9 @@ def build_projects(
     carried = needed | set(origin) if "record_id" in needed else needed
     rows = add_identity(interim.drop(*made), mode)
     derived = deduplicate(rows, blanks_are_missing, carried - {"record_id"}, [c for c in SEQUENCE if c != "record_id"])
+    # Columns that no row gives aren't merged but filled in.
+    absent = [f for f in schema.PROJECTS.fields if f.name in needed and f.name not in rows.columns]
+    derived = derived.withColumns({f.name: F.lit(None).cast(f.dataType) for f in absent})
     if "record_id" in needed:
         derived = derived.withColumn("record_id", record_id(*[F.col(c) for c in origin]))
     for _, _, step in steps:
@@ -207,7 +211,8 @@ def build_projects(
         known = vectors.select("record_id", score.alias("meaning"))
         derived = classify_projects(derived.join(known, "record_id", "left"), meaning="meaning")
     else:
-        derived = classify_projects(derived)
+        said = [p for p in PARTS if f"software_{p}" in columns or (p == "score" and "is_software" in columns)]
+        derived = classify_projects(derived, parts=said)
     return derived.select(*columns)
 
 

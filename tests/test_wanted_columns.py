@@ -1,5 +1,6 @@
 """A build of some columns shuffles no others, and gives the same values; closed lists are looked up by one pattern."""
 
+import random
 import re
 
 import pytest
@@ -71,3 +72,51 @@ def test_names_within_names_count(spark):
     assert dict(map(tuple, df.select("t", named).collect())) == texts
     none = places.named_counties(F.lower("t"), places.isolated_codes(F.col("t")), places.PlaceDictionary(counties={}))
     assert {len(r[0]) for r in df.select(none).collect()} == {0}
+
+
+def test_words_that_fit_several_phrases_count_for_each(spark):
+    known = ["digitala", "digitalizare", "digitala digitalizare", "cloud", "clou", "automata", "automatizare proces", "a"]
+    texts = ["digitalizar digitalizarea", "digitalizari", "digital", "clou", "cloudy", "automatizar procese", "a a", "", "digitalizareaxx"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    found = df.select("t", keywords.phrases_in(F.concat(F.lit(" "), "t", F.lit(" ")), known))
+    for t, numbers in found.collect():
+        assert numbers == [n for n, k in enumerate(known, 1) if re.search(keywords.phrase_pattern(k), f" {t} ")]
+
+
+def test_patterns_are_constants(spark):
+    known = [k for k, *_ in fv.KEYWORDS]
+    plan = spark.range(1).select(keywords.phrases_in(F.col("id").cast("string"), known).alias("n"))._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert "rlike(" not in plan and plan.count("regexp_replace(") <= 2
+
+
+def test_only_the_wanted_parts_of_a_score_are_made(spark):
+    text = build.build_projects(interim(spark), columns=["is_software"])._jdf.queryExecution().optimizedPlan().toString()
+    assert fv.LABEL_UNKNOWN not in text and "intervenție" not in text
+
+
+def test_absent_columns_are_filled_in_after_the_merge(spark):
+    whole = interim(spark)
+    given = [c for c in whole.columns if whole.where(F.col(c).isNotNull()).count()]
+    built = build.build_projects(whole.select(*given, "source_url"))
+    assert built.schema == build.build_projects(whole).schema and rows(built) == rows(build.build_projects(whole))
+    aggregate = re.search(r"Aggregate .*", built._jdf.queryExecution().optimizedPlan().toString())[0]
+    assert "latitude" not in aggregate
+
+
+def test_rows_dealt_by_key_merge_as_by_partial_aggregates(spark):
+    rnd, sample = random.Random(7), []
+    for n in range(600):
+        code = "hot" if n % 3 == 0 else None if n % 10 == 0 else str(rnd.randrange(150))
+        sample.append((
+            rnd.choice(["POR", None]), code, rnd.choice(["Drum", None]), rnd.choice(["Acme", "ACME SRL", "Beta", None]), rnd.choice(["portal", None]),
+            rnd.choice(["f", "g", None]), n, rnd.choice(["2024-01-01", "2023-05-01", None]), rnd.choice([1.0, 2.0, None]), rnd.choice(["Olt", None]),
+        ))
+    named = "program string, project_code string, project_title string, beneficiary_name string, source string, source_file string, source_row long, fetched_at string, eu_amount double, county string"
+    df = dedup.add_identity(schema.conform(spark.createDataFrame(sample, named)))
+    whole = dedup.deduplicate(df)
+    for rows_per_task in (20, 1_000, 1):
+        dealt = dedup.deduplicate(df, rows_per_task=rows_per_task)
+        assert rows(dealt) == rows(whole)
+        text = dealt._jdf.queryExecution().executedPlan().toString()
+        assert ("REPARTITION_BY_NUM" in text) == (rows_per_task < 600) and ("Union" in text) == (rows_per_task < 600)
+    assert rows(dealt.where("program = 'POR'")) == rows(whole.where("program = 'POR'"))
