@@ -130,3 +130,7 @@ def test_files_larger_than_a_cell_are_hashed_in_blocks(spark, monkeypatch):
     finally:
         spark.conf.set(name, old)
     assert got == {n: (len(c), hashlib.sha256(c).hexdigest()) for n, c in data.items()}
+
+
+def test_large_tables_get_more_buckets():
+    assert [sinks.buckets_for(n) for n in (0, 1_000, 32_000_000, 32_000_001, 216_000_000)] == [64, 64, 64, 65, 432]
