@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -40,12 +40,18 @@ def _dealing(df: DataFrame, columns: Sequence[str | Column], rows_per_task: int)
     total = sum(counts.values())
     if total <= rows_per_task:
         return None, []
-    tasks = max(-(-total // rows_per_task), int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    conf = df.sparkSession.conf
+    tasks = max(-(-total // rows_per_task), int(conf.get("spark.sql.shuffle.partitions")))
+    direct = int(conf.get("spark.shuffle.sort.bypassMergeThreshold", "200"))
+    tasks = min(tasks, max(direct, -(-total // (MORE_ROWS * rows_per_task))))
     return tasks, sorted(s for s, n in counts.items() if n > rows_per_task)
 
 
 #: Rows that a task merges when rows are dealt by key, and the slots in which rows are counted before.
 ROWS_PER_TASK = 250_000
+#: How many times as many it may get before there are more tasks than Spark writes to straight away: with more,
+#: a map task holds and sorts its rows first, and spills what doesn't fit.
+MORE_ROWS = 5
 SLOTS = 65_536
 
 
@@ -58,6 +64,7 @@ def merge_duplicates(
     wanted: Sequence[str] | None = None,
     deal_by: Sequence[str | Column] | None = None,
     rows_per_task: int = ROWS_PER_TASK,
+    prepare: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """One row per key: the latest by ``latest`` (undated first), its gaps in
     ``fill`` closed with the first known value in input order (``sequence``).
@@ -70,8 +77,12 @@ def merge_duplicates(
     those of slots with at most ``rows_per_task`` rows are shuffled as they are and merged by the task they
     reach, as keys with few rows gain nothing from partial aggregates, which repeat each row's place for every
     fill. Larger slots, which may hold one large key, are merged by partial aggregates as without ``deal_by``.
+    ``prepare`` adds columns that are read off a row, parts of the key too; rows are dealt without them and
+    without the order, so only what these are made of is shuffled.
     """
-    columns = df.columns if wanted is None else [c for c in df.columns if c in wanted]
+    prepare = prepare or (lambda rows: rows)
+    known = prepare(df).columns
+    columns = known if wanted is None else [c for c in known if c in wanted]
     # A key that is a column comes out as it went in, so filters on it reach the scan.
     plain = {k: f"_key_{i}" for i, k in enumerate(key) if isinstance(k, str)}
     fill = [c for c in fill if c in columns and c not in plain]
@@ -92,11 +103,16 @@ def merge_duplicates(
     names = [f"_key_{i}" for i in range(len(keys))]
 
     def aggregated(part: DataFrame, tasks: int | None = None) -> DataFrame:
-        rows = part.select(
-            *[k.alias(n) for k, n in zip(keys, names, strict=True)], order.alias("_order"), *[F.col(c).alias(f"_rest_{c}") for c in rest]
+        # A hash of parts of the key: rows grouped by it too stay where they are, and are sorted by a number first.
+        dealt = ["_deal"] if tasks else []
+        if tasks:
+            part = part.withColumn("_deal", F.hash(*deal_by)).repartition(tasks, "_deal")
+        rows = prepare(part).select(
+            *dealt, *[k.alias(n) for k, n in zip(keys, names, strict=True)], order.alias("_order"), *[F.col(c).alias(f"_rest_{c}") for c in rest]
         )
-        grouped = (rows.repartition(tasks, *names) if tasks else rows).groupBy(*names)
-        return grouped.agg(*chosen, *first_known) if row else grouped.agg(F.lit(0).alias("_row"))
+        grouped = rows.groupBy(*dealt, *names)
+        merged = grouped.agg(*chosen, *first_known) if row else grouped.agg(F.lit(0).alias("_row"))
+        return merged.drop(*dealt)
 
     tasks, large = _dealing(df, deal_by, rows_per_task) if deal_by else (None, [])
     if large:
@@ -121,10 +137,11 @@ SEQUENCE = ("source", "is_manual", "source_file", "source_row", "record_id")
 
 def deduplicate(
     df: DataFrame, blanks_are_missing: bool = False, wanted: Sequence[str] | None = None, sequence: Sequence[str] = SEQUENCE,
-    rows_per_task: int = ROWS_PER_TASK,
+    rows_per_task: int = ROWS_PER_TASK, identity: str | None = None,
 ) -> DataFrame:
     """One row per (program, code, beneficiary) of a registry with identity,
-    with all columns or those ``wanted``.
+    with all columns or those ``wanted``. Rows without one get it in the mode
+    ``identity``, where they are merged, so it isn't shuffled.
 
     Without a code the title stands in, then the row's own id. By default a
     blank code is a code; ``blanks_are_missing`` treats blank text as missing.
@@ -140,8 +157,12 @@ def deduplicate(
     if added:
         by_hand = F.coalesce(F.col("source_url").startswith("manual:"), F.lit(False))
         df = df.withColumn("is_manual", by_hand)
-    code = F.coalesce(text("project_code"), text("project_title"), F.col("record_id"))
-    merged = merge_duplicates(df, ["program", code, "beneficiary_key"], sequence, wanted=wanted, deal_by=["program", code], rows_per_task=rows_per_task)
+    own = record_id(F.col("source"), F.col("source_file"), F.col("source_row")) if identity else F.col("record_id")
+    code = F.coalesce(text("project_code"), text("project_title"), own)
+    merged = merge_duplicates(
+        df, ["program", code, "beneficiary_key"], sequence, wanted=wanted, deal_by=["program", code], rows_per_task=rows_per_task,
+        prepare=(lambda rows: add_identity(rows, identity)) if identity else None,
+    )
     return merged.drop("is_manual") if added else merged
 
 

@@ -15,7 +15,7 @@ from grantweave.functions.places import with_places, with_status
 from grantweave.functions.text import record_id
 from grantweave.operators import clean, headers
 from grantweave.operators.classify import classify_calls, classify_projects
-from grantweave.operators.dedup import SEQUENCE, add_identity, deduplicate, keep_top
+from grantweave.operators.dedup import SEQUENCE, deduplicate, keep_top
 from grantweave.operators.selection import archive_program, program_in
 from grantweave.sources import sinks
 from grantweave.sources.staging import written
@@ -196,10 +196,10 @@ def build_projects(
     # Source, file and row give the id again, and order rows as with it: it isn't shuffled.
     origin = ("source", "source_file", "source_row")
     carried = needed | set(origin) if "record_id" in needed else needed
-    rows = add_identity(interim.drop(*made), mode)
-    derived = deduplicate(rows, blanks_are_missing, carried - {"record_id"}, [c for c in SEQUENCE if c != "record_id"])
+    rows = interim.drop(*made)
+    derived = deduplicate(rows, blanks_are_missing, carried - {"record_id"}, [c for c in SEQUENCE if c != "record_id"], identity=mode)
     # Columns that no row gives aren't merged but filled in.
-    absent = [f for f in schema.PROJECTS.fields if f.name in needed and f.name not in rows.columns]
+    absent = [f for f in schema.PROJECTS.fields if f.name in needed and f.name not in (*rows.columns, "record_id")]
     derived = derived.withColumns({f.name: F.lit(None).cast(f.dataType) for f in absent})
     if "record_id" in needed:
         derived = derived.withColumn("record_id", record_id(*[F.col(c) for c in origin]))

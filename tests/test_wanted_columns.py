@@ -120,3 +120,20 @@ def test_rows_dealt_by_key_merge_as_by_partial_aggregates(spark):
         text = dealt._jdf.queryExecution().executedPlan().toString()
         assert ("REPARTITION_BY_NUM" in text) == (rows_per_task < 600) and ("Union" in text) == (rows_per_task < 600)
     assert rows(dealt.where("program = 'POR'")) == rows(whole.where("program = 'POR'"))
+
+
+def test_rows_are_dealt_without_what_is_read_off_them(spark):
+    plain = interim(spark).drop("record_id")
+    order = [c for c in dedup.SEQUENCE if c != "record_id"]
+    dealt = dedup.deduplicate(plain, wanted={"beneficiary_key", "eu_amount"}, sequence=order, rows_per_task=3, identity="literal")
+    text = dealt._jdf.queryExecution().executedPlan().toString()
+    shuffled = text[text.index("REPARTITION_BY_NUM"):]
+    assert "beneficiary_name" in shuffled and "regexp_replace" not in shuffled and "translate(hex" not in shuffled
+    whole = dedup.deduplicate(dedup.add_identity(plain))
+    assert rows(dealt) == rows(whole.select(dealt.columns))
+
+
+def test_rows_are_dealt_among_tasks_written_to_straight_away(spark):
+    assert dedup._dealing(spark.range(600).selectExpr("id AS x"), ["x"], 1)[0] == 200
+    assert dedup._dealing(spark.range(100).selectExpr("id AS x"), ["x"], 1)[0] == 100
+    assert dedup._dealing(spark.range(5 * 300).selectExpr("id AS x"), ["x"], 1)[0] == 300
