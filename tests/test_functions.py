@@ -192,3 +192,15 @@ def test_selection(spark):
     assert many(spark, selection.program_in, ["Lista POCU 2024", "pocument", None]) == ["POCU", None, None]
     assert many(spark, selection.snapshot_date, ["https://web.archive.org/web/20240515125245id_/x", "x"]) == ["2024-05-15", None]
     assert many(spark, lambda c: selection.usable_url(c, F.lit("http://b")), ["", " https://a ", "/rel"]) == ["http://b", "https://a", "http://b"]
+
+
+def test_common_letters_need_no_table_of_all(spark):
+    """Rare letters, ligatures and marks beside common ones read as without the short table."""
+    values = ["înșățe", "é" + "҉x", "ﬁn ăș", "αβγέ ț", "Ⅷ①", "é⃐", "ǅŉĲµªẞ", "한 î", "", None]
+    got = [r[0] for r in spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, t string").orderBy("i").select(text.plain_letters(F.col("t"))).collect()]
+    assert got[0] == "insate" and got[2] == "fin as" and got[-2:] == ["", None]
+    for value, plain in zip(values, got):
+        if value and "한" not in value:
+            assert plain == "".join(c for c in unicodedata.normalize("NFKD", value) if not unicodedata.combining(c))
+    plan = spark.range(1).select(text.plain_letters(F.col("id").cast("string")).alias("p"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("translate(") >= 2
