@@ -79,7 +79,7 @@ def test_rows_dealt_otherwise_are_shuffled(spark, folder):
         assert sorted(map(tuple, spark.table(name).collect())) == sorted(map(tuple, rows.collect()))
 
 
-@pytest.mark.parametrize("query", ["published_lookup"])
+@pytest.mark.parametrize("query", ["published_lookup", "lasting_catalog"])
 def test_a_large_registry_is_dealt_once_and_shuffled_by_no_table_of_it(spark, registry, monkeypatch, query):
     at = (spark.sparkContext.applicationId, f"no folder {query}")
     monkeypatch.setitem(published._published, at, registry)
